@@ -81,7 +81,7 @@ def run_mortality(spark, sf_dir):
 @check(
     "run_outpatient_audit",
     f"select 'AM' || uf || substr(ano, 3, 2) || mes as \"Arquivo\", count(*) as registros_antes, count(*) as registros_depois,"
-    " 0 as registros_perdidos, 'AP_CONDIC, AP_SEXO, AP_RACACOR, AP_OBITO, AP_MNDIF, AP_CMP, AP_MVM' as colunas_removidas,"
+    " cast(0 as bigint) as registros_perdidos, 'AP_CONDIC, AP_SEXO, AP_RACACOR, AP_OBITO, AP_MNDIF, AP_CMP, AP_MVM' as colunas_removidas,"
     " 'Condicao de pagamento, Sexo, Raça/Cor, Obito, Data de atendimento' as colunas_adicionadas"
     f" from ({OUTPATIENT_SQL}) where uf = 'SP' group by uf, ano, mes",
 )

@@ -11,9 +11,10 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from vitaria import fixed_values as fv
+
 _MONTHLY = r"(?:^|[/=])([A-Z]+)([A-Z]{2})(\d{2})(\d{2})([a-z]?)(?:\.(?:parquet|delta))?(?:/|$)"
 _YEARLY = r"(?:^|[/=])(DO)([A-Z]{2})(\d{4})(?:\.(?:parquet|delta))?(?:/|$)"
-_LETTERS = "abcdefghijklmnopqrstuvwxyz"
 # two-digit years from here on belong to the 1900s
 _CENTURY_TURN = "70"
 
@@ -31,19 +32,32 @@ def dataset_name(path: Column, extension: str = "parquet") -> Column:
     return F.substring_index(F.substring_index(before, "/", -1), "=", -1)
 
 
-def coordinates(name: Column, monthly: bool) -> dict[str, Column]:
+def coordinates(name: Column, monthly: bool, segments: bool = False) -> dict[str, Column]:
     """State, year and month of a dataset name whose table is already known.
 
-    Fixed positions from the end of the name: this runs for every row of a
-    scan, where a pattern match would cost far more.
+    Fixed positions from the end of the name: cheaper than a pattern match
+    where it runs for every row.
     """
-    core = F.rtrim(name, F.lit(_LETTERS))
+    core = name
+    if segments:
+        has_letter = F.right(name, F.lit(1)).between("a", "z")
+        core = F.when(has_letter, F.substr(name, F.lit(1), F.length(name) - 1)).otherwise(name)
     uf = F.substring(core, -6, 2)
     if not monthly:
         return {"uf": uf, "ano": F.substring(core, -4, 4)}
     return {"uf": uf, "ano": full_year(F.substring(core, -4, 2)), "mes": F.substring(core, -2, 2)}
 
 
+def region_of(uf: Column) -> Column:
+    """Region of a state, null for an unknown one."""
+    regions = iter(fv.REGIONS.items())
+    region, states = next(regions)
+    chain = F.when(uf.isin(states), region)
+    for region, states in regions:
+        chain = chain.when(uf.isin(states), region)
+    return chain
+
+
 def parse_dataset(path: Column) -> dict[str, Column]:
     """``tabela uf ano mes segmento`` of a dataset name or of a path holding one.
 

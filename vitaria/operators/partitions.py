@@ -5,11 +5,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from vitaria import fixed_values as fv
+from vitaria.functions import region_of
 from vitaria.operators.columns import named
-from vitaria.sources.bronze import region_states
 
 
 def missing_partitions(expected: DataFrame, observed: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -22,9 +21,12 @@ def missing_partitions(expected: DataFrame, observed: DataFrame, keys: Sequence[
 
 
 def add_region(df: DataFrame, uf: str = "uf", name: str = "regiao") -> DataFrame:
-    """Region of a state; null for an unknown one. The side has 27 rows."""
-    states = region_states(df.sparkSession).select(F.col("regiao").alias(name), F.col("uf").alias("_uf"))
-    return df.join(F.broadcast(states), named(uf) == F.col("_uf"), "left").drop("_uf")
+    """Region of each row's state; null for an unknown one.
+
+    The 27 states are a fixed list, so this is an expression and no join; on a
+    constant state it folds to a constant.
+    """
+    return df.withColumn(name, region_of(named(uf)))
 
 
 def in_regions(df: DataFrame, regions: Sequence[str], uf: str = "uf") -> DataFrame:

@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from functools import reduce
+from urllib.parse import quote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vitaria import fixed_values as fv
 from vitaria.operators.columns import named
-from vitaria.sources.bronze import list_datasets
+from vitaria.sources.bronze import dataset_files
 from vitaria.sources.tables import dataset_schemas
 
 
@@ -37,13 +38,13 @@ def audit_datasets(spark: SparkSession, root: str, stage: str | None = None) ->
     Row counts and column names both come from Parquet footers. What passes
     through the driver is one schema per dataset.
     """
-    datasets = list_datasets(spark, root)
-    paths = [row.caminho for row in datasets.select("caminho").collect()]
+    paths = [place for place, _, _ in dataset_files(spark, root)]
     if not paths:
         raise ValueError(f"no dataset under {root}")
     schemas = dataset_schemas(spark, paths)
     listed = spark.createDataFrame(
-        [(path, ", ".join(schema.names)) for path, schema in schemas.items()],
+        # keyed as _metadata.file_path is written, i.e. percent-encoded
+        [(quote(path, safe="/:=@,;+&!$~()*'"), ", ".join(schema.names)) for path, schema in schemas.items()],
         f"_place string, `{fv.AUDIT_COLUMNS}` string",
     )
     rows = (

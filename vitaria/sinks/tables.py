@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vitaria.operators.partitions import add_region
-from vitaria.sources.bronze import list_datasets
+from vitaria.sources.bronze import dataset_files
 from vitaria.sources.tables import SILVER_KEYS, delta_available, read_mixed, silver_path
 
 
@@ -64,11 +64,12 @@ def convert_datasets(
 
     Returns the datasets written with their places: ``dataset destino``.
     """
-    datasets = list_datasets(spark, source).select("caminho", "dataset")
-    paths = [row.caminho for row in datasets.select("caminho").collect()]
-    rows = read_mixed(spark, paths, "dataset")
+    found = dataset_files(spark, source)
+    rows = read_mixed(spark, [place for place, _, _ in found], "dataset")
     write_table(rows, target, table_format, ["dataset"])
-    return datasets.select("dataset", F.concat(F.lit(f"{target}/dataset="), "dataset").alias("destino"))
+    return spark.createDataFrame(
+        [(name, f"{target}/dataset={name}") for _, name, _ in found], "dataset string, destino string"
+    )
 
 
 def write_report_csv(report: DataFrame, path: str) -> None:
