@@ -78,7 +78,7 @@ MORTALITY_SQL = f"""select
   case when o_orderkey % 101 = 0 then null
        else chr(cast(65 + o_custkey % 26 as integer)) || lpad(cast(o_orderkey % 100 as varchar), 2, '0')
             || case when o_orderkey % 3 = 0 then '' else cast(o_custkey % 10 as varchar) end end as "CAUSABAS",
-  'A01' as "CAUSABAS_O",
+  chr(cast(65 + o_orderkey % 26 as integer)) || '01' as "CAUSABAS_O",
   cast(o_orderkey % 4 as varchar) as "SEXO",
   case when o_custkey % 11 = 0 then null else cast(o_custkey % 7 as varchar) end as "RACACOR",
   strftime(o_orderdate, '%d%m%Y') as "DTOBITO",
@@ -107,7 +107,7 @@ def mortality(spark: SparkSession, sf_dir: str) -> DataFrame:
             )
         )
         .alias("CAUSABAS"),
-        F.lit("A01").alias("CAUSABAS_O"),
+        F.concat(F.chr(65 + key % 26), F.lit("01")).alias("CAUSABAS_O"),
         (key % 4).cast("string").alias("SEXO"),
         F.when(customer % 11 == 0, None).otherwise((customer % 7).cast("string")).alias("RACACOR"),
         F.date_format("o_orderdate", "ddMMyyyy").alias("DTOBITO"),

@@ -81,7 +81,8 @@ def keep_raw(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.withColumns({f"{c}_keep": named(c) for c in columns if c in df.columns})
 
 
-def _text_columns(df: DataFrame) -> set[str]:
+def text_columns(df: DataFrame) -> set[str]:
+    """Names of the columns held as text."""
     return {f.name for f in df.schema if isinstance(f.dataType, T.StringType)}
 
 
@@ -95,7 +96,7 @@ def recode_columns(
     Codes are text, so columns of any other type stay unchanged. A rule with
     many labels becomes a join to those labels, which the driver holds anyway.
     """
-    text = _text_columns(df)
+    text = text_columns(df)
     build = labels.recode_all if blank_null_labels else labels.recode
     due = {c: mapping for c, mapping in table.items() if c in text}
     long = {c: mapping for c, mapping in due.items() if len(mapping) > labels.MAX_CASE_LABELS}
@@ -131,7 +132,7 @@ def recode_by_table(
 
 def decode_ages(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Age codes to text in the given columns, where present and held as text."""
-    text = _text_columns(df)
+    text = text_columns(df)
     return df.withColumns({c: age.decode_age(named(c)) for c in columns if c in text})
 
 

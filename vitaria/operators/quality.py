@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from functools import reduce
-from urllib.parse import quote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -43,8 +42,7 @@ def audit_datasets(spark: SparkSession, root: str, stage: str | None = None) ->
         raise ValueError(f"no dataset under {root}")
     schemas = dataset_schemas(spark, paths)
     listed = spark.createDataFrame(
-        # keyed as _metadata.file_path is written, i.e. percent-encoded
-        [(quote(path, safe="/:=@,;+&!$~()*'"), ", ".join(schema.names)) for path, schema in schemas.items()],
+        [(path, ", ".join(schema.names)) for path, schema in schemas.items()],
         f"_place string, `{fv.AUDIT_COLUMNS}` string",
     )
     rows = (
@@ -55,7 +53,9 @@ def audit_datasets(spark: SparkSession, root: str, stage: str | None = None) ->
     )
     # counted by the raw file path first: names are cut once per file, not per row
     per_file = rows.groupBy(F.col("_metadata.file_path").alias("_path")).agg(F.count("*").alias("n"))
-    place = F.concat(F.substring_index("_path", ".parquet", 1), F.lit(".parquet"))
+    # file_path is percent-encoded, the listed places are not
+    decoded = F.url_decode(F.replace("_path", F.lit("+"), F.lit("%2B")))
+    place = F.concat(F.substring_index(decoded, ".parquet", 1), F.lit(".parquet"))
     counted = per_file.groupBy(place.alias("_place")).agg(F.sum("n").alias("n"))
     report = listed.join(counted, "_place", "left").select(
         F.substring_index(F.substring_index("_place", "/", -1), "=", -1).alias(fv.AUDIT_FILE),
@@ -118,5 +118,6 @@ def quarantine(df: DataFrame, checks: Mapping[str, Column], dataset: Column) ->
 def missing_columns(audits: DataFrame, expected: Sequence[str]) -> DataFrame:
     """Expected columns that a dataset lacks: ``Arquivo coluna``."""
     there = F.split(named(fv.AUDIT_COLUMNS), ", ")
-    absent = F.array_except(F.array(*[F.lit(c) for c in expected]), there)
+    wanted = F.array(*[F.lit(c) for c in expected]).cast("array<string>")
+    absent = F.array_except(wanted, there)
     return audits.select(named(fv.AUDIT_FILE), F.explode(absent).alias("coluna"))

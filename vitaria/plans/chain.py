@@ -5,20 +5,21 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vitaria.functions import age_is_bad, date_is_bad
+from vitaria.functions import age_is_bad, coordinates, date_is_bad
 from vitaria.operators import columns as ops
 from vitaria.operators.codes import resolve_codes
 from vitaria.operators.lineage import process_records
-from vitaria.operators.quality import audit, audit_diff, quarantine
+from vitaria.operators.partitions import add_region
+from vitaria.operators.quality import audit, audit_diff, missing_columns, quarantine
 from vitaria.operators.years import filter_years
 from vitaria.plans.specs import TableSpec
 from vitaria.sinks.tables import write_silver
-from vitaria.sources.bronze import MONTHS, scan_bronze
+from vitaria.sources.bronze import MONTHS, dataset_files, dataset_glob, scan_datasets
 from vitaria.sources.dictionary import CodeDictionary
-from vitaria.sources.tables import read_silver
+from vitaria.sources.tables import read_silver, silver_path
 
 
 def apply_step(
@@ -85,30 +86,43 @@ def chain_lineage(
 
 def chain_quarantine(df: DataFrame, spec: TableSpec) -> DataFrame:
     """Values of a bronze frame that its age and date steps cannot read."""
+    return quarantine(df, _checks(df, spec), F.col("dataset"))
+
+
+def _checks(df: DataFrame, spec: TableSpec) -> dict[str, Column]:
     checks = {c: age_is_bad(ops.named(c)) for c in spec.rules.age_columns if "age" in spec.steps}
     if "dates" in spec.steps:
         checks |= {c: date_is_bad(ops.named(c), pattern) for c, pattern in spec.rules.dates.items()}
-    return quarantine(df, checks, F.col("dataset"))
+    text = ops.text_columns(df)
+    return {c: bad for c, bad in checks.items() if c in text}
 
 
 def with_options(spec: TableSpec, keep: bool = False, dates: bool = False, icd: bool = False) -> TableSpec:
     """The same table with the steps that are only declared for it switched on."""
     steps = list(spec.steps)
-    place = steps.index("icd") if "icd" in steps else steps.index("rename")
+    place = next((steps.index(step) for step in ("icd", "rename") if step in steps), len(steps))
     wanted = [("keep", keep), ("icd", icd and "icd" not in steps), ("dates", dates)]
     steps[place:place] = [step for step, on in wanted if on]
     return replace(spec, steps=tuple(steps))
 
 
+COORDINATES = ("tabela", "uf", "ano", "mes", "dataset")
+
+
 @dataclass(frozen=True)
 class Outcome:
-    """What a run leaves behind: audits before and after, and their difference."""
+    """Reports on a run, each computed when it is used.
+
+    Audits before and after, what changed between them, rule columns that the
+    datasets lack, and values that could not be read (None where no step of
+    the table reads values).
+    """
 
-    silver: str
-    partition_by: list[str]
     before: DataFrame
     after: DataFrame
     changes: DataFrame
+    missing: DataFrame
+    quarantine: DataFrame | None
 
 
 def run_table(
@@ -120,18 +134,55 @@ def run_table(
     years: Sequence[int | str],
     months: Sequence[int | str] = MONTHS,
     dictionary: CodeDictionary | None = None,
+    **options,
+) -> Outcome:
+    """Run the chain over the requested datasets and overwrite their silver partitions."""
+    glob = dataset_glob(bronze, spec.layout, ufs, years, months)
+    return run_datasets(spark, spec, [glob], silver, dictionary, **options)
+
+
+def run_datasets(
+    spark: SparkSession,
+    spec: TableSpec,
+    places: Sequence[str],
+    silver: str,
+    dictionary: CodeDictionary | None = None,
     rebalance: bool = False,
     **scan_options,
 ) -> Outcome:
-    """Read the requested datasets, run the chain, overwrite their silver partitions."""
-    rows = scan_bronze(spark, bronze, spec.layout, ufs, years, months, **scan_options)
+    """As :func:`run_table`, for given dataset paths or globs."""
+    names = [name for _, name, _ in dataset_files(spark, *places, extension=spec.layout.extension)]
+    rows = scan_datasets(spark, places, spec.layout, **scan_options)
     result = apply_chain(rows, spec, dictionary)
     keys = write_silver(result, silver, spec.system, spec.table, rebalance=rebalance)
-    own = ("tabela", "uf", "ano", "mes", "dataset")
-    before = audit(rows, F.col("dataset"), [c for c in rows.columns if c not in own])
-    wanted = F.col("uf").isin(list(ufs)) & F.col("ano").isin([str(year) for year in years])
-    if spec.layout.monthly:
-        wanted &= F.col("mes").isin([f"{int(month):02d}" for month in months])
-    written = read_silver(spark, silver, spec.system, spec.table).where(wanted)
-    after = audit(written, F.col("dataset"), [c for c in result.columns if c not in own])
-    return Outcome(silver, keys, before, after, audit_diff(before, after))
+    if "years" in spec.steps:
+        kept = {row.dataset for row in result.select("dataset").distinct().collect()}
+        _empty_partitions(result, spec, silver, keys, [name for name in names if name not in kept])
+    written = read_silver(spark, silver, spec.system, spec.table).where(F.col("dataset").isin(names))
+    before = audit(rows, F.col("dataset"), [c for c in rows.columns if c not in COORDINATES])
+    after = audit(written, F.col("dataset"), [c for c in result.columns if c not in COORDINATES])
+    used = [*spec.rules.age_columns, *spec.rules.icd_columns] if "icd" in spec.steps else []
+    return Outcome(
+        before,
+        after,
+        audit_diff(before, after),
+        missing_columns(before, used),
+        chain_quarantine(rows, spec) if _checks(rows, spec) else None,
+    )
+
+
+def _empty_partitions(
+    result: DataFrame, spec: TableSpec, silver: str, keys: Sequence[str], names: Sequence[str]
+) -> None:
+    """Leave no older rows where a run kept none: a dynamic overwrite does not touch those."""
+    spark = result.sparkSession
+    stored = result.drop("tabela", *keys)
+    nothing = spark.createDataFrame([], stored.schema).coalesce(1)
+    if not names:
+        return
+    listed = spark.createDataFrame([(name,) for name in names], "dataset string")
+    places = add_region(
+        listed.withColumns(coordinates(F.col("dataset"), spec.layout.monthly, bool(spec.layout.segments)))
+    ).select(F.concat_ws("/", *[F.concat(F.lit(f"{key}="), key) for key in keys]).alias("place"))
+    for row in places.distinct().collect():
+        nothing.write.mode("overwrite").parquet(f"{silver_path(silver, spec.system, spec.table)}/{row.place}")

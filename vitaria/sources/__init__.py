@@ -1,5 +1,6 @@
 from vitaria.sources.bronze import (
-    BronzeLayout, dataset_glob, list_datasets, partition_grid, region_states, scan_bronze,
+    BronzeLayout, dataset_files, dataset_glob, list_datasets, partition_grid, region_states,
+    scan_bronze, scan_datasets,
 )
 from vitaria.sources.dictionary import CodeDictionary
 from vitaria.sources.tables import (
@@ -7,7 +8,7 @@ from vitaria.sources.tables import (
 )
 
 __all__ = [
-    "BronzeLayout", "CodeDictionary", "dataset_glob", "dataset_schemas", "delta_available",
+    "BronzeLayout", "CodeDictionary", "dataset_files", "dataset_glob", "dataset_schemas", "delta_available",
     "list_datasets", "partition_grid", "read_delta", "read_mixed", "read_records",
-    "read_silver", "region_states", "scan_bronze", "silver_path",
+    "read_silver", "region_states", "scan_bronze", "scan_datasets", "silver_path",
 ]

@@ -90,15 +90,32 @@ def scan_bronze(
     cut from the file path of each row.
     """
     glob = dataset_glob(base, layout, ufs, years, months)
+    return scan_datasets(
+        spark, [glob], layout, schema=schema, merge_schema=merge_schema,
+        raw_delta_files=raw_delta_files, max_branches=max_branches,
+    )
+
+
+def scan_datasets(
+    spark: SparkSession,
+    places: Sequence[str],
+    layout: BronzeLayout,
+    *,
+    schema: T.StructType | None = None,
+    merge_schema: bool = True,
+    raw_delta_files: bool = False,
+    max_branches: int = MAX_BRANCHES,
+) -> DataFrame:
+    """As :func:`scan_bronze`, for given dataset paths or globs of one table."""
     if layout.extension == "delta" and not raw_delta_files:
-        found = dataset_files(spark, glob, extension="delta")
+        found = dataset_files(spark, *places, extension="delta")
         if not found:
-            raise ValueError(f"no dataset matches {glob}")
+            raise ValueError(f"no dataset matches {list(places)}")
         parts = [_with_coordinates(read_delta(spark, place), layout, F.lit(name)) for place, name, _ in found]
         return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
-    rows = _or_none(lambda: read_records(spark, glob, schema=schema, merge_schema=merge_schema))
+    rows = _or_none(lambda: read_records(spark, *places, schema=schema, merge_schema=merge_schema))
     if rows is None:
-        raise ValueError(f"no dataset matches {glob}")
+        raise ValueError(f"no dataset matches {list(places)}")
     found = _datasets(rows.inputFiles(), layout.extension)
     if len(found) > max_branches:
         return _with_coordinates(rows, layout, dataset_name(F.col("_metadata.file_path"), layout.extension))
@@ -109,11 +126,11 @@ def scan_bronze(
         return _with_coordinates(read_records(spark, place, schema=schema), layout, F.lit(name))
 
     with ThreadPoolExecutor(16) as pool:
-        parts = list(pool.map(branch, found))
-    return _balanced_union(parts)
+        return _balanced_union(list(pool.map(branch, found)))
 
 
 def _balanced_union(parts: list[DataFrame]) -> DataFrame:
+    # pairwise, so that the plan stays shallow
     while len(parts) > 1:
         parts = [reduce(DataFrame.unionAll, parts[i : i + 2]) for i in range(0, len(parts), 2)]
     return parts[0]
