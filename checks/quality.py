@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from checks.registry import check, table
 from checks.stand_ins import MORTALITY_SQL, OUTPATIENT_SQL, mortality, outpatient
 from vitaria import fixed_values as fv
-from vitaria.functions import age_is_bad, date_is_bad, dataset_name
+from vitaria.functions import age_is_bad, date_is_bad
 from vitaria.operators import columns as ops
 from vitaria.operators.lineage import file_metadata, lineage_edges, process_records
 from vitaria.operators.quality import audit, audit_diff, missing_columns, quarantine
@@ -38,16 +38,14 @@ COLUMNS = {
     "conversations": ["conv_id", "turn", "role", "text"],
 }
 _AUDIT_SQL = " union all ".join(
-    f"select '{name}' as \"Arquivo\", count(*) as \"Número de Registros\", '{', '.join(columns)}' as \"Colunas\" from {name}"
+    f"select '{name}.parquet' as \"Arquivo\", count(*) as \"Número de Registros\", '{', '.join(columns)}' as \"Colunas\" from {name}"
     for name, columns in COLUMNS.items()
 )
 
 
 def _audits(spark, sf_dir):
     def one(name):
-        rows = table(spark, sf_dir, name)
-        # the name from the file itself; the frame holds a single file
-        return audit(rows, dataset_name(F.col("_metadata.file_path")), rows.columns)
+        return audit(table(spark, sf_dir, name))
 
     return reduce(lambda a, b: a.unionAll(b), [one(name) for name in COLUMNS])
 
@@ -60,7 +58,7 @@ def audit_counts(spark, sf_dir):
 @check(
     "missing_columns",
     " union all ".join(
-        f"select '{name}' as \"Arquivo\", '{c}' as coluna from (select count(*) from {name})"
+        f"select '{name}.parquet' as \"Arquivo\", '{c}' as coluna from (select count(*) from {name})"
         for name, columns in COLUMNS.items()
         for c in ("text", "doc_id")
         if c not in columns

@@ -75,21 +75,17 @@ def _choose(code: Column, exact: Column, first: Column) -> Column:
 def _probe_lengths(df: DataFrame, column: str, dictionary: CodeDictionary) -> DataFrame:
     order = df.columns
     joined = df.withColumn("_code", named(column).cast("string"))
-    code = F.col("_code")
-    hits: dict[int, Column] = {}
-    for length in dictionary.lengths:
-        side = dictionary.frame.where(F.length("code") == length).select(
-            F.col("code").alias(f"_key{length}"),
-            F.struct("ord", "description").alias(f"_hit{length}"),
+    code, value = F.col("_code"), None
+    for n in sorted(dictionary.lengths, reverse=True):
+        side = dictionary.probes[n].select(
+            F.col("code").alias(f"_key{n}"), F.col("exact").alias(f"_exact{n}"), F.col("best").alias(f"_best{n}")
         )
         # a code shorter than this gives a shorter text, which matches no entry
-        joined = joined.join(
-            F.broadcast(side), F.substring(code, 1, length) == F.col(f"_key{length}"), "left"
-        )
-        hits[length] = F.col(f"_hit{length}")
-    exact = F.coalesce(*[F.when(F.length(code) == n, hit) for n, hit in hits.items()])
-    first = F.least(*hits.values()) if len(hits) > 1 else next(iter(hits.values()))
-    value = _choose(code, exact, first)
+        joined = joined.join(F.broadcast(side), F.substring(code, 1, n) == F.col(f"_key{n}"), "left")
+        found = F.col(f"_key{n}").isNotNull()
+        text = F.when(F.length(code) == n, F.col(f"_exact{n}")).otherwise(F.col(f"_best{n}"))
+        value = F.when(found, text) if value is None else value.when(found, text)
+    value = value.otherwise(code)
     return joined.select(*[value.alias(c) if c == column else named(c) for c in order])
 
 

@@ -133,7 +133,11 @@ def recode_by_table(
 def decode_ages(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Age codes to text in the given columns, where present and held as text."""
     text = text_columns(df)
-    return df.withColumns({c: age.decode_age(named(c)) for c in columns if c in text})
+    due = [c for c in columns if c in text]
+    # the quantity is a column of its own so that it is parsed once per row
+    parsed = df.withColumns({f"_quantity_{c}": age.age_quantity(named(c)) for c in due})
+    decoded = parsed.withColumns({c: age.age_text(named(c), named(f"_quantity_{c}")) for c in due})
+    return decoded.select(*[named(c) for c in df.columns])
 
 
 def enforce_dates(df: DataFrame, patterns: Mapping[str, str]) -> DataFrame:

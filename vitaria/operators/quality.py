@@ -14,18 +14,39 @@ from vitaria.sources.bronze import dataset_files
 from vitaria.sources.tables import dataset_schemas
 
 
+def _count_by_place(rows: DataFrame) -> DataFrame:
+    """``(_place, n)``, rows per dataset path of a frame read from files.
+
+    Counted by the raw file path first: names are cut once per file, not once
+    per row, and only row counts are read.
+    """
+    per_file = rows.groupBy(F.col("_metadata.file_path").alias("_path")).agg(F.count("*").alias("n"))
+    # file_path is percent-encoded, listed places are not
+    decoded = F.url_decode(F.replace("_path", F.lit("+"), F.lit("%2B")))
+    place = F.concat(F.substring_index(decoded, ".parquet", 1), F.lit(".parquet"))
+    return per_file.groupBy(place.alias("_place")).agg(F.sum("n").alias("n"))
+
+
+def _last_name(place: str) -> Column:
+    return F.substring_index(F.substring_index(place, "/", -1), "=", -1)
+
+
 def audit(
     df: DataFrame,
-    dataset: Column,
+    dataset: Column | None = None,
     columns: Sequence[str] | None = None,
     stage: str | None = None,
 ) -> DataFrame:
     """Rows and column list per dataset of one DataFrame.
 
     ``Arquivo``, ``Número de Registros``, ``Colunas`` and, when given, the
-    stage as ``etapa``.
+    stage as ``etapa``. Without ``dataset`` the frame must come straight from
+    files, and their places name the datasets.
     """
-    counts = df.groupBy(dataset.alias(fv.AUDIT_FILE)).agg(F.count("*").alias(fv.AUDIT_ROWS))
+    if dataset is None:
+        counts = _count_by_place(df).select(_last_name("_place").alias(fv.AUDIT_FILE), F.col("n").alias(fv.AUDIT_ROWS))
+    else:
+        counts = df.groupBy(dataset.alias(fv.AUDIT_FILE)).agg(F.count("*").alias(fv.AUDIT_ROWS))
     listed = ", ".join(df.columns if columns is None else columns)
     report = counts.withColumn(fv.AUDIT_COLUMNS, F.lit(listed))
     return report if stage is None else report.withColumn("etapa", F.lit(stage))
@@ -51,14 +72,8 @@ def audit_datasets(spark: SparkSession, root: str, stage: str | None = None) ->
         .schema(schemas[paths[0]])
         .parquet(*paths)
     )
-    # counted by the raw file path first: names are cut once per file, not per row
-    per_file = rows.groupBy(F.col("_metadata.file_path").alias("_path")).agg(F.count("*").alias("n"))
-    # file_path is percent-encoded, the listed places are not
-    decoded = F.url_decode(F.replace("_path", F.lit("+"), F.lit("%2B")))
-    place = F.concat(F.substring_index(decoded, ".parquet", 1), F.lit(".parquet"))
-    counted = per_file.groupBy(place.alias("_place")).agg(F.sum("n").alias("n"))
-    report = listed.join(counted, "_place", "left").select(
-        F.substring_index(F.substring_index("_place", "/", -1), "=", -1).alias(fv.AUDIT_FILE),
+    report = listed.join(_count_by_place(rows), "_place", "left").select(
+        _last_name("_place").alias(fv.AUDIT_FILE),
         F.coalesce("n", F.lit(0)).cast("long").alias(fv.AUDIT_ROWS),
         named(fv.AUDIT_COLUMNS),
     )
