@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from dataclasses import replace
 
+from pyspark.sql import functions as F
+
 from checks.registry import check, sql_case
 from checks.stand_ins import (
     ADMISSIONS_SQL, AGE_SQL, ICD_ITEMS, ICD_SQL, MORTALITY_SQL, OUTPATIENT_SQL,
@@ -15,6 +17,7 @@ from vitaria.plans.chain import apply_chain, run_table, with_options
 from vitaria.plans.specs import SPECS
 from vitaria.sinks.shared import new_folder
 from vitaria.sources import CodeDictionary, read_silver
+from vitaria.streaming.daily import refresh_new_datasets
 
 _MORTALITY_COLUMNS = f"""{AGE_SQL.format(c='m.IDADE')} as "Idade", {resolve_sql('m.CAUSABAS')} as "Causa Básica",
   {sql_case('SEXO', fv.SIM_RECODE['SEXO'], 'Sexo')}, {sql_case('RACACOR', fv.SIM_RECODE['RACACOR'], 'Raça/Cor')},
@@ -89,3 +92,44 @@ def run_outpatient(spark, sf_dir):
     base = bronze_of(outpatient(spark, sf_dir), "sia-parquet/AM", "AM")
     outcome = run_table(spark, SPECS["SIA.AM"], base, new_folder(spark, "silver"), ["SP"], range(1990, 2010))
     return outcome.changes
+
+
+_RUN_ADMISSIONS = f"""select *, ['SP', 'RJ'][cast("CGC_HOSP" as bigint) % 2 + 1] as uf, "ANO_CMPT" as ano,
+  substr("NASC", 5, 2) as mes from ({ADMISSIONS_SQL})"""
+
+
+@check(
+    "run_admissions",
+    f"select {_ADMISSIONS_COLUMNS}, uf, ano, mes, 'SUDESTE' as regiao, 'RD' || uf || substr(ano, 3, 2) || mes as dataset"
+    f" from ({_RUN_ADMISSIONS}) where substr(\"DT_INTER\", 1, 4) in ('1999', '2000') and uf = 'RJ' and mes <= '06'",
+)
+def run_admissions(spark, sf_dir):
+    rows = admissions(spark, sf_dir).withColumns(
+        {
+            "uf": F.when(F.col("CGC_HOSP").cast("long") % 2 == 0, "SP").otherwise("RJ"),
+            "ano": F.col("ANO_CMPT"),
+            "mes": F.substring("NASC", 5, 2),
+        }
+    )
+    base = bronze_of(rows, "sih-parquet/RD", "RD")
+    silver = new_folder(spark, "silver")
+    spec = SPECS["SIH.RD"]
+    spec = replace(spec, rules=replace(spec.rules, years=["1999", "2000"]))
+    run_table(spark, spec, base, silver, ["RJ"], range(1999, 2003), range(1, 7))
+    return read_silver(spark, silver, "SIH", "RD")
+
+
+@check(
+    "daily_mortality",
+    f"with {ICD_SQL} select chave, uf, ano, {_MORTALITY_COLUMNS} from ({MORTALITY_SQL}) m",
+)
+def daily_mortality(spark, sf_dir):
+    # two scheduled runs: the second sees only what came in between
+    rows = mortality(spark, sf_dir)
+    bronze, silver, state = (new_folder(spark, name) for name in ("bronze", "silver", "state"))
+    schema = rows.drop("uf", "ano").schema
+    dictionary = CodeDictionary.from_entries(spark, ICD_ITEMS)
+    for part in (rows.where("ano < '1998'"), rows.where("ano >= '1998'")):
+        bronze_of(part, "sim-parquet", "DO", base=bronze, mode="append")
+        refresh_new_datasets(spark, SPECS["SIM.DO"], bronze, silver, state, schema, dictionary).awaitTermination()
+    return read_silver(spark, silver, "SIM", "DO").drop("dataset", "regiao")

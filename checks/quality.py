@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from dataclasses import replace
-from functools import reduce
 
 from pyspark.sql import functions as F
 
@@ -13,7 +12,7 @@ from vitaria import fixed_values as fv
 from vitaria.functions import age_is_bad, date_is_bad
 from vitaria.operators import columns as ops
 from vitaria.operators.lineage import file_metadata, lineage_edges, process_records
-from vitaria.operators.quality import audit, audit_diff, missing_columns, quarantine
+from vitaria.operators.quality import audit, audit_datasets, audit_diff, missing_columns, quarantine
 from vitaria.operators.years import filter_years
 from vitaria.plans.chain import chain_lineage, chain_quarantine, with_options
 from vitaria.plans.specs import SPECS
@@ -43,16 +42,9 @@ _AUDIT_SQL = " union all ".join(
 )
 
 
-def _audits(spark, sf_dir):
-    def one(name):
-        return audit(table(spark, sf_dir, name))
-
-    return reduce(lambda a, b: a.unionAll(b), [one(name) for name in COLUMNS])
-
-
 @check("audit_counts", _AUDIT_SQL)
 def audit_counts(spark, sf_dir):
-    return _audits(spark, sf_dir)
+    return audit_datasets(spark, sf_dir)
 
 
 @check(
@@ -65,7 +57,7 @@ def audit_counts(spark, sf_dir):
     ),
 )
 def missing(spark, sf_dir):
-    return missing_columns(_audits(spark, sf_dir), ["text", "doc_id"])
+    return missing_columns(audit_datasets(spark, sf_dir), ["text", "doc_id"])
 
 
 @check(

@@ -66,6 +66,11 @@ def pick(values: list[str], index) -> F.Column:
     return F.array(*[F.lit(v) for v in values])[index.cast("int")]
 
 
+def day_text(moment) -> F.Column:
+    """A day as yyyyMMdd."""
+    return F.replace(moment.cast("date").cast("string"), F.lit("-"), F.lit(""))
+
+
 STATES = ["SP", "RJ", "PE", "PI"]
 
 # --- mortality from orders ---------------------------------------------------
@@ -92,7 +97,7 @@ def mortality(spark: SparkSession, sf_dir: str) -> DataFrame:
     key, customer = F.col("o_orderkey"), F.col("o_custkey")
     two = F.lpad((customer % 100).cast("string"), 2, "0")
     letter = F.chr(65 + customer % 26)
-    return table(spark, sf_dir, "orders").select(
+    return table(spark, sf_dir, "orders").withColumn("day", day_text(F.col("o_orderdate"))).select(
         key.alias("chave"),
         F.when(key % 97 == 0, None)
         .when(key % 50 == 0, F.concat(F.lit("x"), two))
@@ -110,10 +115,10 @@ def mortality(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.chr(65 + key % 26), F.lit("01")).alias("CAUSABAS_O"),
         (key % 4).cast("string").alias("SEXO"),
         F.when(customer % 11 == 0, None).otherwise((customer % 7).cast("string")).alias("RACACOR"),
-        F.date_format("o_orderdate", "ddMMyyyy").alias("DTOBITO"),
+        F.concat(F.right("day", F.lit(2)), F.substring("day", 5, 2), F.left("day", F.lit(4))).alias("DTOBITO"),
         F.col("o_orderstatus").alias("ORIGEM"),
         pick(STATES, customer % 4).alias("uf"),
-        F.date_format("o_orderdate", "yyyy").alias("ano"),
+        F.left("day", F.lit(4)).alias("ano"),
     )
 
 
@@ -139,7 +144,7 @@ from lineitem"""
 
 def outpatient(spark: SparkSession, sf_dir: str) -> DataFrame:
     parity = F.col("l_suppkey") % 2
-    return table(spark, sf_dir, "lineitem").select(
+    return table(spark, sf_dir, "lineitem").withColumn("day", day_text(F.col("l_shipdate"))).select(
         F.col("l_orderkey").alias("chave"),
         F.col("l_linenumber").alias("linha"),
         F.when(F.col("l_returnflag") == "A", "EP")
@@ -154,14 +159,12 @@ def outpatient(spark: SparkSession, sf_dir: str) -> DataFrame:
         parity.cast("string").alias("AP_OBITO"),
         parity.alias("AP_ALTA"),
         parity.cast("string").alias("AP_MNDIF"),
-        F.date_format("l_shipdate", "yyyyMM").alias("AP_CMP"),
-        F.date_format("l_shipdate", "yyyyMM").alias("AP_MVM"),
-        F.when(F.col("l_linenumber") == 6, "20219999")
-        .otherwise(F.date_format("l_shipdate", "yyyyMMdd"))
-        .alias("AP_DTINIC"),
+        F.left("day", F.lit(6)).alias("AP_CMP"),
+        F.left("day", F.lit(6)).alias("AP_MVM"),
+        F.when(F.col("l_linenumber") == 6, "20219999").otherwise(F.col("day")).alias("AP_DTINIC"),
         pick(STATES, parity).alias("uf"),
-        F.date_format("l_shipdate", "yyyy").alias("ano"),
-        F.date_format("l_shipdate", "MM").alias("mes"),
+        F.left("day", F.lit(4)).alias("ano"),
+        F.substring("day", 5, 2).alias("mes"),
     )
 
 
@@ -182,7 +185,7 @@ from orders"""
 
 def admissions(spark: SparkSession, sf_dir: str) -> DataFrame:
     def day(offset: int) -> F.Column:
-        return F.date_format(F.date_add("o_orderdate", offset), "yyyyMMdd")
+        return day_text(F.date_add("o_orderdate", offset))
 
     return table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").cast("string").alias("N_AIH"),
@@ -193,7 +196,7 @@ def admissions(spark: SparkSession, sf_dir: str) -> DataFrame:
         day(-9000).alias("NASC"),
         (F.col("o_custkey") % 3).cast("string").alias("SEXO"),
         F.col("o_totalprice").alias("VAL_SADT"),
-        F.date_format("o_orderdate", "yyyy").alias("ANO_CMPT"),
+        F.left(day(0), F.lit(4)).alias("ANO_CMPT"),
     )
 
 

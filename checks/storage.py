@@ -19,16 +19,20 @@ from vitaria.sources import (
 )
 
 
-def bronze_of(rows, folder: str, table_name: str, segment: str = "", extension: str = "parquet") -> str:
-    """Lay rows out as bronze datasets under a new base path, coordinates in the names only."""
+def bronze_of(
+    rows, folder: str, table_name: str, segment: str = "", extension: str = "parquet",
+    base: str | None = None, mode: str = "error",
+) -> str:
+    """Lay rows out as bronze datasets under a base path, coordinates in the names only."""
     period = F.concat(F.right("ano", F.lit(2)), "mes") if "mes" in rows.columns else F.col("ano")
     name = F.concat(F.lit(table_name), "uf", period, F.lit(f"{segment}.{extension}"))
-    base = new_folder(rows.sparkSession, "bronze")
+    base = base or new_folder(rows.sparkSession, "bronze")
     (
         rows.withColumn("dataset", name)
         .drop("uf", "ano", "mes")
         .hint("rebalance", F.col("dataset"))
-        .write.partitionBy("dataset")
+        .write.mode(mode)
+        .partitionBy("dataset")
         .parquet(f"{base}/{folder}")
     )
     return base

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from vitaria import fixed_values as fv
 from vitaria.operators.partitions import missing_partitions
-from vitaria.plans.chain import apply_chain, chain_columns, chain_lineage, run_table, with_options
+from vitaria.plans.chain import apply_chain, chain_columns, chain_lineage, run_datasets, run_table, with_options
 from vitaria.plans.specs import SPECS
 from vitaria.sinks.tables import convert_datasets, write_json_rows, write_report_csv, write_silver
 from vitaria.sources import CodeDictionary, list_datasets, partition_grid, read_silver
@@ -199,3 +199,16 @@ def test_daily_refresh_takes_only_new_datasets(spark, tmp_path, dictionary):
     refresh()
     counts = read_silver(spark, silver, "SIM", "DO").groupBy("uf").count().collect()
     assert {tuple(r) for r in counts} == {("PE", 12), ("PI", 12)}
+
+
+def test_a_segment_is_replaced_alone(spark, tmp_path):
+    bronze, silver = str(tmp_path / "bronze"), str(tmp_path / "silver")
+    folder, spec = f"{bronze}/sia-parquet/PA", SPECS["SIA.PA"]
+    rows = spark.createDataFrame([("EP",)] * 3, "AP_CONDIC string").coalesce(1)
+    for name in ("PASP2101a", "PASP2101b", "PASP2102"):
+        rows.write.parquet(f"{folder}/{name}.parquet")
+    run_table(spark, spec, bronze, silver, ["SP"], [2021])
+    rows.limit(1).write.mode("overwrite").parquet(f"{folder}/PASP2101b.parquet")
+    run_datasets(spark, spec, [f"{folder}/PASP2101b.parquet"], silver)
+    counts = read_silver(spark, silver, "SIA", "PA").groupBy("mes", "segmento").count().collect()
+    assert {tuple(r) for r in counts} == {("01", "a", 3), ("01", "b", 1), ("02", "0", 3)}

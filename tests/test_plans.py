@@ -80,15 +80,18 @@ def test_frequency_scans_once_and_counts_before_the_shuffle(spark, tmp_path):
     assert "partial_count" in text
 
 
-def test_large_side_is_salted_not_broadcast(spark):
+def test_large_side_is_shuffled_and_hot_keys_spread(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         rows = spark.range(100).withColumn("k", F.col("id") % 5)
         side = spark.range(5).select(F.col("id").alias("k"), F.lit("v").alias("v"))
-        text = plan(lookup_join(rows, side, ["k"], BroadcastBound(rows=1)))
+        cold = plan(lookup_join(rows, side, ["k"], BroadcastBound(rows=1)))
+        hot = plan(lookup_join(rows, side, ["k"], BroadcastBound(rows=1), hot_rows=10), "simple")
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert "Broadcast" not in text and "hashpartitioning(k" in text and "_salt" in text
+    assert "Broadcast" not in cold and "hashpartitioning(k" in cold
+    # what is broadcast is the list of hot keys; the side itself is shuffled with the parts
+    assert hot.count("hashpartitioning(k") == 2 and "_part" in hot
 
 
 def test_prefix_join_is_no_theta_join(spark):
@@ -96,7 +99,7 @@ def test_prefix_join_is_no_theta_join(spark):
         spark.createDataFrame([(i, e["code"], e["description"]) for i, e in enumerate(ICD_ITEMS)], "ord int, code string, description string"),
         BroadcastBound(0, 0),
     )
-    df = spark.range(10).select(F.lit("A019").alias("c"))
+    df = spark.range(10).select(F.concat(F.lit("A01"), F.col("id").cast("string")).alias("c"))
     text = plan(resolve_codes(df, ["c"], dictionary, BroadcastBound(0, 0)))
     assert "NestedLoop" not in text and "Cartesian" not in text
 

@@ -269,12 +269,34 @@ def test_dictionary_file(spark, tmp_path):
     assert values(resolve_codes(frame(spark, "A01", "B123"), ["c"], dictionary)) == ["último", "longo"]
 
 
-def test_salted_join_equals_broadcast(spark):
-    rows = spark.range(1000).select(F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).alias("k"))
+@pytest.mark.parametrize("hot_rows", [1, 50, 10_000])
+def test_spread_join_equals_broadcast(spark, hot_rows):
+    key = F.when(F.col("id") % 3 == 0, 7).when(F.col("id") % 3 == 1, F.col("id"))
+    rows = spark.range(0, 1000, 1, 8).select("id", key.alias("k"))
     side = spark.range(500).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
-    salted = lookup_join(rows, side, ["k"], BroadcastBound(10, 10))
+    spread = lookup_join(rows, side, ["k"], BroadcastBound(10, 10), hot_rows=hot_rows)
     plain = lookup_join(rows, side, ["k"])
-    assert sorted(map(str, salted.collect())) == sorted(map(str, plain.collect()))
+    assert spread.columns == plain.columns
+    assert sorted(map(str, spread.collect())) == sorted(map(str, plain.collect()))
+
+
+def test_hot_rows_are_spread(spark):
+    rows = spark.range(0, 8000, 1, 8).select(F.lit("A").alias("k"), F.when(F.col("id") < 4000, "B").alias("j"))
+    side = spark.createDataFrame([("A", "B", 1)], "k string, j string, v int")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        joined = lookup_join(rows, side, ["k", "j"], small=False, hot_rows=500)
+        sizes = [r[1] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
+        assert joined.where("v = 1").count() == 4000 and joined.where("v is null").count() == 4000
+        assert sum(sizes) == 8000 and max(sizes) < 5000
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def test_measuring_a_side(spark):
+    side = spark.range(500).select("id", F.lit("text").alias("v"))
     assert fits(side) and not fits(side, BroadcastBound(499)) and not fits(side, BroadcastBound(size=100))
 
 
@@ -340,10 +362,11 @@ def test_scan_reads_only_the_grid(spark, tmp_path, branches):
         spark.range(rows).write.parquet(f"{base}/sia-parquet/PA/{name}.parquet")
     spark.range(9).write.parquet(f"{base}/sia-parquet/PA/PAMSP2101.parquet")
     found = scan_bronze(spark, base, SPECS["SIA.PA"].layout, ["SP", "MG"], [2021], max_branches=branches)
-    counts = sorted(tuple(r) for r in found.groupBy("tabela", "uf", "ano", "mes", "dataset").count().collect())
+    keys = ["tabela", "uf", "ano", "mes", "segmento", "dataset"]
+    counts = sorted(tuple(r) for r in found.groupBy(*keys).count().collect())
     assert counts == [
-        ("PA", "SP", "2021", "01", "PASP2101a", 3), ("PA", "SP", "2021", "01", "PASP2101b", 4),
-        ("PA", "SP", "2021", "02", "PASP2102", 5),
+        ("PA", "SP", "2021", "01", "a", "PASP2101a", 3), ("PA", "SP", "2021", "01", "b", "PASP2101b", 4),
+        ("PA", "SP", "2021", "02", "0", "PASP2102", 5),
     ]
     with pytest.raises(ValueError, match="no dataset"):
         scan_bronze(spark, base, SPECS["SIA.PA"].layout, ["AC"], [2021])

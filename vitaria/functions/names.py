@@ -36,16 +36,20 @@ def coordinates(name: Column, monthly: bool, segments: bool = False) -> dict[str
     """State, year and month of a dataset name whose table is already known.
 
     Fixed positions from the end of the name: cheaper than a pattern match
-    where it runs for every row.
+    where it runs for every row. Tables with segments also get ``segmento``,
+    ``0`` for a dataset without a letter.
     """
     core = name
+    found = {}
     if segments:
-        has_letter = F.right(name, F.lit(1)).between("a", "z")
+        last = F.right(name, F.lit(1))
+        has_letter = last.between("a", "z")
         core = F.when(has_letter, F.substr(name, F.lit(1), F.length(name) - 1)).otherwise(name)
+        found = {"segmento": F.when(has_letter, last).otherwise("0")}
     uf = F.substring(core, -6, 2)
     if not monthly:
-        return {"uf": uf, "ano": F.substring(core, -4, 4)}
-    return {"uf": uf, "ano": full_year(F.substring(core, -4, 2)), "mes": F.substring(core, -2, 2)}
+        return {"uf": uf, "ano": F.substring(core, -4, 4)} | found
+    return {"uf": uf, "ano": full_year(F.substring(core, -4, 2)), "mes": F.substring(core, -2, 2)} | found
 
 
 def region_of(uf: Column) -> Column:

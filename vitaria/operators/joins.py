@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -18,8 +19,11 @@ class BroadcastBound:
     size: int = 64 * 1024 * 1024
 
 
-# copies of the keyed side when rows of a hot key have to be spread
-SALTS = 16
+# A key with more rows than this is hot: its rows are spread over several tasks.
+HOT_ROWS = 1_000_000
+# At most so many keys are spread, the hottest. Any other key then holds less
+# than one row in HOT_KEYS and is joined the ordinary way.
+HOT_KEYS = 1_000
 
 
 def _row_bytes(frame: DataFrame):
@@ -46,19 +50,44 @@ def lookup_join(
     keys: Sequence[str],
     bound: BroadcastBound = BroadcastBound(),
     small: bool | None = None,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Left join ``side``, whose ``keys`` are unique, onto ``rows``.
 
     The side is measured (unless ``small`` says what is known of it). Within
     the bound it is broadcast and ``rows`` are not shuffled. Beyond it both are
-    shuffled on the keys and a salt, so that the rows of a hot key spread over
-    ``SALTS`` tasks.
+    shuffled on the keys; the rows of hot keys, null included, are counted
+    first and spread over tasks of about ``hot_rows`` rows, and only the side's
+    row for such a key is copied.
     """
     keys = list(keys)
     if small if small is not None else fits(side, bound):
         return rows.join(F.broadcast(side), keys, "left")
-    # The salt is the number of the task a row comes from: the same again when
-    # a lost task is run anew.
-    salted = rows.withColumn("_salt", F.spark_partition_id() % SALTS)
-    copies = side.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    return salted.join(copies, [*keys, "_salt"], "left").drop("_salt")
+    hot = _hot_keys(rows, keys, hot_rows)
+    if hot is None:
+        return rows.join(side, keys, "left")
+    columns = [c for c in rows.columns if c not in keys]
+    # A row's part is fixed by the task it comes from: the same again when a
+    # lost task is run anew.
+    part = F.coalesce(F.spark_partition_id() % F.col("_parts"), F.lit(0))
+    spread = _mark(rows, hot, keys).withColumn("_part", part).drop("_parts")
+    copies = _mark(side, hot, keys).withColumn(
+        "_part", F.explode(F.sequence(F.lit(0), F.coalesce("_parts", F.lit(1)) - 1))
+    )
+    joined = spread.join(copies.drop("_parts"), [*keys, "_part"], "left")
+    return joined.select(*keys, *columns, *[c for c in side.columns if c not in keys])
+
+
+def _hot_keys(rows: DataFrame, keys: list[str], hot_rows: int) -> DataFrame | None:
+    """``keys`` as ``_hot0, _hot1, …`` with their number of parts; HOT_KEYS rows at most."""
+    counts = rows.groupBy(*keys).agg(F.count("*").alias("_n")).where(F.col("_n") > hot_rows)
+    parts = F.ceil(F.col("_n") / hot_rows).cast("int").alias("_parts")
+    named = [F.col(k).alias(f"_hot{i}") for i, k in enumerate(keys)]
+    hottest = counts.orderBy(F.desc("_n")).limit(HOT_KEYS).select(*named, parts)
+    found = hottest.collect()
+    return rows.sparkSession.createDataFrame(found, hottest.schema) if found else None
+
+
+def _mark(frame: DataFrame, hot: DataFrame, keys: list[str]) -> DataFrame:
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_hot{i}")) for i, k in enumerate(keys)])
+    return frame.join(F.broadcast(hot), same, "left").drop(*[f"_hot{i}" for i in range(len(keys))])

@@ -7,6 +7,7 @@ from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from vitaria.functions import age_is_bad, coordinates, date_is_bad
 from vitaria.operators import columns as ops
@@ -19,7 +20,7 @@ from vitaria.plans.specs import TableSpec
 from vitaria.sinks.tables import write_silver
 from vitaria.sources.bronze import MONTHS, dataset_files, dataset_glob, scan_datasets
 from vitaria.sources.dictionary import CodeDictionary
-from vitaria.sources.tables import read_silver, silver_path
+from vitaria.sources.tables import SILVER_KEYS, read_silver, silver_path
 
 
 def apply_step(
@@ -106,7 +107,7 @@ def with_options(spec: TableSpec, keep: bool = False, dates: bool = False, icd:
     return replace(spec, steps=tuple(steps))
 
 
-COORDINATES = ("tabela", "uf", "ano", "mes", "dataset")
+COORDINATES = ("tabela", "uf", "ano", "mes", "segmento", "dataset")
 
 
 @dataclass(frozen=True)
@@ -154,11 +155,13 @@ def run_datasets(
     names = [name for _, name, _ in dataset_files(spark, *places, extension=spec.layout.extension)]
     rows = scan_datasets(spark, places, spec.layout, **scan_options)
     result = apply_chain(rows, spec, dictionary)
-    keys = write_silver(result, silver, spec.system, spec.table, rebalance=rebalance)
+    stored = write_silver(result, silver, spec.system, spec.table, rebalance=rebalance)
     if "years" in spec.steps:
         kept = {row.dataset for row in result.select("dataset").distinct().collect()}
-        _empty_partitions(result, spec, silver, keys, [name for name in names if name not in kept])
-    written = read_silver(spark, silver, spec.system, spec.table).where(F.col("dataset").isin(names))
+        _empty_partitions(spark, stored, spec, silver, [name for name in names if name not in kept])
+    written = read_silver(spark, silver, spec.system, spec.table, stored).where(F.col("dataset").isin(names))
+    for key, values in _coordinate_values(spark, spec, names).items():
+        written = written.where(F.col(key).isin(values))
     before = audit(rows, F.col("dataset"), [c for c in rows.columns if c not in COORDINATES])
     after = audit(written, F.col("dataset"), [c for c in result.columns if c not in COORDINATES])
     used = [*spec.rules.age_columns, *spec.rules.icd_columns] if "icd" in spec.steps else []
@@ -171,18 +174,28 @@ def run_datasets(
     )
 
 
+def _places(spark: SparkSession, spec: TableSpec, names: Sequence[str]) -> DataFrame:
+    listed = spark.createDataFrame([(name,) for name in names], "dataset string")
+    keys = coordinates(F.col("dataset"), spec.layout.monthly, bool(spec.layout.segments))
+    return add_region(listed.select(*[value.alias(key) for key, value in keys.items()])).distinct()
+
+
+def _coordinate_values(spark: SparkSession, spec: TableSpec, names: Sequence[str]) -> dict[str, list[str]]:
+    """Values of each partition column, so that a read of the table is pruned to them."""
+    places = _places(spark, spec, names)
+    found = places.agg(*[F.collect_set(key).alias(key) for key in places.columns]).first()
+    return {key: sorted(values) for key, values in found.asDict().items() if key != "regiao"}
+
+
 def _empty_partitions(
-    result: DataFrame, spec: TableSpec, silver: str, keys: Sequence[str], names: Sequence[str]
+    spark: SparkSession, stored: T.StructType, spec: TableSpec, silver: str, names: Sequence[str]
 ) -> None:
     """Leave no older rows where a run kept none: a dynamic overwrite does not touch those."""
-    spark = result.sparkSession
-    stored = result.drop("tabela", *keys)
-    nothing = spark.createDataFrame([], stored.schema).coalesce(1)
     if not names:
         return
-    listed = spark.createDataFrame([(name,) for name in names], "dataset string")
-    places = add_region(
-        listed.withColumns(coordinates(F.col("dataset"), spec.layout.monthly, bool(spec.layout.segments)))
-    ).select(F.concat_ws("/", *[F.concat(F.lit(f"{key}="), key) for key in keys]).alias("place"))
-    for row in places.distinct().collect():
-        nothing.write.mode("overwrite").parquet(f"{silver_path(silver, spec.system, spec.table)}/{row.place}")
+    keys = [key for key in SILVER_KEYS if key in stored.names]
+    columns = T.StructType([field for field in stored if field.name not in keys])
+    nothing = spark.createDataFrame([], columns).coalesce(1)
+    for row in _places(spark, spec, names).collect():
+        place = "/".join(f"{key}={row[key] or '__HIVE_DEFAULT_PARTITION__'}" for key in keys)
+        nothing.write.mode("overwrite").parquet(f"{silver_path(silver, spec.system, spec.table)}/{place}")

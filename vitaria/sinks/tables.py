@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from vitaria.operators.partitions import add_region
 from vitaria.sources.bronze import dataset_files
@@ -19,7 +20,7 @@ def write_silver(
     table: str,
     partition_by: Sequence[str] = SILVER_KEYS,
     rebalance: bool = False,
-) -> list[str]:
+) -> T.StructType:
     """Overwrite exactly the partitions of a silver table that ``df`` holds.
 
     The region of the state is added; columns of ``partition_by`` that the
@@ -27,21 +28,21 @@ def write_silver(
     already lie together by partition, so nothing is shuffled and each task
     writes its own part. ``rebalance=True`` is for frames that do not: one
     shuffle on the partition columns in which large partitions are split and
-    small ones joined. Returns the partition columns used.
+    small ones joined. Returns the schema of the table as written.
     """
     if "regiao" in partition_by and "regiao" not in df.columns and "uf" in df.columns:
         df = add_region(df)
     keys = [c for c in partition_by if c in df.columns]
     if rebalance:
         df = df.hint("rebalance", *[F.col(c) for c in keys])
+    stored = df.drop("tabela")
     (
-        df.drop("tabela")
-        .write.mode("overwrite")
+        stored.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*keys)
         .parquet(silver_path(base, system, table))
     )
-    return keys
+    return stored.schema
 
 
 def write_table(
@@ -74,7 +75,7 @@ def convert_datasets(
 
 def write_report_csv(report: DataFrame, path: str) -> None:
     """A small report as one CSV file with a header."""
-    report.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
+    report.repartition(1).write.mode("overwrite").option("header", True).csv(path)
 
 
 def write_json_rows(df: DataFrame, path: str, partition_by: Sequence[str] = ("uf",)) -> None:

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from vitaria.functions.names import dataset_name
 
-SILVER_KEYS = ("regiao", "uf", "ano", "mes")
+SILVER_KEYS = ("regiao", "uf", "ano", "mes", "segmento")
 
 
 def read_records(
@@ -78,10 +78,16 @@ def silver_path(base: str, system: str, table: str) -> str:
     return f"{base.rstrip('/')}/{system}/{table}"
 
 
-def read_silver(spark: SparkSession, base: str, system: str, table: str) -> DataFrame:
-    """A silver table with its partition columns as text, so ``mes`` stays ``01``."""
+def read_silver(
+    spark: SparkSession, base: str, system: str, table: str, schema: T.StructType | None = None
+) -> DataFrame:
+    """A silver table with its partition columns as text, so ``mes`` stays ``01``.
+
+    Without ``schema`` the columns of all its files are merged, which reads
+    every footer.
+    """
     path = silver_path(base, system, table)
-    found = spark.read.option("mergeSchema", "true").parquet(path).schema
+    found = schema or spark.read.option("mergeSchema", "true").parquet(path).schema
     fields = [
         T.StructField(f.name, T.StringType() if f.name in SILVER_KEYS else f.dataType, True)
         for f in found
