@@ -2,19 +2,21 @@
 
 from __future__ import annotations
 
+import json
 from dataclasses import replace
 
 from pyspark.sql import functions as F
 
-from checks.registry import check, sql_case
+from checks.registry import check, sql_case, table
 from checks.stand_ins import (
     ADMISSIONS_SQL, AGE_SQL, ICD_ITEMS, ICD_SQL, MORTALITY_SQL, OUTPATIENT_SQL,
-    admissions, mortality, outpatient, resolve_sql,
+    admissions, day_text, mortality, outpatient, resolve_sql,
 )
 from checks.storage import bronze_of
 from vitaria import fixed_values as fv
 from vitaria.plans.chain import apply_chain, run_table, with_options
 from vitaria.plans.specs import SPECS
+from vitaria.rules import load_rules
 from vitaria.sinks.shared import new_folder
 from vitaria.sources import CodeDictionary, read_silver
 from vitaria.streaming.daily import refresh_new_datasets
@@ -133,3 +135,24 @@ def daily_mortality(spark, sf_dir):
         bronze_of(part, "sim-parquet", "DO", base=bronze, mode="append")
         refresh_new_datasets(spark, SPECS["SIM.DO"], bronze, silver, state, schema, dictionary).awaitTermination()
     return read_silver(spark, silver, "SIM", "DO").drop("dataset", "regiao")
+
+
+@check(
+    "rule_files",
+    "select o_orderkey as \"Pedido\", case o_orderstatus when 'F' then 'Fechado' else o_orderstatus end as \"Fase\","
+    " cast(cast(o_orderdate as date) as varchar) as dia from orders",
+)
+def rule_files(spark, sf_dir):
+    # the rules come from files, the table from the data
+    files = {
+        "drop": ["o_custkey", "o_totalprice", "o_orderpriority", "o_orderdate"],
+        "recode": {"o_orderstatus": {"F": "Fechado"}},
+        "rename": {"o_orderkey": "Pedido", "o_orderstatus": "Fase"},
+        "dates": ["dia"],
+    }
+    paths = {name: new_folder(spark, f"rules-{name}") for name in files}
+    for name, content in files.items():
+        spark.createDataFrame([(json.dumps(content),)], "value string").write.text(paths[name])
+    spec = replace(SPECS["SIA.AM"], rules=load_rules(spark, **paths), steps=("drop", "recode", "dates", "rename"))
+    orders = table(spark, sf_dir, "orders").withColumn("dia", day_text(F.col("o_orderdate")))
+    return apply_chain(orders, spec).withColumn("dia", F.col("dia").cast("string"))

@@ -405,3 +405,21 @@ def test_delta_without_library(spark, tmp_path):
     assert read_delta(spark, f"{tmp_path}/t.delta", raw_files=True).count() == 2
     layout = BronzeLayout("X", "d", extension="delta")
     assert dataset_glob("/b", layout, ["SP"], [2021], [1]).endswith("X{SP}{21}{01}.delta")
+
+
+def test_rules_from_files(spark, tmp_path):
+    files = {
+        "drop": [{"id": 0, "to_drop": ["ORIGEM"]}, {"id": 1, "to_drop": ["SEXO"]}],
+        "recode": [{"id": 0, "column_name": "SEXO", "to_replace": ["1"], "value": ["Homem"]}],
+        "rename": {"SEXO": "Sexo"},
+        "dates": ["DT_INTER"],
+    }
+    for name, content in files.items():
+        (tmp_path / f"{name}.json").write_text(json.dumps(content), encoding="utf-8")
+    paths = {name: f"{tmp_path}/{name}.json" for name in files}
+    loaded = rules.load_rules(spark, SPECS["SIM.DO"].rules, **paths)
+    assert loaded.drop == ["ORIGEM"] and loaded.recode == {"SEXO": {"1": "Homem"}} and loaded.rename == {"SEXO": "Sexo"}
+    assert loaded.dates == {"DT_INTER": "yyyyMMdd"} and loaded.age_columns == ["IDADE"]
+    assert rules.load_rules(spark, drop=paths["drop"], drop_entries="all").drop == ["ORIGEM", "SEXO"]
+    with pytest.raises(ValueError, match="old to new"):
+        rules.load_rules(spark, rename=paths["dates"])

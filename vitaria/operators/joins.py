@@ -38,9 +38,8 @@ def _row_bytes(frame: DataFrame):
 
 
 def fits(frame: DataFrame, bound: BroadcastBound = BroadcastBound()) -> bool:
-    """Count a frame, stopping just past the bound, and tell if it is within."""
-    sample = frame.select(_row_bytes(frame).alias("size")).limit(bound.rows + 1)
-    rows, size = sample.agg(F.count("*"), F.coalesce(F.sum("size"), F.lit(0))).first()
+    """Count the rows and bytes of a frame and tell if they are within the bound."""
+    rows, size = frame.agg(F.count("*"), F.coalesce(F.sum(_row_bytes(frame)), F.lit(0))).first()
     return rows <= bound.rows and size <= bound.size
 
 

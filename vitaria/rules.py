@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Iterable, Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import SparkSession
 
@@ -83,3 +83,31 @@ def dictionary_entries(items: Iterable[Mapping]) -> list[tuple[int, str, str | N
     for item in items:
         merged[item["code"]] = item["description"]
     return [(position, code, text) for position, (code, text) in enumerate(merged.items())]
+
+
+def load_rules(
+    spark: SparkSession,
+    start: Rules = Rules(),
+    *,
+    drop: str | None = None,
+    drop_entries: str = "first",
+    recode: str | None = None,
+    strict_recode: bool = False,
+    rename: str | None = None,
+    dates: str | None = None,
+    date_pattern: str = "yyyyMMdd",
+) -> Rules:
+    """``start`` with the parts for which a rule file is given replaced by it."""
+    found = {}
+    if drop is not None:
+        found["drop"] = drop_list(read_json(spark, drop), drop_entries)
+    if recode is not None:
+        found["recode"] = recode_table(read_json(spark, recode), strict_recode)
+    if rename is not None:
+        names = read_json(spark, rename)
+        if not isinstance(names, dict) or not all(isinstance(new, str) for new in names.values()):
+            raise ValueError(f"{rename}: a map of old to new column names expected")
+        found["rename"] = names
+    if dates is not None:
+        found["dates"] = {column: date_pattern for column in drop_list(read_json(spark, dates))}
+    return replace(start, **found)
