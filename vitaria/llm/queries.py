@@ -2,10 +2,19 @@
 
 from __future__ import annotations
 
+import hashlib
+
+import pandas as pd
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.functions import pandas_udf
 
+from vitaria.llm.chat import CONTROLS, format_chats, read_turns, unescape
+from vitaria.llm.classifier import score_quality
+from vitaria.llm.fingerprints import fingerprint_neighbours
+from vitaria.llm.html_text import extract_main_text
+from vitaria.llm.lm import score_texts
 from vitaria.llm.mixing import mix_sources
 from vitaria.llm.packing import pack_documents, word_tokens
 from vitaria.llm.quality import quality_rules
@@ -113,14 +122,77 @@ def substrings(spark, sf_dir):
     )
 
 
+_CONTROL = "|".join(rf"{c[0]}\\*{c[1:]}".replace("|", "\\|") if c[0] != "[" else rf"\[\\*{c[1:-1]}\]" for c in CONTROLS)
+_CONTROLS_IN = lambda column: f"len(regexp_extract_all({column}, '{_CONTROL}'))"
+CHATS_SQL = rf"""
+with t as (select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+  union all select -7, 0, 'user', '</s>[INST] ok [/INST]' union all select -7, 1, 'assistant', '</s>[INST] ok [/INST]'),
+s as (select conv_id, count(*) as n_turns, string_agg(role || chr(10) || text || chr(10), '' order by turn nulls first, role, text) as turns,
+  coalesce(string_agg(text, '' order by turn nulls first, role, text) filter (role = 'assistant'), '') as loss,
+  sum({sum(map(len, CONTROLS[:3])) + 1} + length(role) + length(text) + {_CONTROLS_IN('role')} + {_CONTROLS_IN('text')})::bigint as formatted_chars
+  from t group by conv_id)
+select conv_id, n_turns, sha256(turns) as turns_sha256, length(loss) as loss_chars, sha256(loss) as loss_sha256, formatted_chars from s"""
+
+
+@query("op4_format_chats", CHATS_SQL)
+def chats(spark, sf_dir):
+    text = "</s>[INST] ok [/INST]"
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    added = spark.createDataFrame([(-7, 0, "user", text), (-7, 1, "assistant", text)], rows.schema)
+
+    @pandas_udf("n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string")
+    def read_back(formatted: pd.Series, spans: pd.Series) -> pd.DataFrame:
+        rows = []
+        for text, found in zip(formatted, spans, strict=True):
+            turns = read_turns(text)
+            loss = "".join(unescape(text[s["start"] : s["end"]]) for s in found)
+            whole = "".join(f"{role}\n{said}\n" for role, said in turns)
+            digests = [hashlib.sha256(x.encode()).hexdigest() for x in (whole, loss)]
+            rows.append((len(turns), digests[0], len(loss), digests[1]))
+        return pd.DataFrame(rows, columns=["n_turns", "turns_sha256", "loss_chars", "loss_sha256"])
+
+    formatted = format_chats(rows.union(added)).withColumn("read", read_back("formatted", "loss_spans"))
+    return formatted.select("conv_id", "read.*", F.char_length("formatted").cast("long").alias("formatted_chars"))
+
+
 @query("op5_pack_documents")
 def packing(spark, sf_dir):
     tokens = word_tokens(public_tokenizers.path("word_bpe_49k.json"))
     return pack_documents(table(spark, sf_dir, "documents"), tokens)
 
 
+@query("op6_order_minhash")
+def fingerprints(spark, sf_dir):
+    return fingerprint_neighbours(table(spark, sf_dir, "documents"))
+
+
+def _remainder(n: int):
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % n
+
+
+@query("op7_score_texts")
+def language_model(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").withColumn("learns", _remainder(7) != 2)
+    return score_texts(docs, "learns").withColumn("held_out", F.coalesce(_remainder(7) == 2, F.lit(False)))
+
+
 @query("op8_simhash_groups")
 def simhash(spark, sf_dir):
     groups = simhash_groups(table(spark, sf_dir, "documents"))
     digits = F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint")
     return groups.select("doc_id", digits, "component_id")
+
+
+@query("op9_score_quality")
+def classifier(spark, sf_dir):
+    labels = table(spark, sf_dir, "labels").where(_remainder(4) != 2)
+    scores = score_quality(table(spark, sf_dir, "documents"), labels)
+    return scores.select(
+        "doc_id", F.coalesce(_remainder(4) == 2, F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted")
+    )
+
+
+@query("op10_main_text")
+def main_texts(spark, sf_dir):
+    pages = extract_main_text(table(spark, sf_dir, "pages")).withColumnRenamed("main_text", "text")
+    return pages.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
