@@ -41,7 +41,7 @@ def part_cuts(hashes: np.ndarray, parts: int) -> Iterator[tuple[int, int, int]]:
 
 def pack(numbers: np.ndarray) -> bytes:
     """Bytes of whole numbers, all first bytes first: small numbers then compress well."""
-    return np.ascontiguousarray(numbers).view(np.uint8).reshape(len(numbers), -1).T.tobytes()
+    return np.ascontiguousarray(numbers).view(np.uint8).reshape(len(numbers), numbers.itemsize).T.tobytes()
 
 
 def unpack(data: bytes, kind) -> np.ndarray:

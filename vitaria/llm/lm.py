@@ -319,6 +319,22 @@ def _letter_bits(tokens: Tokens, chosen: np.ndarray, model: Model) -> np.ndarray
     return np.bincount(word, cost, minlength=len(chosen))
 
 
+def _again_bits(tokens: Tokens, fresh: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which new words their text has brought before, and the bits of saying so and of which one it is."""
+    if not len(fresh):
+        return np.zeros(0, bool), np.zeros(0)
+    owner = tokens.owner[fresh]
+    order = np.lexsort((np.arange(len(fresh)), tokens.keys[fresh], owner))
+    same = (tokens.keys[fresh][order][1:] == tokens.keys[fresh][order][:-1]) & (owner[order][1:] == owner[order][:-1])
+    again = np.zeros(len(fresh), bool)
+    again[order[1:]] = same
+    begin = np.searchsorted(owner, owner)  # owners ascend
+    so_far = np.r_[0, np.cumsum(again)[:-1]]
+    repeats, seen = so_far - so_far[begin], np.arange(len(fresh)) - begin
+    chance = np.where(seen > 0, (repeats + 0.5) / (seen + 2), 0.0)
+    return again, -np.log2(np.where(again, chance / np.maximum(seen - repeats, 1), 1 - chance))
+
+
 def _token_bits(tokens: Tokens, counts: np.ndarray, model: Model) -> np.ndarray:
     """Bits of every token, given the counts of all in the training texts."""
     met = counts > 0
@@ -329,7 +345,10 @@ def _token_bits(tokens: Tokens, counts: np.ndarray, model: Model) -> np.ndarray:
     bits = -np.log2(np.where(met, 1 - new, new))
     known = _signature_bits(tokens, met, model)
     bits += np.where(met, known + np.log2(np.maximum(model.signature_tokens[tokens.signatures], 1)) - np.log2(np.maximum(counts, 1)), 0)
-    bits[fresh] += _letter_bits(tokens, fresh, model)
+    again, cost = _again_bits(tokens, fresh)
+    bits[fresh] += cost
+    unseen = fresh[~again]
+    bits[unseen] += _letter_bits(tokens, unseen, model)
     return bits
 
 
