@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import os
 import zlib
+from array import array
 from bisect import bisect_left, insort
 from collections.abc import Callable, Iterator
 
@@ -200,6 +201,11 @@ def pack_documents(
     )
 
 
+_LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
+#: Signs that a tokenizer by kinds of characters parts from a letter before them; not the apostrophe.
+_SIGNS = b".,;:!?*#$%&+=|()[]{}<>/\\\"-_~^@"
+
+
 class _WordIds:
     """Token ids of white-space separated words, remembered for the words met last."""
 
@@ -208,6 +214,7 @@ class _WordIds:
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs the tasks side by side
         self.tokenizer, self.held = Tokenizer.from_file(path), held
+        self.special = [x.content.encode() for x in self.tokenizer.get_added_tokens_decoder().values()]
         self.recent: dict[bytes, bytes] = {}
         self.older: dict[bytes, bytes] = {}
 
@@ -215,32 +222,49 @@ class _WordIds:
         texts = [w.decode("utf-8", "replace") for w in words]
         for at in range(0, len(texts), 4096):
             for found in self.tokenizer.encode_batch_fast(texts[at : at + 4096], add_special_tokens=False):
-                yield np.array(found.ids, "<u4").tobytes()
+                yield array("I", found.ids).tobytes()
 
     def learn(self, words: set[bytes]) -> None:
+        """Words of the next texts, and nothing that is known already, are encoded.
+
+        Signs after a letter are a piece of their own to the tokenizer, so a word is
+        put together from what is before them and the signs.
+        """
+        if len(self.recent) > self.held:
+            self.older, self.recent = self.recent, {}
         recent, older = self.recent, self.older
-        fresh = [w for w in words if w not in recent]
-        if len(recent) + len(fresh) > self.held:
-            self.older, self.recent = recent, {}
-            older, recent = self.older, self.recent
-            fresh = list(words)
-        new = []
-        for w in fresh:
-            if (ids := older.get(w)) is None:
-                new.append(w)
-            else:
-                recent[w] = ids
+        fresh, joined = set(), []
+        for word in words:
+            if word in recent:
+                continue
+            if (ids := older.get(word)) is not None:
+                recent[word] = ids
+                continue
+            stem = word.rstrip(_SIGNS)
+            if len(stem) in (0, len(word)) or not 97 <= stem[-1] <= 122 or any(x in word for x in self.special):
+                fresh.add(word)
+                continue
+            joined.append((word, stem, word[len(stem) :]))
+            for part in joined[-1][1:]:
+                if part not in recent:
+                    if (ids := older.get(part)) is not None:
+                        recent[part] = ids
+                    else:
+                        fresh.add(part)
+        new = list(fresh)
         recent.update(zip(new, self._encode(new), strict=True))
+        for word, stem, signs in joined:
+            recent[word] = recent[stem] + recent[signs]
 
 
 _word_ids: dict[tuple[str, int], _WordIds] = {}
 
 
-def word_tokens(path: str, end_id: int = 1, held: int = 1 << 18):
-    """Token ids of texts by a public tokenizer that parts words at white space, followed by ``end_id``.
+def word_tokens(path: str, end_id: int = 1, held: int = 300_000):
+    """Token ids of texts by a public tokenizer without case that parts words at white space, followed by ``end_id``.
 
     Such a tokenizer gives a text the ids of its words one after the other, so each
-    different word is encoded once and remembered by the Python worker, ``held`` at a time.
+    different word is encoded once and remembered by the Python worker, about ``held`` at a time.
     """
 
     def start() -> Callable[[list], Iterator[np.ndarray]]:
@@ -250,7 +274,7 @@ def word_tokens(path: str, end_id: int = 1, held: int = 1 << 18):
         end = np.array([end_id], "<u4").tobytes()
 
         def encode(texts: list) -> Iterator[np.ndarray]:
-            split = [text.encode("utf-8", "surrogatepass").split() for text in texts]
+            split = [text.encode("utf-8", "surrogatepass").translate(_LOWER).split() for text in texts]
             known.learn(set().union(*split))
             for words in split:
                 yield np.frombuffer(b"".join([*map(known.recent.__getitem__, words), end]), "<u4")
