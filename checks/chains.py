@@ -18,6 +18,7 @@ from vitaria.plans.chain import apply_chain, run_table, with_options
 from vitaria.plans.specs import SPECS
 from vitaria.rules import load_rules
 from vitaria.sinks.shared import new_folder
+from vitaria.sinks.tables import listed_as_text
 from vitaria.sources import CodeDictionary, read_silver
 from vitaria.streaming.daily import refresh_new_datasets
 
@@ -85,7 +86,7 @@ def run_mortality(spark, sf_dir):
 
 @check(
     "run_outpatient_audit",
-    f"select 'AM' || uf || substr(ano, 3, 2) || mes as \"Arquivo\", count(*) as registros_antes, count(*) as registros_depois,"
+    f"select 'AM' || uf || substr(ano, 3, 2) || mes || '.parquet' as \"Arquivo\", count(*) as registros_antes, count(*) as registros_depois,"
     " cast(0 as bigint) as registros_perdidos, 'AP_CONDIC, AP_SEXO, AP_RACACOR, AP_OBITO, AP_MNDIF, AP_CMP, AP_MVM' as colunas_removidas,"
     " 'Condicao de pagamento, Sexo, Raça/Cor, Obito, Data de atendimento' as colunas_adicionadas"
     f" from ({OUTPATIENT_SQL}) where uf = 'SP' group by uf, ano, mes",
@@ -93,7 +94,7 @@ def run_mortality(spark, sf_dir):
 def run_outpatient(spark, sf_dir):
     base = bronze_of(outpatient(spark, sf_dir), "sia-parquet/AM", "AM")
     outcome = run_table(spark, SPECS["SIA.AM"], base, new_folder(spark, "silver"), ["SP"], range(1990, 2010))
-    return outcome.changes
+    return listed_as_text(outcome.changes)
 
 
 _RUN_ADMISSIONS = f"""select *, ['SP', 'RJ'][cast("CGC_HOSP" as bigint) % 2 + 1] as uf, "ANO_CMPT" as ano,
@@ -133,7 +134,7 @@ def daily_mortality(spark, sf_dir):
     dictionary = CodeDictionary.from_entries(spark, ICD_ITEMS)
     for part in (rows.where("ano < '1998'"), rows.where("ano >= '1998'")):
         bronze_of(part, "sim-parquet", "DO", base=bronze, mode="append")
-        refresh_new_datasets(spark, SPECS["SIM.DO"], bronze, silver, state, schema, dictionary).awaitTermination()
+        refresh_new_datasets(spark, SPECS["SIM.DO"], bronze, silver, state, schema, dictionary)
     return read_silver(spark, silver, "SIM", "DO").drop("dataset", "regiao")
 
 

@@ -12,7 +12,7 @@ from vitaria import fixed_values as fv
 from vitaria.functions import parse_dataset
 from vitaria.operators import columns as ops
 from vitaria.operators.codes import distinct_codes, exact_lookup, resolve_codes, resolve_distinct
-from vitaria.operators.joins import BroadcastBound
+from vitaria.operators.joins import BroadcastBound, lookup_join
 from vitaria.operators.partitions import add_region, in_regions, missing_partitions
 from vitaria.sinks.shared import new_folder
 from vitaria.sources import CodeDictionary
@@ -145,11 +145,20 @@ def region_enrich(spark, sf_dir):
     "select n_nationkey, n_name, r_name from nation left join region on n_regionkey = r_regionkey",
 )
 def region_of_nation(spark, sf_dir):
-    nation, region = table(spark, sf_dir, "nation"), table(spark, sf_dir, "region")
-    # two fixed dimension tables: the choice of join is left to the optimizer
-    return nation.join(region, F.col("n_regionkey") == F.col("r_regionkey"), "left").select(
-        "n_nationkey", "n_name", "r_name"
-    )
+    nation = table(spark, sf_dir, "nation").withColumnRenamed("n_regionkey", "r_regionkey")
+    return lookup_join(nation, table(spark, sf_dir, "region"), ["r_regionkey"]).select("n_nationkey", "n_name", "r_name")
+
+
+@check(
+    "lookup_hot_keys",
+    "select l_orderkey, l_linenumber, l_suppkey, s_name from lineitem left join supplier on l_suppkey = s_suppkey and s_suppkey % 3 > 0",
+)
+def lookup_hot_keys(spark, sf_dir):
+    # the side counts as large, and every supplier has more rows than are allowed in one task
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", F.col("l_suppkey").alias("s_suppkey"))
+    side = table(spark, sf_dir, "supplier").where("s_suppkey % 3 > 0").select("s_suppkey", "s_name")
+    joined = lookup_join(lines, side, ["s_suppkey"], small=False, hot_rows=100)
+    return joined.select("l_orderkey", "l_linenumber", F.col("s_suppkey").alias("l_suppkey"), "s_name")
 
 
 @check("region_members", f"select chave, uf from ({MORTALITY_SQL}) where uf in ('SP', 'RJ', 'MG', 'ES')")

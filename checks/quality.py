@@ -16,6 +16,7 @@ from vitaria.operators.quality import audit, audit_datasets, audit_diff, missing
 from vitaria.operators.years import filter_years
 from vitaria.plans.chain import chain_lineage, chain_quarantine, with_options
 from vitaria.plans.specs import SPECS
+from vitaria.sinks.tables import listed_as_text
 
 COLUMNS = {
     "region": ["r_regionkey", "r_name"],
@@ -44,7 +45,7 @@ _AUDIT_SQL = " union all ".join(
 
 @check("audit_counts", _AUDIT_SQL)
 def audit_counts(spark, sf_dir):
-    return audit_datasets(spark, sf_dir)
+    return listed_as_text(audit_datasets(spark, sf_dir))
 
 
 @check(
@@ -74,7 +75,7 @@ def diff(spark, sf_dir):
     orders = table(spark, sf_dir, "orders")
     year = F.date_format("o_orderdate", "yyyy")
     kept = ops.drop_columns(filter_years(orders, "o_orderdate", ["1996", "1997"]), ["o_orderpriority"])
-    return audit_diff(audit(orders, year), audit(kept, year))
+    return listed_as_text(audit_diff(audit(orders, year), audit(kept, year)))
 
 
 _BAD_AGE = 'case when "IDADE" like \'x%\' then true else false end'
@@ -126,17 +127,17 @@ def _files(spark, sf_dir):
 
 @check(
     "file_metadata",
-    "select base || '@sia_v1' as \"qualifiedName\", base || 'Teste' as name, 'Descrição da entidade de teste' as description,"
-    f" 'Airflow' as owner, base || '.parquet' as filename from ({_FILES_SQL})",
+    "select base || '@bronze' as \"qualifiedName\", base || 'Teste' as name, 'Óbitos' as description,"
+    f" 'equipe' as owner, base || '.parquet' as filename from ({_FILES_SQL})",
 )
 def metadata(spark, sf_dir):
     files = _files(spark, sf_dir).select(F.concat("dataset", F.lit(".parquet")).alias("filename"))
-    return file_metadata(files, name_suffix="Teste")
+    return file_metadata(files, "filename", "Teste", "equipe", "Óbitos")
 
 
 @check(
     "process_lineage",
-    "select 'process.drop.DataSUS@' || base as \"qualifiedName\", 'drop do arquivo ' || base as name, 'dados' as owner,"
+    "select 'process.drop.vitaria@' || base as \"qualifiedName\", 'drop do arquivo ' || base as name, 'dados' as owner,"
     " 'Transformação de drop' as description, '' as added_columns, 'CAUSABAS_O, ORIGEM' as deleted_columns,"
     f" base as inputs, base as outputs from ({_FILES_SQL})",
 )
@@ -149,7 +150,7 @@ def process(spark, sf_dir):
 
 @check(
     "chain_lineage",
-    "select 'process.' || step || '.DataSUS@' || base as \"qualifiedName\", step || ' do arquivo ' || base as name,"
+    "select 'process.' || step || '.vitaria@' || base as \"qualifiedName\", step || ' do arquivo ' || base as name,"
     " 'dados' as owner, 'Transformação de ' || step as description, added as added_columns, deleted as deleted_columns"
     f" from ({_FILES_SQL}), (values ('drop', '', 'CAUSABAS_O, ORIGEM'), ('recode', '', ''), ('age', '', ''),"
     " ('rename', 'Idade, Causa Básica, Sexo, Raça/Cor, Data do Óbito', 'IDADE, CAUSABAS, SEXO, RACACOR, DTOBITO'))"
@@ -167,12 +168,12 @@ def lineage(spark, sf_dir):
 
 @check(
     "lineage_edges",
-    "select distinct 'dataset_process' as \"typeName\", base || '@sia_v1' as end1, 'process.drop.DataSUS@' || base as end2"
+    "select distinct 'dataset_process' as \"typeName\", base || '@bronze' as end1, 'process.drop.vitaria@' || base as end2"
     f" from ({_FILES_SQL})",
 )
 def edges(spark, sf_dir):
     pairs = _files(spark, sf_dir).select(
-        F.concat("dataset", F.lit("@sia_v1")).alias("origem"),
-        F.concat(F.lit("process.drop.DataSUS@"), "dataset").alias("destino"),
+        F.concat("dataset", F.lit("@bronze")).alias("origem"),
+        F.concat(F.lit("process.drop.vitaria@"), "dataset").alias("destino"),
     )
     return lineage_edges(pairs, "dataset_process")

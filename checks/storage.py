@@ -130,8 +130,8 @@ def scan_literal(spark, sf_dir):
 @check("scan_delta_files", f"select chave, \"AP_CONDIC\" from ({OUTPATIENT_SQL}) where uf = 'SP' and ano = '1998' and mes = '03'")
 def scan_delta_files(spark, sf_dir):
     # no Delta library here: all Parquet files of the directory are read
-    base = bronze_of(outpatient(spark, sf_dir), "datasus_sia_delta", "PAR", extension="delta")
-    return read_delta(spark, f"{base}/datasus_sia_delta/dataset=PARSP9803.delta", raw_files=True).select("chave", "AP_CONDIC")
+    base = bronze_of(outpatient(spark, sf_dir), "sia-delta", "PAR", extension="delta")
+    return read_delta(spark, f"{base}/sia-delta/dataset=PARSP9803.delta", raw_files=True).select("chave", "AP_CONDIC")
 
 
 @check(
@@ -139,7 +139,7 @@ def scan_delta_files(spark, sf_dir):
     f"select chave, linha, uf, ano, mes from ({OUTPATIENT_SQL}) where uf = 'SP' and ano in ('1998', '1999') and mes = '01'",
 )
 def scan_delta_grid(spark, sf_dir):
-    base = bronze_of(outpatient(spark, sf_dir), "datasus_sia_delta", "PAR", extension="delta")
+    base = bronze_of(outpatient(spark, sf_dir), "sia-delta", "PAR", extension="delta")
     return scan(spark, base, "SIA.PAR", ["SP"], [1998, 1999], [1], raw_delta_files=True).select("chave", "linha", "uf", "ano", "mes")
 
 

@@ -1,5 +1,8 @@
 """Whole runs on small datasets laid out like the real ones."""
 
+import os
+import shutil
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -63,10 +66,10 @@ def test_mortality_run(spark, tmp_path, dictionary):
         ("NORDESTE", "PE", "2020", 6), ("NORDESTE", "PI", "2020", 12),
     ]
     changes = {r[fv.AUDIT_FILE]: r for r in outcome.changes.collect()}
-    assert changes["DOPI2020"].registros_antes == 12 and changes["DOPI2020"].registros_perdidos == 0
-    assert "ORIGEM" in changes["DOPI2020"].colunas_removidas and "Idade" in changes["DOPI2020"].colunas_adicionadas
+    assert changes["DOPI2020.parquet"].registros_antes == 12 and changes["DOPI2020.parquet"].registros_perdidos == 0
+    assert "ORIGEM" in changes["DOPI2020.parquet"].colunas_removidas and "Idade" in changes["DOPI2020.parquet"].colunas_adicionadas
     assert {tuple(r) for r in outcome.quarantine.collect()} == {("DOPE2020", "IDADE", "x", 1), ("DOPI2020", "IDADE", "x", 2)}
-    assert {tuple(r) for r in outcome.missing.collect()} == {("DOPE2020", "CAUSABAS_O"), ("DOPI2020", "CAUSABAS_O")}
+    assert {tuple(r) for r in outcome.missing.collect()} == {("DOPE2020.parquet", "CAUSABAS_O"), ("DOPI2020.parquet", "CAUSABAS_O")}
 
 
 def test_second_run_replaces_only_its_partitions(spark, tmp_path, dictionary):
@@ -96,7 +99,7 @@ def test_admissions_run_and_emptied_partition(spark, tmp_path):
     stored = read_silver(spark, silver, "SIH", "RD")
     assert {"CNPJ do Hospital", "CNPJ do Hospital_2", "Data de Inicio", "ano_inter"} <= set(stored.columns)
     assert {tuple(r) for r in stored.select("mes", "ano_inter").collect()} == {("01", "2020"), ("01", "2021"), ("02", "2021")}
-    assert {r[fv.AUDIT_FILE]: r.registros_perdidos for r in outcome.changes.collect()} == {"RDSP2201": 1, "RDSP2202": 0}
+    assert {r[fv.AUDIT_FILE]: r.registros_perdidos for r in outcome.changes.collect()} == {"RDSP2201.parquet": 1, "RDSP2202.parquet": 0}
     # a corrected file without any row of those years must leave nothing behind
     admissions(spark, "20180101").write.mode("overwrite").parquet(f"{folder}/RDSP2202.parquet")
     run_table(spark, spec, bronze, silver, ["SP"], [2022])
@@ -187,20 +190,103 @@ def test_daily_refresh_takes_only_new_datasets(spark, tmp_path, dictionary):
     spec = SPECS["SIM.DO"]
 
     def refresh():
-        query = refresh_new_datasets(spark, spec, bronze, silver, f"{tmp_path}/state", schema, dictionary)
-        query.awaitTermination(120)
-        assert query.exception() is None
+        return refresh_new_datasets(spark, spec, bronze, silver, f"{tmp_path}/state", schema, dictionary)
 
     deaths(spark).coalesce(1).write.parquet(f"{bronze}/sim-parquet/DOPE2020.parquet")
     refresh()
     deaths(spark, 2).coalesce(1).write.parquet(f"{bronze}/sim-parquet/DOPI2020.parquet")
     deaths(spark).coalesce(1).write.mode("append").parquet(f"{bronze}/sim-parquet/DOPE2020.parquet")
     refresh()
-    refresh()
+    assert refresh() is None
     counts = read_silver(spark, silver, "SIM", "DO").groupBy("uf").count().collect()
     assert {tuple(r) for r in counts} == {("PE", 12), ("PI", 12)}
 
 
+def set_times(folder, moment):
+    for path in folder.rglob("*"):
+        os.utime(path, (moment, moment))
+
+
+def test_daily_refresh_takes_files_of_any_age(spark, tmp_path, dictionary):
+    bronze, silver, folder = tmp_path / "bronze", str(tmp_path / "silver"), tmp_path / "bronze" / "sim-parquet"
+
+    def refresh():
+        return refresh_new_datasets(spark, SPECS["SIM.DO"], str(bronze), silver, f"{tmp_path}/state", None, dictionary)
+
+    deaths(spark).coalesce(1).write.parquet(f"{folder}/DOPE2020.parquet")
+    refresh()
+    deaths(spark).coalesce(1).write.parquet(f"{folder}/DOPI2020.parquet")
+    set_times(folder / "DOPI2020.parquet", 1_500_000_000)
+    refresh()
+    assert {r.uf for r in read_silver(spark, silver, "SIM", "DO").collect()} == {"PE", "PI"}
+    # one dataset loses its rows, another its files
+    deaths(spark).limit(0).write.mode("overwrite").parquet(f"{folder}/DOPE2020.parquet")
+    deaths(spark).coalesce(1).write.parquet(f"{folder}/DOSP2020.parquet")
+    assert {r.registros_depois for r in refresh().changes.where("Arquivo = 'DOPE2020.parquet'").collect()} == {0}
+    assert {r.uf for r in read_silver(spark, silver, "SIM", "DO").collect()} == {"PI", "SP"}
+    shutil.rmtree(folder / "DOSP2020.parquet")
+    assert refresh() is None
+    assert {r.uf for r in read_silver(spark, silver, "SIM", "DO").collect()} == {"PI"}
+
+
+def test_daily_refresh_leaves_other_tables_of_the_folder(spark, tmp_path):
+    folder, silver = tmp_path / "bronze" / "sia-parquet" / "AM", str(tmp_path / "silver")
+    rows = spark.createDataFrame([("EP",)] * 3, "AP_CONDIC string").coalesce(1)
+    for name in ("AMSP2101", "AQSP2101"):
+        rows.write.parquet(f"{folder}/{name}.parquet")
+    refresh_new_datasets(spark, SPECS["SIA.AM"], str(tmp_path / "bronze"), silver, f"{tmp_path}/state")
+    assert {r.dataset for r in read_silver(spark, silver, "SIA", "AM").collect()} == {"AMSP2101"}
+
+
+def test_failed_dataset_is_reported_and_tried_again(spark, tmp_path, dictionary):
+    bronze, silver, folder = tmp_path / "bronze", str(tmp_path / "silver"), tmp_path / "bronze" / "sim-parquet"
+    deaths(spark).coalesce(1).write.parquet(f"{folder}/DOPE2020.parquet")
+    (folder / "DOPI2020.parquet").mkdir()
+    (folder / "DOPI2020.parquet" / "part.parquet").write_text("no parquet")
+
+    def refresh():
+        return refresh_new_datasets(spark, SPECS["SIM.DO"], str(bronze), silver, f"{tmp_path}/state", None, dictionary)
+
+    assert [r.dataset for r in refresh().failures.collect()] == ["DOPI2020"]
+    assert {r.uf for r in read_silver(spark, silver, "SIM", "DO").collect()} == {"PE"}
+    deaths(spark).coalesce(1).write.mode("overwrite").parquet(f"{folder}/DOPI2020.parquet")
+    assert refresh().failures.count() == 0
+    assert {r.uf for r in read_silver(spark, silver, "SIM", "DO").collect()} == {"PE", "PI"}
+
+
+def test_emptied_mortality_dataset_leaves_nothing(spark, tmp_path, dictionary):
+    bronze, silver = str(tmp_path / "bronze"), str(tmp_path / "silver")
+    deaths(spark).write.parquet(f"{bronze}/sim-parquet/DOPE2020.parquet")
+    spec = SPECS["SIM.DO"]
+    run_table(spark, spec, bronze, silver, ["PE", "AC"], [2020], dictionary=dictionary)
+    deaths(spark).limit(0).write.mode("overwrite").parquet(f"{bronze}/sim-parquet/DOPE2020.parquet")
+    outcome = run_table(spark, spec, bronze, silver, ["PE", "AC"], [2020], dictionary=dictionary)
+    assert read_silver(spark, silver, "SIM", "DO", deaths(spark).schema.add("dataset", "string")).count() == 0
+    assert [tuple(r)[1:4] for r in outcome.changes.collect()] == [(0, 0, 0)]
+    assert [tuple(r) for r in outcome.absent.collect()] == [("AC", "2020")]
+
+
+def test_drifted_datasets_run_together(spark, tmp_path, dictionary):
+    bronze, silver = str(tmp_path / "bronze"), str(tmp_path / "silver")
+    deaths(spark).write.parquet(f"{bronze}/sim-parquet/DOPE2020.parquet")
+    numbers = deaths(spark).where("SEXO is not null").withColumn("SEXO", F.col("SEXO").cast("int")).drop("IDADE", "ESC")
+    numbers.withColumn("a, b", F.lit(1)).write.parquet(f"{bronze}/sim-parquet/DOPI2020.parquet")
+    outcome = run_table(spark, SPECS["SIM.DO"], bronze, silver, ["PE", "PI"], [2020], dictionary=dictionary)
+    stored = read_silver(spark, silver, "SIM", "DO")
+    assert {r.Sexo for r in stored.where("uf = 'PE'").collect()} == {"Homem", "Mulher", "Ignorado", "3", None}
+    assert {r.Sexo for r in stored.where("uf = 'PI'").collect()} == {"1", "2", "0", "3"}  # numbers match no code
+    assert {tuple(r) for r in outcome.missing.collect()} == {
+        ("DOPI2020.parquet", "IDADE"), ("DOPE2020.parquet", "CAUSABAS_O"), ("DOPI2020.parquet", "CAUSABAS_O"),
+    }
+    changes = {r[fv.AUDIT_FILE]: r for r in outcome.changes.collect()}
+    assert "a, b" not in changes["DOPI2020.parquet"].colunas_removidas and "Idade" in changes["DOPE2020.parquet"].colunas_adicionadas
+    assert "Idade" not in changes["DOPI2020.parquet"].colunas_adicionadas
+    renamed = {r.qualifiedName: r.added_columns for r in outcome.lineage.where("name like 'rename%'").collect()}
+    assert "Idade" in renamed["process.rename.vitaria@DOPE2020"] and "Idade" not in renamed["process.rename.vitaria@DOPI2020"]
+    outcome.store(f"{tmp_path}/reports")
+    assert spark.read.parquet(f"{tmp_path}/reports/changes").count() == 2 and spark.read.parquet(f"{tmp_path}/reports/failures").count() == 0
+
+
 def test_a_segment_is_replaced_alone(spark, tmp_path):
     bronze, silver = str(tmp_path / "bronze"), str(tmp_path / "silver")
     folder, spec = f"{bronze}/sia-parquet/PA", SPECS["SIA.PA"]

@@ -10,7 +10,7 @@ from vitaria.operators.codes import resolve_codes
 from vitaria.operators.years import filter_years
 from vitaria.sources import CodeDictionary
 
-from tests.test_units import brute
+from tests.test_units import expected_text
 
 few = settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 texts = st.text("AB1é", max_size=4)
@@ -30,7 +30,7 @@ def test_resolve(spark, items, entries):
     df = spark.createDataFrame([(i, v) for i, v in enumerate(items)], "i int, c string")
     dictionary = CodeDictionary.from_entries(spark, [{"code": k, "description": d} for k, d in entries])
     found = [r.c for r in resolve_codes(df, ["c"], dictionary).orderBy("i").collect()]
-    assert found == [brute(v, entries) for v in items]
+    assert found == [expected_text(v, entries) for v in items]
 
 
 @few

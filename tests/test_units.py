@@ -12,7 +12,8 @@ from vitaria.functions import decode_age, lookup_or, parse_dataset, region_of, y
 from vitaria.operators import columns as ops
 from vitaria.operators.codes import exact_lookup, resolve_codes
 from vitaria.operators.frequency import stack_columns, value_counts
-from vitaria.operators.joins import BroadcastBound, fits, lookup_join
+from vitaria.operators import joins
+from vitaria.operators.joins import BroadcastBound, fits, hot_keys, lookup_join
 from vitaria.operators.lineage import file_metadata, process_records
 from vitaria.operators.quality import audit, audit_datasets, audit_diff, missing_columns, quarantine
 from vitaria.operators.years import filter_years, year_predicate
@@ -223,16 +224,20 @@ def test_grid(spark):
 # --- codes -------------------------------------------------------------------
 
 
-def brute(code, entries):
-    table = {}
-    for key, text in entries:
-        table[key] = text
-    if code is None:
-        return None
-    text = table.get(code, code)
-    if text == code:
-        return next((table[key] for key in table if code.startswith(key)), code)
-    return text
+def expected_text(code, entries):
+    """What a code becomes, stated on the list of entries.
+
+    Of entries that repeat a code the last text holds, at the place of the first.
+    Those whose code begins the given one are candidates. The one equal to it
+    decides unless its text only repeats the code; then the foremost does.
+    """
+    candidates = [(place, key) for place, (key, _) in enumerate(entries) if code is not None and code[: len(key)] == key]
+    if not candidates:
+        return code
+    final = dict(entries)
+    if code in final and final[code] != code:
+        return final[code]
+    return final[min(candidates)[1]]
 
 
 ENTRIES = [("A", "letra A"), ("A01", "exato"), ("B12", "longo"), ("B1", "curto"), ("C", "C"), ("C3", "c três"), ("A01", "último"), ("R9", "r"), ("R99", "R99")]
@@ -241,7 +246,7 @@ CODES = ["A01", "A02", "A0", "B123", "B19", "C34", "C", "R99", "R991", "Z", "",
 
 def test_resolve_codes_both_ways(spark):
     items = [{"code": c, "description": d} for c, d in ENTRIES]
-    expected = [brute(code, ENTRIES) for code in CODES]
+    expected = [expected_text(code, ENTRIES) for code in CODES]
     small = CodeDictionary.from_entries(spark, items)
     df = spark.createDataFrame([(i, c, c) for i, c in enumerate(CODES)], "i int, CAUSABAS string, CAUSABAS_O string")
     found = resolve_codes(df, fv.SIM_ICD_COLUMNS, small).orderBy("i").collect()
@@ -280,19 +285,52 @@ def test_spread_join_equals_broadcast(spark, hot_rows):
     assert sorted(map(str, spread.collect())) == sorted(map(str, plain.collect()))
 
 
-def test_hot_rows_are_spread(spark):
-    rows = spark.range(0, 8000, 1, 8).select(F.lit("A").alias("k"), F.when(F.col("id") < 4000, "B").alias("j"))
-    side = spark.createDataFrame([("A", "B", 1)], "k string, j string, v int")
+def task_sizes(spark, rows, side, keys, hot_rows):
+    """Joined rows per task, with neither coalescing nor broadcasts in the way."""
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        joined = lookup_join(rows, side, ["k", "j"], small=False, hot_rows=500)
+        joined = lookup_join(rows, side, keys, small=False, hot_rows=hot_rows)
         sizes = [r[1] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
-        assert joined.where("v = 1").count() == 4000 and joined.where("v is null").count() == 4000
-        assert sum(sizes) == 8000 and max(sizes) < 5000
+        return sizes, joined.where("v = 1").count(), joined.where("v is null").count()
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+        spark.conf.unset("spark.sql.adaptive.enabled")
+
+
+@pytest.mark.parametrize("layout", ["one partition", "strided", "even"])
+def test_hot_rows_are_spread(spark, layout):
+    rows = spark.range(0, 8000, 1, 1 if layout == "one partition" else 16)
+    rows = rows.select("id", F.lit("A").alias("k"), F.when(F.col("id") < 4000, "B").alias("j"))
+    if layout == "strided":  # the hot rows lie in two of sixteen partitions
+        rows = rows.where(F.spark_partition_id() % 8 == 0)
+    total = rows.count()
+    side = spark.createDataFrame([("A", "B", 1)], "k string, j string, v int")
+    sizes, found, without = task_sizes(spark, rows, side, ["k", "j"], 250)
+    assert sum(sizes) == total == found + without and found == rows.where("j = 'B'").count()
+    assert max(sizes) < total / 3
+
+
+def test_many_hot_keys_are_all_spread(spark):
+    rows = spark.range(0, 60_000, 1, 4).select("id", (F.col("id") % 1500).alias("k"))
+    hot = hot_keys(rows, [["k"]], 10)
+    assert hot.count() == 1500 and {r["_parts"] for r in hot.collect()} == {4}
+    side = spark.range(1500).select(F.col("id").alias("k"), F.lit(1).alias("v"))
+    sizes, found, _ = task_sizes(spark, rows, side, ["k"], 10)
+    assert found == 60_000 and max(sizes) < 2 * 60_000 / 8
+
+
+def test_list_of_hot_keys_is_bounded(spark, monkeypatch):
+    monkeypatch.setattr(joins, "HOT_LIST", 10)
+    rows = spark.range(1000).select(F.when(F.col("id") < 500, F.lit(-1)).otherwise(F.col("id") % 100).alias("k"))
+    # a hundred keys have five rows each; the least number of a hot key rises to a tenth of all
+    assert [r["_hot0"] for r in hot_keys(rows, [["k"]], 2).collect()] == [-1]
+
+
+def test_hot_keys_of_two_joins_in_one_pass(spark):
+    rows = spark.range(100).select(F.lit("x").alias("a"), F.when(F.col("id") < 60, "y").alias("b"))
+    found = {(r["_of"], r["_hot0"]): r["_parts"] for r in hot_keys(rows, [["a"], ["b"]], 30).collect()}
+    assert found == {(0, "x"): 4, (1, "y"): 2, (1, None): 2}
 
 
 def test_measuring_a_side(spark):
@@ -310,7 +348,7 @@ def test_audit_of_datasets(spark, tmp_path):
     report = audit_datasets(spark, str(tmp_path / "a b"), "inicial")
     assert report.columns == [fv.AUDIT_FILE, fv.AUDIT_ROWS, fv.AUDIT_COLUMNS, "etapa"]
     assert sorted(tuple(r)[:3] for r in report.collect()) == [
-        ("DOES2020.parquet", 0, "id"), ("DORJ2020.parquet", 3, "id"), ("DOSP2020.parquet", 5, "id, x"),
+        ("DOES2020.parquet", 0, ["id"]), ("DORJ2020.parquet", 3, ["id"]), ("DOSP2020.parquet", 5, ["id", "x"]),
     ]
     assert [tuple(r) for r in missing_columns(report, ["x"]).orderBy(fv.AUDIT_FILE).collect()] == [
         ("DOES2020.parquet", "x"), ("DORJ2020.parquet", "x"),
@@ -322,7 +360,7 @@ def test_audit_diff(spark):
     before = audit(df, F.col("d"))
     after = audit(df.where("x > 1").where("d = 'a'").withColumn("y", F.lit(1)).drop("x"), F.col("d"))
     found = {r[0]: tuple(r)[1:] for r in audit_diff(before, after).collect()}
-    assert found == {"a": (2, 1, 1, "x", "y"), "b": (1, None, 1, "d, x", "")}
+    assert found == {"a": (2, 1, 1, ["x"], ["y"]), "b": (1, None, 1, ["d", "x"], [])}
 
 
 def test_quarantine_counts_each_column(spark):
@@ -335,10 +373,10 @@ def test_quarantine_counts_each_column(spark):
 def test_catalog_records(spark):
     files = frame(spark, "DOSP2020.parquet", "DOSP2020.parquet", name="filename")
     assert [tuple(r) for r in file_metadata(files).collect()] == [
-        ("DOSP2020@sia_v1", "DOSP2020", "Descrição da entidade de teste", "Airflow", "DOSP2020.parquet")
+        ("DOSP2020@bronze", "DOSP2020", "", "", "DOSP2020.parquet")
     ]
     record = process_records(frame(spark, "DOSP2020", name="dataset"), "rename", ["a", "b"], ["b", "c"], "equipe").first()
-    assert record.qualifiedName == "process.rename.DataSUS@DOSP2020" and record.name == "rename do arquivo DOSP2020"
+    assert record.qualifiedName == "process.rename.vitaria@DOSP2020" and record.name == "rename do arquivo DOSP2020"
     assert (record.added_columns, record.deleted_columns, record.owner) == (["c"], ["a"], "equipe")
 
 

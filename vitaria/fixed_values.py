@@ -181,7 +181,5 @@ AUDIT_FILE = "Arquivo"
 AUDIT_ROWS = "Número de Registros"
 AUDIT_COLUMNS = "Colunas"
 
-CATALOG_NAMESPACE = "sia_v1"
-CATALOG_OWNER = "Airflow"
-CATALOG_DESCRIPTION = "Descrição da entidade de teste"
-PROCESS_SYSTEM = "DataSUS"
+PROCESS_NAME = "{step} do arquivo {dataset}"
+PROCESS_DESCRIPTION = "Transformação de {step}"

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vitaria.operators.columns import named
-from vitaria.operators.joins import BroadcastBound, lookup_join
+from vitaria.operators.joins import BroadcastBound, fits, hot_keys, lookup_join
 from vitaria.sinks.shared import keep_table
 from vitaria.sources.dictionary import CodeDictionary
 
@@ -41,8 +41,14 @@ def resolve_codes(
             df = _probe_lengths(df, c, dictionary)
         return df
     resolved = keep_table(resolve_distinct(df, present, dictionary, bound), "resolved")
-    for c in present:
-        df = _join_back(df, c, resolved, bound)
+    small = fits(resolved, bound)
+    hot = None
+    if not small:  # hot codes of all columns at once, before any join
+        codes = df.select(*[named(c).cast("string").alias(f"_code{i}") for i, c in enumerate(present)])
+        hot = hot_keys(codes, [[f"_code{i}"] for i in range(len(present))])
+    for i, c in enumerate(present):
+        own = None if hot is None else hot.where(F.col("_of") == i).drop("_of")
+        df = _join_back(df, c, resolved, small, own)
     return df
 
 
@@ -120,9 +126,9 @@ def resolve_distinct(
     )
 
 
-def _join_back(df: DataFrame, column: str, resolved: DataFrame, bound: BroadcastBound) -> DataFrame:
+def _join_back(df: DataFrame, column: str, resolved: DataFrame, small: bool, hot: DataFrame | None) -> DataFrame:
     order = df.columns
     side = resolved.select(F.col("code").alias("_code"), F.struct("description").alias("_hit"))
-    joined = lookup_join(df.withColumn("_code", named(column).cast("string")), side, ["_code"], bound)
+    joined = lookup_join(df.withColumn("_code", named(column).cast("string")), side, ["_code"], small=small, hot=hot)
     value = F.when(F.col("_hit").isNotNull(), F.col("_hit.description")).otherwise(F.col("_code"))
     return joined.select(*[value.alias(c) if c == column else named(c) for c in order])

@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from vitaria.sinks.shared import keep_table
+
 
 @dataclass(frozen=True)
 class BroadcastBound:
@@ -21,9 +23,9 @@ class BroadcastBound:
 
 # A key with more rows than this is hot: its rows are spread over several tasks.
 HOT_ROWS = 1_000_000
-# At most so many keys are spread, the hottest. Any other key then holds less
-# than one row in HOT_KEYS and is joined the ordinary way.
-HOT_KEYS = 1_000
+# The list of hot keys holds at most so many for a join: with the number of rows
+# the least number of rows of a hot key rises.
+HOT_LIST = 100_000
 
 
 def _row_bytes(frame: DataFrame):
@@ -50,25 +52,31 @@ def lookup_join(
     bound: BroadcastBound = BroadcastBound(),
     small: bool | None = None,
     hot_rows: int = HOT_ROWS,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     """Left join ``side``, whose ``keys`` are unique, onto ``rows``.
 
     The side is measured (unless ``small`` says what is known of it). Within
     the bound it is broadcast and ``rows`` are not shuffled. Beyond it both are
     shuffled on the keys; the rows of hot keys, null included, are counted
-    first and spread over tasks of about ``hot_rows`` rows, and only the side's
-    row for such a key is copied.
+    first (unless ``hot`` holds them, see :func:`hot_keys`) and spread over
+    tasks of about ``hot_rows`` rows, and only the side's row for such a key is
+    copied.
     """
     keys = list(keys)
     if small if small is not None else fits(side, bound):
         return rows.join(F.broadcast(side), keys, "left")
-    hot = _hot_keys(rows, keys, hot_rows)
     if hot is None:
+        hot = hot_keys(rows, [keys], hot_rows)
+    hot = hot.where(F.col("_of") == 0).drop("_of") if "_of" in hot.columns else hot
+    if hot.isEmpty():
         return rows.join(side, keys, "left")
     columns = [c for c in rows.columns if c not in keys]
-    # A row's part is fixed by the task it comes from: the same again when a
-    # lost task is run anew.
-    part = F.coalesce(F.spark_partition_id() % F.col("_parts"), F.lit(0))
+    # The part follows from what the row holds, the same again when a lost task
+    # is run anew; rows alike in all are told apart by the task they come from.
+    held = [F.col(f"`{f.name}`") for f in rows.schema if not _has_map(f.dataType)]
+    mark = F.xxhash64(*held, F.spark_partition_id())
+    part = F.coalesce(F.pmod(mark, F.col("_parts")).cast("int"), F.lit(0))
     spread = _mark(rows, hot, keys).withColumn("_part", part).drop("_parts")
     copies = _mark(side, hot, keys).withColumn(
         "_part", F.explode(F.sequence(F.lit(0), F.coalesce("_parts", F.lit(1)) - 1))
@@ -77,14 +85,33 @@ def lookup_join(
     return joined.select(*keys, *columns, *[c for c in side.columns if c not in keys])
 
 
-def _hot_keys(rows: DataFrame, keys: list[str], hot_rows: int) -> DataFrame | None:
-    """``keys`` as ``_hot0, _hot1, …`` with their number of parts; HOT_KEYS rows at most."""
-    counts = rows.groupBy(*keys).agg(F.count("*").alias("_n")).where(F.col("_n") > hot_rows)
+def _has_map(kind: T.DataType) -> bool:
+    return "map<" in kind.simpleString()
+
+
+def hot_keys(rows: DataFrame, keys: Sequence[Sequence[str]], hot_rows: int = HOT_ROWS) -> DataFrame:
+    """``_of, _hot0, _hot1, …, _parts``: hot keys of several joins, counted in one pass.
+
+    ``keys`` lists the key columns of each join, of one type at each place;
+    ``_of`` is the number of the join. The list holds at most
+    ``HOT_LIST`` keys for each join.
+    """
+    keys = [list(k) for k in keys]
+    if len(keys) == 1:
+        named = [F.col(f"`{k}`").alias(f"_hot{i}") for i, k in enumerate(keys[0])]
+        stacked = rows.select(F.lit(0).alias("_of"), *named)
+    else:
+        entries = [
+            F.struct(F.lit(n).alias("_of"), *[F.col(f"`{k}`").alias(f"_hot{i}") for i, k in enumerate(of)])
+            for n, of in enumerate(keys)
+        ]
+        stacked = rows.select(F.explode(F.array(*entries)).alias("_k")).select("_k.*")
+    names = [c for c in stacked.columns if c != "_of"]
+    counted = keep_table(stacked.groupBy("_of", *names).agg(F.count("*").alias("_n")).where(F.col("_n") > hot_rows), "hot-keys")
+    total = counted.agg(F.sum("_n")).first()[0] or 0
+    least = max(hot_rows, -(-total // HOT_LIST))
     parts = F.ceil(F.col("_n") / hot_rows).cast("int").alias("_parts")
-    named = [F.col(k).alias(f"_hot{i}") for i, k in enumerate(keys)]
-    hottest = counts.orderBy(F.desc("_n")).limit(HOT_KEYS).select(*named, parts)
-    found = hottest.collect()
-    return rows.sparkSession.createDataFrame(found, hottest.schema) if found else None
+    return counted.where(F.col("_n") > least).select("_of", *names, parts)
 
 
 def _mark(frame: DataFrame, hot: DataFrame, keys: list[str]) -> DataFrame:

@@ -15,9 +15,9 @@ def file_metadata(
     datasets: DataFrame,
     filename: str = "filename",
     name_suffix: str = "",
-    owner: str = fv.CATALOG_OWNER,
-    description: str = fv.CATALOG_DESCRIPTION,
-    namespace: str = fv.CATALOG_NAMESPACE,
+    owner: str = "",
+    description: str = "",
+    namespace: str = "bronze",
 ) -> DataFrame:
     """One catalog record per dataset file name."""
     files = datasets.select(named(filename).alias("filename")).distinct()
@@ -40,20 +40,28 @@ def process_records(
     dataset: str = "dataset",
     inputs: Column | None = None,
     outputs: Column | None = None,
+    system: str = "vitaria",
 ) -> DataFrame:
-    """One record per dataset for one step, with the columns it added and deleted."""
+    """One record per dataset for one step, with the columns it added and deleted.
+
+    ``system`` names the processing system in the record's identifier.
+    """
     base = named(dataset)
 
+    def filled(pattern: str) -> Column:
+        before, after = pattern.format(step=step, dataset="\0").split("\0")
+        return F.concat(F.lit(before), base, F.lit(after))
+
     def listed(names: Sequence[str]) -> Column:
         return F.array(*[F.lit(n) for n in names]).cast("array<string>")
 
     added = [c for c in columns_after if c not in set(columns_before)]
     deleted = [c for c in columns_before if c not in set(columns_after)]
     return datasets.select(base).distinct().select(
-        F.concat(F.lit(f"process.{step}.{fv.PROCESS_SYSTEM}@"), base).alias("qualifiedName"),
-        F.concat(F.lit(f"{step} do arquivo "), base).alias("name"),
+        F.concat(F.lit(f"process.{step}.{system}@"), base).alias("qualifiedName"),
+        filled(fv.PROCESS_NAME).alias("name"),
         F.lit(owner).alias("owner"),
-        F.lit(f"Transformação de {step}").alias("description"),
+        F.lit(fv.PROCESS_DESCRIPTION.format(step=step)).alias("description"),
         listed(added).alias("added_columns"),
         listed(deleted).alias("deleted_columns"),
         F.array(base if inputs is None else inputs).alias("inputs"),

@@ -39,16 +39,16 @@ def audit(
 ) -> DataFrame:
     """Rows and column list per dataset of one DataFrame.
 
-    ``Arquivo``, ``Número de Registros``, ``Colunas`` and, when given, the
-    stage as ``etapa``. Without ``dataset`` the frame must come straight from
+    ``Arquivo``, ``Número de Registros``, ``Colunas`` (an array) and, when
+    given, the stage as ``etapa``. Without ``dataset`` the frame must come straight from
     files, and their places name the datasets.
     """
     if dataset is None:
         counts = _count_by_place(df).select(_last_name("_place").alias(fv.AUDIT_FILE), F.col("n").alias(fv.AUDIT_ROWS))
     else:
         counts = df.groupBy(dataset.alias(fv.AUDIT_FILE)).agg(F.count("*").alias(fv.AUDIT_ROWS))
-    listed = ", ".join(df.columns if columns is None else columns)
-    report = counts.withColumn(fv.AUDIT_COLUMNS, F.lit(listed))
+    listed = F.array(*[F.lit(c) for c in (df.columns if columns is None else columns)]).cast("array<string>")
+    report = counts.withColumn(fv.AUDIT_COLUMNS, listed)
     return report if stage is None else report.withColumn("etapa", F.lit(stage))
 
 
@@ -63,8 +63,8 @@ def audit_datasets(spark: SparkSession, root: str, stage: str | None = None) ->
         raise ValueError(f"no dataset under {root}")
     schemas = dataset_schemas(spark, paths)
     listed = spark.createDataFrame(
-        [(path, ", ".join(schema.names)) for path, schema in schemas.items()],
-        f"_place string, `{fv.AUDIT_COLUMNS}` string",
+        [(path, schema.names) for path, schema in schemas.items()],
+        f"_place string, `{fv.AUDIT_COLUMNS}` array<string>",
     )
     rows = (
         spark.read.option("recursiveFileLookup", "true")
@@ -80,19 +80,33 @@ def audit_datasets(spark: SparkSession, root: str, stage: str | None = None) ->
     return report if stage is None else report.withColumn("etapa", F.lit(stage))
 
 
+def audit_listed(
+    listed: Sequence[tuple[str, Sequence[str]]], rows: DataFrame, dataset: Column, stage: str | None = None
+) -> DataFrame:
+    """Audit of named datasets, each with its own columns, 0 rows where ``rows`` has none of it."""
+    names = rows.sparkSession.createDataFrame(
+        [(name, list(columns)) for name, columns in listed], f"`{fv.AUDIT_FILE}` string, `{fv.AUDIT_COLUMNS}` array<string>"
+    )
+    counts = rows.groupBy(dataset.alias(fv.AUDIT_FILE)).agg(F.count("*").alias("n"))
+    report = names.join(counts, fv.AUDIT_FILE, "left").select(
+        named(fv.AUDIT_FILE), F.coalesce("n", F.lit(0)).cast("long").alias(fv.AUDIT_ROWS), named(fv.AUDIT_COLUMNS)
+    )
+    return report if stage is None else report.withColumn("etapa", F.lit(stage))
+
+
 def audit_diff(before: DataFrame, after: DataFrame) -> DataFrame:
-    """What changed between two audits: rows lost, columns removed and added."""
+    """What changed between two audits: rows lost, columns removed and added (arrays)."""
 
     def side(report: DataFrame, end: str) -> DataFrame:
         return report.select(
             named(fv.AUDIT_FILE),
             named(fv.AUDIT_ROWS).alias(f"registros_{end}"),
-            F.split(named(fv.AUDIT_COLUMNS), ", ").alias(f"_{end}"),
+            named(fv.AUDIT_COLUMNS).alias(f"_{end}"),
         )
 
     def difference(a: str, b: str) -> Column:
         empty = F.array().cast("array<string>")
-        return F.array_join(F.array_except(F.coalesce(a, empty), F.coalesce(b, empty)), ", ")
+        return F.array_except(F.coalesce(a, empty), F.coalesce(b, empty))
 
     both = side(before, "antes").join(side(after, "depois"), fv.AUDIT_FILE, "full")
     lost = F.coalesce("registros_antes", F.lit(0)) - F.coalesce("registros_depois", F.lit(0))
@@ -132,7 +146,6 @@ def quarantine(df: DataFrame, checks: Mapping[str, Column], dataset: Column) ->
 
 def missing_columns(audits: DataFrame, expected: Sequence[str]) -> DataFrame:
     """Expected columns that a dataset lacks: ``Arquivo coluna``."""
-    there = F.split(named(fv.AUDIT_COLUMNS), ", ")
     wanted = F.array(*[F.lit(c) for c in expected]).cast("array<string>")
-    absent = F.array_except(wanted, there)
+    absent = F.array_except(wanted, named(fv.AUDIT_COLUMNS))
     return audits.select(named(fv.AUDIT_FILE), F.explode(absent).alias("coluna"))

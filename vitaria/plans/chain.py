@@ -5,22 +5,25 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, replace
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from vitaria import fixed_values as fv
 from vitaria.functions import age_is_bad, coordinates, date_is_bad
 from vitaria.operators import columns as ops
 from vitaria.operators.codes import resolve_codes
 from vitaria.operators.lineage import process_records
-from vitaria.operators.partitions import add_region
-from vitaria.operators.quality import audit, audit_diff, missing_columns, quarantine
+from vitaria.operators.partitions import add_region, missing_partitions
+from vitaria.operators.quality import audit_diff, audit_listed, missing_columns, quarantine
 from vitaria.operators.years import filter_years
 from vitaria.plans.specs import TableSpec
+from vitaria.sinks.shared import files_in, remove_folders
 from vitaria.sinks.tables import write_silver
-from vitaria.sources.bronze import MONTHS, dataset_files, dataset_glob, scan_datasets
+from vitaria.sources.bronze import MONTHS, dataset_files, dataset_glob, partition_grid, scan_datasets, unite_drifted
 from vitaria.sources.dictionary import CodeDictionary
-from vitaria.sources.tables import SILVER_KEYS, read_silver, silver_path
+from vitaria.sources.tables import SILVER_KEYS, read_silver, readable_schemas, silver_path
 
 
 def apply_step(
@@ -72,10 +75,17 @@ def chain_columns(
 
 
 def chain_lineage(
-    df: DataFrame, spec: TableSpec, owner: str, dictionary: CodeDictionary | None = None
+    df: DataFrame,
+    spec: TableSpec,
+    owner: str,
+    dictionary: CodeDictionary | None = None,
+    names: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Process records of all steps for the datasets of a bronze frame."""
-    datasets = df.select("dataset").distinct()
+    """Process records of all steps for the datasets of a bronze frame (``names``, if they are known)."""
+    if names is None:
+        datasets = df.select("dataset").distinct()
+    else:
+        datasets = df.sparkSession.createDataFrame([(name,) for name in names], "dataset string")
     records: DataFrame | None = None
     for step, before, after in chain_columns(df, spec, dictionary):
         part = process_records(datasets, step, before, after, owner)
@@ -114,9 +124,11 @@ COORDINATES = ("tabela", "uf", "ano", "mes", "segmento", "dataset")
 class Outcome:
     """Reports on a run, each computed when it is used.
 
-    Audits before and after, what changed between them, rule columns that the
-    datasets lack, and values that could not be read (None where no step of
-    the table reads values).
+    Audits before and after with every dataset's own columns, what changed
+    between them, rule columns that datasets lack, values that could not be
+    read (None where no step of the table reads values), datasets that could
+    not be processed and why, requested coordinates without a dataset (None
+    where datasets were named), and the lineage of every step.
     """
 
     before: DataFrame
@@ -124,6 +136,15 @@ class Outcome:
     changes: DataFrame
     missing: DataFrame
     quarantine: DataFrame | None
+    failures: DataFrame
+    absent: DataFrame | None = None
+    lineage: DataFrame | None = None
+
+    def store(self, folder: str) -> None:
+        """Write each report as a table of its own in a folder."""
+        for name, report in vars(self).items():
+            if report is not None:
+                report.write.mode("overwrite").parquet(f"{folder.rstrip('/')}/{name}")
 
 
 def run_table(
@@ -139,7 +160,24 @@ def run_table(
 ) -> Outcome:
     """Run the chain over the requested datasets and overwrite their silver partitions."""
     glob = dataset_glob(bronze, spec.layout, ufs, years, months)
-    return run_datasets(spark, spec, [glob], silver, dictionary, **options)
+    outcome = run_datasets(spark, spec, [glob], silver, dictionary, **options)
+    monthly = spec.layout.monthly
+    grid = partition_grid(spark, ufs, years, months if monthly else None)
+    keys = ["uf", "ano", "mes"] if monthly else ["uf", "ano"]
+    names = outcome.before.select(F.col(f"`{fv.AUDIT_FILE}`").alias("name"))
+    names = names.union(outcome.failures.select(F.col("dataset").alias("name")))
+    there = coordinates(F.substring_index("name", ".", 1), monthly, bool(spec.layout.segments))
+    return replace(outcome, absent=missing_partitions(grid, names.select(*[there[k].alias(k) for k in keys]), keys))
+
+
+@dataclass(frozen=True)
+class _Group:
+    """Datasets of equal columns and types, read and run together."""
+
+    names: tuple[str, ...]
+    rows: DataFrame
+    result: DataFrame
+    columns: tuple[str, ...]
 
 
 def run_datasets(
@@ -149,53 +187,142 @@ def run_datasets(
     silver: str,
     dictionary: CodeDictionary | None = None,
     rebalance: bool = False,
+    owner: str = "",
+    schema: T.StructType | None = None,
     **scan_options,
 ) -> Outcome:
-    """As :func:`run_table`, for given dataset paths or globs."""
-    names = [name for _, name, _ in dataset_files(spark, *places, extension=spec.layout.extension)]
-    rows = scan_datasets(spark, places, spec.layout, **scan_options)
-    result = apply_chain(rows, spec, dictionary)
-    stored = write_silver(result, silver, spec.system, spec.table, rebalance=rebalance)
-    if "years" in spec.steps:
-        kept = {row.dataset for row in result.select("dataset").distinct().collect()}
-        _empty_partitions(spark, stored, spec, silver, [name for name in names if name not in kept])
-    written = read_silver(spark, silver, spec.system, spec.table, stored).where(F.col("dataset").isin(names))
-    for key, values in _coordinate_values(spark, spec, names).items():
+    """As :func:`run_table`, for given dataset paths or globs.
+
+    Datasets are grouped by their columns and types, each group goes through
+    the chain by itself and the groups are united afterwards, so a code column
+    that holds numbers in one dataset is recoded nowhere else than where it is
+    text. A dataset that cannot be read or written is reported and the others
+    go on. Silver partitions of datasets that kept no row are emptied. With
+    ``schema`` no footer is read and all datasets are taken to have it.
+    """
+    found = dataset_files(spark, *places, extension=spec.layout.extension)
+    if not found:
+        raise ValueError(f"no dataset matches {list(places)}")
+    groups, failed = _groups(spark, spec, found, dictionary, schema, scan_options)
+    names = [name for group in groups for name in group.names]
+    folders = _partition_folders(spark, spec, silver, names)
+    before_files = {folder: files_in(spark, folder) for folder in folders.values()}
+    lost = _write(groups, silver, spec, rebalance)
+    failed |= lost
+    done = [name for name in names if name not in lost]
+    # what holds the files it held before got no row from this run
+    stale = {folders[n] for n in done if before_files[folders[n]] and files_in(spark, folders[n]) == before_files[folders[n]]}
+    remove_folders(spark, sorted(stale))
+    failures = spark.createDataFrame(sorted(failed.items()), "dataset string, erro string")
+    if not groups:
+        raise ValueError(f"no dataset of {list(places)} can be read: {sorted(failed.items())[0]}")
+
+    ending = F.lit(f".{spec.layout.extension}")
+    rows = unite_drifted([g.rows for g in groups])
+    listed = [(f"{n}.{spec.layout.extension}", g.columns) for g in groups for n in g.names if n not in lost]
+    stored = unite_drifted([add_region(g.result) for g in groups]).drop("tabela")
+    written = read_silver(spark, silver, spec.system, spec.table, stored.schema).where(F.col("dataset").isin(done))
+    for key, values in _coordinate_values(spark, spec, done).items():
         written = written.where(F.col(key).isin(values))
-    before = audit(rows, F.col("dataset"), [c for c in rows.columns if c not in COORDINATES])
-    after = audit(written, F.col("dataset"), [c for c in result.columns if c not in COORDINATES])
+    ended = [
+        (f"{n}.{spec.layout.extension}", [c for c in g.result.columns if c not in COORDINATES])
+        for g in groups for n in g.names if n not in lost
+    ]
+    name = F.concat(F.col("dataset"), ending)
+    before, after = audit_listed(listed, rows, name), audit_listed(ended, written, name)
     used = [*spec.rules.age_columns, *spec.rules.icd_columns] if "icd" in spec.steps else []
+    checked = [chain_quarantine(g.rows, spec) for g in groups if _checks(g.rows, spec)]
+    traced = [chain_lineage(g.rows, spec, owner, dictionary, g.names) for g in groups if spec.steps]
     return Outcome(
         before,
         after,
         audit_diff(before, after),
         missing_columns(before, used),
-        chain_quarantine(rows, spec) if _checks(rows, spec) else None,
+        unite_drifted(checked) if checked else None,
+        failures,
+        lineage=unite_drifted(traced) if traced else None,
     )
 
 
+def _groups(
+    spark: SparkSession,
+    spec: TableSpec,
+    found: Sequence[tuple[str, str, int]],
+    dictionary: CodeDictionary | None,
+    schema: T.StructType | None,
+    scan_options: dict,
+) -> tuple[list[_Group], dict[str, str]]:
+    """Datasets by their columns and types, and those that cannot be read with the reason."""
+    if schema is not None or spec.layout.extension == "delta":
+        schemas, failed = {place: schema for place, _, _ in found}, {}
+    else:
+        schemas, bad = readable_schemas(spark, [place for place, _, _ in found])
+        failed = {name: bad[place] for place, name, _ in found if place in bad}
+    members: dict[tuple, list[tuple[str, str]]] = {}
+    for place, name, _ in found:
+        if place in schemas:
+            kinds = schemas[place] and tuple((f.name, f.dataType.simpleString()) for f in schemas[place])
+            members.setdefault(kinds, []).append((place, name))
+    groups = []
+    for own in members.values():
+        names = tuple(name for _, name in own)
+        try:
+            rows = scan_datasets(spark, [place for place, _ in own], spec.layout, schema=schemas[own[0][0]], **scan_options)
+            result = apply_chain(rows, spec, dictionary)
+        except (ValueError, AnalysisException) as error:
+            failed |= dict.fromkeys(names, _reason(error))
+            continue
+        groups.append(_Group(names, rows, result, tuple(c for c in rows.columns if c not in COORDINATES)))
+    return groups, failed
+
+
+def _reason(error: Exception) -> str:
+    return (str(error).strip() or repr(error)).splitlines()[0][:300]
+
+
+def _write(groups: Sequence[_Group], silver: str, spec: TableSpec, rebalance: bool) -> dict[str, str]:
+    """Write all groups at once; if that fails, dataset by dataset. Gives those that failed."""
+    if not groups:
+        return {}
+    try:
+        write_silver(unite_drifted([g.result for g in groups]), silver, spec.system, spec.table, rebalance=rebalance)
+        return {}
+    except Exception:
+        failed = {}
+    for group in groups:
+        for name in group.names:
+            try:
+                write_silver(group.result.where(F.col("dataset") == name), silver, spec.system, spec.table)
+            except Exception as error:  # broken data pages show only when they are read
+                failed[name] = _reason(error)
+    if len(failed) == sum(len(g.names) for g in groups):
+        raise RuntimeError(f"no dataset could be written: {sorted(failed.items())[0]}")
+    return failed
+
+
 def _places(spark: SparkSession, spec: TableSpec, names: Sequence[str]) -> DataFrame:
     listed = spark.createDataFrame([(name,) for name in names], "dataset string")
     keys = coordinates(F.col("dataset"), spec.layout.monthly, bool(spec.layout.segments))
-    return add_region(listed.select(*[value.alias(key) for key, value in keys.items()])).distinct()
+    return add_region(listed.select("dataset", *[value.alias(key) for key, value in keys.items()])).distinct()
 
 
 def _coordinate_values(spark: SparkSession, spec: TableSpec, names: Sequence[str]) -> dict[str, list[str]]:
     """Values of each partition column, so that a read of the table is pruned to them."""
-    places = _places(spark, spec, names)
+    places = _places(spark, spec, names).drop("dataset")
     found = places.agg(*[F.collect_set(key).alias(key) for key in places.columns]).first()
     return {key: sorted(values) for key, values in found.asDict().items() if key != "regiao"}
 
 
-def _empty_partitions(
-    spark: SparkSession, stored: T.StructType, spec: TableSpec, silver: str, names: Sequence[str]
-) -> None:
-    """Leave no older rows where a run kept none: a dynamic overwrite does not touch those."""
-    if not names:
-        return
-    keys = [key for key in SILVER_KEYS if key in stored.names]
-    columns = T.StructType([field for field in stored if field.name not in keys])
-    nothing = spark.createDataFrame([], columns).coalesce(1)
-    for row in _places(spark, spec, names).collect():
-        place = "/".join(f"{key}={row[key] or '__HIVE_DEFAULT_PARTITION__'}" for key in keys)
-        nothing.write.mode("overwrite").parquet(f"{silver_path(silver, spec.system, spec.table)}/{place}")
+def _partition_folders(spark: SparkSession, spec: TableSpec, silver: str, names: Sequence[str]) -> dict[str, str]:
+    """Silver folder of each dataset's partition."""
+    keys = [key for key in SILVER_KEYS if key in {"regiao", "uf", "ano", *(["mes"] if spec.layout.monthly else []), *(["segmento"] if spec.layout.segments else [])}]
+    base = silver_path(silver, spec.system, spec.table)
+    return {
+        row.dataset: "/".join([base, *[f"{key}={row[key] or '__HIVE_DEFAULT_PARTITION__'}" for key in keys]])
+        for row in _places(spark, spec, names).collect()
+    }
+
+
+def empty_partitions(spark: SparkSession, spec: TableSpec, silver: str, names: Sequence[str]) -> None:
+    """Remove the silver partitions of datasets that are no more."""
+    remove_folders(spark, sorted(set(_partition_folders(spark, spec, silver, names).values())))

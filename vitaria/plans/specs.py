@@ -67,7 +67,7 @@ def _outpatient(table: str, segments: str = "") -> TableSpec:
 
 
 def _outpatient_delta(table: str) -> TableSpec:
-    layout = BronzeLayout(table, "datasus_sia_delta", extension="delta")
+    layout = BronzeLayout(table, "sia-delta", extension="delta")
     return TableSpec("SIA", layout, SIA_RULES, ("drop", "recode"))
 
 

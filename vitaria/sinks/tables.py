@@ -73,9 +73,15 @@ def convert_datasets(
     )
 
 
+def listed_as_text(report: DataFrame) -> DataFrame:
+    """A report with its arrays of names as texts, joined by a comma and a space."""
+    arrays = [f.name for f in report.schema if isinstance(f.dataType, T.ArrayType)]
+    return report.withColumns({c: F.array_join(F.col(f"`{c}`"), ", ") for c in arrays})
+
+
 def write_report_csv(report: DataFrame, path: str) -> None:
-    """A small report as one CSV file with a header."""
-    report.repartition(1).write.mode("overwrite").option("header", True).csv(path)
+    """A small report as one CSV file with a header; arrays of names are joined by a comma and a space."""
+    listed_as_text(report).repartition(1).write.mode("overwrite").option("header", True).csv(path)
 
 
 def write_json_rows(df: DataFrame, path: str, partition_by: Sequence[str] = ("uf",)) -> None:

@@ -17,11 +17,13 @@ from pyspark.sql import types as T
 
 from vitaria import fixed_values as fv
 from vitaria.functions.names import coordinates, dataset_name, parse_dataset
-from vitaria.sources.tables import read_delta, read_records
+from vitaria.sources.tables import read_records, require_delta
 
 # Measured: a branch costs the driver about 0.1 s of planning, cutting the
 # coordinates from the path costs about 1 microsecond per row.
 MAX_BRANCHES = 32
+# Each Delta table is a branch of its own in the plan.
+MAX_DELTA_TABLES = 1_000
 MONTHS = tuple(f"{month:02d}" for month in range(1, 13))
 
 
@@ -111,8 +113,11 @@ def scan_datasets(
         found = dataset_files(spark, *places, extension="delta")
         if not found:
             raise ValueError(f"no dataset matches {list(places)}")
-        parts = [_with_coordinates(read_delta(spark, place), layout, F.lit(name)) for place, name, _ in found]
-        return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+        if len(found) > MAX_DELTA_TABLES:
+            raise ValueError(f"{len(found)} Delta tables at once; convert them to one partitioned table and filter that")
+        require_delta(spark, found[0][0])
+        parts = [_with_coordinates(spark.read.format("delta").load(place), layout, F.lit(name)) for place, name, _ in found]
+        return _balanced_union(parts, by_name=True)
     rows = _or_none(lambda: read_records(spark, *places, schema=schema, merge_schema=merge_schema))
     if rows is None:
         raise ValueError(f"no dataset matches {list(places)}")
@@ -129,13 +134,27 @@ def scan_datasets(
         return _balanced_union(list(pool.map(branch, found)))
 
 
-def _balanced_union(parts: list[DataFrame]) -> DataFrame:
+def _balanced_union(parts: list[DataFrame], by_name: bool = False) -> DataFrame:
+    def both(a: DataFrame, b: DataFrame) -> DataFrame:
+        return a.unionByName(b, allowMissingColumns=True) if by_name else a.unionAll(b)
+
     # pairwise, so that the plan stays shallow
     while len(parts) > 1:
-        parts = [reduce(DataFrame.unionAll, parts[i : i + 2]) for i in range(0, len(parts), 2)]
+        parts = [reduce(both, parts[i : i + 2]) for i in range(0, len(parts), 2)]
     return parts[0]
 
 
+def unite_drifted(parts: list[DataFrame]) -> DataFrame:
+    """Union by name; a column whose type differs between the parts becomes text, absent ones are null."""
+    kinds: dict[str, set[str]] = {}
+    for part in parts:
+        for field in part.schema:
+            kinds.setdefault(field.name, set()).add(field.dataType.simpleString())
+    mixed = {c for c, found in kinds.items() if len(found) > 1}
+    text = [p.withColumns({c: F.col(f"`{c}`").cast("string") for c in p.columns if c in mixed}) for p in parts]
+    return _balanced_union(text, by_name=True)
+
+
 def _with_coordinates(rows: DataFrame, layout: BronzeLayout, name: Column) -> DataFrame:
     added = {"tabela": F.lit(layout.table), **coordinates(name, layout.monthly, bool(layout.segments)), "dataset": name}
     taken = [c for c in rows.columns if c.lower() in added]

@@ -44,6 +44,24 @@ def dataset_schemas(spark: SparkSession, paths: Iterable[str], threads: int = 16
         return dict(zip(paths, pool.map(lambda path: read_records(spark, path).schema, paths)))
 
 
+def readable_schemas(
+    spark: SparkSession, paths: Iterable[str], threads: int = 16
+) -> tuple[dict[str, T.StructType], dict[str, str]]:
+    """Schemas of the datasets that can be read, and why the others cannot."""
+
+    def one(path: str) -> T.StructType | str:
+        try:
+            return read_records(spark, path).schema
+        except Exception as error:  # whatever is wrong with one dataset, the others go on
+            return (str(error).strip() or repr(error)).splitlines()[0][:300]
+
+    paths = list(paths)
+    with ThreadPoolExecutor(threads) as pool:
+        found = dict(zip(paths, pool.map(one, paths)))
+    bad = {path: error for path, error in found.items() if isinstance(error, str)}
+    return {path: schema for path, schema in found.items() if path not in bad}, bad
+
+
 def read_mixed(spark: SparkSession, paths: Iterable[str], name: str | None = None) -> DataFrame:
     """Union of datasets whose columns or column types drifted apart.
 
@@ -73,6 +91,12 @@ def read_mixed(spark: SparkSession, paths: Iterable[str], name: str | None = Non
     return result
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is a file or folder, in any store that Spark reads."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+
+
 def silver_path(base: str, system: str, table: str) -> str:
     """Place of one silver table."""
     return f"{base.rstrip('/')}/{system}/{table}"
@@ -106,6 +130,15 @@ def delta_available(spark: SparkSession) -> bool:
     return True
 
 
+def require_delta(spark: SparkSession, path: str) -> None:
+    """Refuse to go on without a Delta library."""
+    if not delta_available(spark):
+        raise RuntimeError(
+            f"cannot read {path}: the session has no Delta library; "
+            "add it, or pass raw_files=True to read all Parquet files of the directory"
+        )
+
+
 def read_delta(spark: SparkSession, path: str, raw_files: bool = False) -> DataFrame:
     """Current snapshot of a Delta table.
 
@@ -114,9 +147,5 @@ def read_delta(spark: SparkSession, path: str, raw_files: bool = False) -> DataF
     """
     if raw_files:
         return read_records(spark, path)
-    if not delta_available(spark):
-        raise RuntimeError(
-            f"cannot read {path}: the session has no Delta library; "
-            "add it, or pass raw_files=True to read all Parquet files of the directory"
-        )
+    require_delta(spark, path)
     return spark.read.format("delta").load(path)

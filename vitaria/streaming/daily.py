@@ -1,15 +1,60 @@
-"""The scheduled run: only datasets with new files go through the chain again."""
+"""The scheduled run: only datasets whose files changed go through the chain again."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import StreamingQuery
 
-from vitaria.plans.chain import run_datasets
+from vitaria.functions.names import parse_dataset
+from vitaria.plans.chain import Outcome, empty_partitions, run_datasets
 from vitaria.plans.specs import TableSpec
+from vitaria.sinks.shared import keep_table
 from vitaria.sources.dictionary import CodeDictionary
+from vitaria.sources.tables import path_exists
+
+
+def list_files(spark: SparkSession, folder: str) -> DataFrame:
+    """``path, length, modificationTime`` of the Parquet files under a folder; no file is opened."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet")
+    return files.load(folder).select("path", "length", "modificationTime")
+
+
+def changed_datasets(spark: SparkSession, spec: TableSpec, bronze: str, checkpoint: str) -> tuple[DataFrame, DataFrame]:
+    """``(place, dataset, there)`` of the table's datasets that changed since the last run, and the listing now.
+
+    A file counts as new when its path, length and time are not in the last
+    listing, however old it is; a dataset also changed when a file of it has gone.
+    ``there`` tells whether it still has files. Datasets of other tables in
+    the same folder are left alone.
+    """
+    now = keep_table(list_files(spark, f"{bronze.rstrip('/')}/{spec.layout.folder}"), "listing")
+    keys = now.columns
+    if path_exists(spark, f"{checkpoint}/listing"):
+        seen = spark.read.parquet(f"{checkpoint}/listing")
+        last = seen.agg(F.max("run")).first()[0]
+        seen = seen.where(F.col("run") == last).select(*keys)
+    else:
+        seen = spark.createDataFrame([], now.schema)
+    there = F.lit(True).alias("there")
+    files = now.join(seen, keys, "left_anti").select("path").union(seen.join(now, keys, "left_anti").select("path"))
+    place = _place(F.col("path"), spec.layout.extension)
+    standing = now.select(place.alias("place"), there).distinct()
+    changed = files.select(place.alias("place")).distinct().join(standing, "place", "left")
+    parsed = parse_dataset(F.col("place"))
+    named = changed.select(
+        "place", F.coalesce("there", F.lit(False)).alias("there"), parsed["tabela"].alias("tabela"),
+        _dataset(F.col("place")).alias("dataset"),
+    )
+    return named.where(F.col("tabela") == spec.layout.table).select("place", "dataset", "there"), now
+
+
+def _place(path: Column, extension: str) -> Column:
+    return F.concat(F.substring_index(path, f".{extension}", 1), F.lit(f".{extension}"))
+
+
+def _dataset(place: Column) -> Column:
+    return F.substring_index(F.substring_index(F.substring_index(place, "/", -1), "=", -1), ".", 1)
 
 
 def refresh_new_datasets(
@@ -18,41 +63,28 @@ def refresh_new_datasets(
     bronze: str,
     silver: str,
     checkpoint: str,
-    schema: T.StructType,
+    schema: T.StructType | None = None,
     dictionary: CodeDictionary | None = None,
-    max_files: int | None = None,
-) -> StreamingQuery:
-    """Process what arrived since the last run, then stop.
-
-    The file source remembers in ``checkpoint`` which files it has seen. A
-    batch names the datasets its files belong to, and those datasets are read
-    whole and their silver partitions overwritten. A batch that is run again
-    after a failure therefore gives the same tables.
+    **options,
+) -> Outcome | None:
+    """Process what changed since the last run; None if nothing did.
+
+    Changed datasets are read whole and their silver partitions overwritten;
+    the partitions of datasets that have gone, or hold no row any more, are
+    emptied. The listing of files is stored under ``checkpoint`` when all is
+    done, so a run that fails is done again as a whole and gives the same tables.
+    Datasets that could not be processed are in the outcome's failures, and are tried again next time.
     """
-    folder = f"{bronze.rstrip('/')}/{spec.layout.folder}"
-    reader = (
-        spark.readStream.schema(schema)
-        .option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", "*.parquet")
-    )
-    if max_files is not None:
-        reader = reader.option("maxFilesPerTrigger", max_files)
-    ending = f".{spec.layout.extension}"
-    decoded = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
-    place = F.concat(F.substring_index(decoded, ending, 1), F.lit(ending))
-
-    def refresh(batch: DataFrame, _: int) -> None:
-        # a dataset without rows names no place; it has nothing to store either
-        places = [row.place for row in batch.distinct().collect()]
-        if places:
-            session = batch.sparkSession
-            run_datasets(session, spec, places, silver, dictionary, schema=schema)
-
-    return (
-        reader.parquet(folder)
-        .select(place.alias("place"))
-        .writeStream.trigger(availableNow=True)
-        .option("checkpointLocation", checkpoint)
-        .foreachBatch(refresh)
-        .start()
-    )
+    changed, now = changed_datasets(spark, spec, bronze, checkpoint)
+    datasets = changed.collect()
+    places = [row.place for row in datasets if row.there]
+    outcome = run_datasets(spark, spec, places, silver, dictionary, schema=schema, **options) if places else None
+    if gone := [row.dataset for row in datasets if not row.there]:
+        empty_partitions(spark, spec, silver, gone)
+    failed = [] if outcome is None else [row.dataset for row in outcome.failures.collect()]
+    known = path_exists(spark, f"{checkpoint}/listing")
+    if datasets or not known:
+        last = spark.read.parquet(f"{checkpoint}/listing").agg(F.max("run")).first()[0] if known else 0
+        done = now.where(~_dataset(_place(F.col("path"), spec.layout.extension)).isin(failed))
+        done.withColumn("run", F.lit((last or 0) + 1)).write.mode("append").partitionBy("run").parquet(f"{checkpoint}/listing")
+    return outcome
