@@ -39,7 +39,7 @@ LETTER_LANES = 64
 PIECE_BYTES = 8 << 20
 _END = b"\n"  # stands for the end of a text; no word holds it
 _PREFIX = 12  # first letters of a word that the context of all its letters sees
-_TOKENS_AT_ONCE = 1 << 17
+_TOKENS_AT_ONCE = 1 << 16
 _SLICE = 1 << 14
 _WIDTHS = np.array([1, 3, 5, 6, 8, 10, 13, 17])
 _ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
