@@ -1,6 +1,6 @@
 """Texts scored by online logistic context mixing over bits.
 
-Every token has a signature of eleven bits: sorts of its first and last characters and its
+Every token has a signature of ten bits: sorts of its first and last characters and its
 length. The bits are predicted one after the other by several hashed contexts, whose
 counts come from all training texts, and by counts of the text itself; a mixer combines
 the predictions in the logistic domain with weights chosen by a gate, learning from every bit,
@@ -25,20 +25,20 @@ from vitaria.llm.session import let_workers_import
 from vitaria.llm.words import hash_spans, mix, spans
 from vitaria.sinks.shared import keep_table
 
-SIGNATURE_BITS = 11
+SIGNATURE_BITS = 10
 #: Slots of one hashed table of counts.
 SLOT_BITS = 18
 LETTER_SLOT_BITS = 18
-#: Contexts of signatures: none, signature before, two signatures before, word before; of letters: one to four before, and all.
-CONTEXTS, LETTER_CONTEXTS = 4, 5
+#: Contexts of signatures: signature before, two signatures before, word before; of letters: two and three before, and all.
+CONTEXTS, LETTER_CONTEXTS = 3, 3
 #: Tokens that the share of new words expected beforehand weighs as much as.
 NEW_WEIGHT = 16
 SEGMENT = 512
 LANES = 2048
-LETTER_LANES = 64
+LETTER_LANES = 128
 PIECE_BYTES = 8 << 20
 _END = b"\n"  # stands for the end of a text; no word holds it
-_PREFIX = 12  # first letters of a word that the context of all its letters sees
+_PREFIX = 10  # first letters of a word that the context of all its letters sees
 _TOKENS_AT_ONCE = 1 << 16
 _SLICE = 1 << 14
 _WIDTHS = np.array([1, 3, 5, 6, 8, 10, 13, 17])
@@ -70,61 +70,76 @@ class Tokens:
         first = self.data[self.starts].astype(np.uint64) << np.uint64(8) | self.data[np.minimum(self.starts + 1, self.ends - 1)]
         last = self.data[self.ends - 1].astype(np.uint64) << np.uint64(8) | self.data[np.maximum(self.ends - 2, self.starts)]
         width = np.searchsorted(_WIDTHS, lengths, side="right") - 1
-        return ((mix(first) >> np.uint64(60)) << np.uint64(7)).astype(np.int64) | width << 4 | (mix(last) >> np.uint64(60)).astype(np.int64)
+        return ((mix(first) >> np.uint64(60)) << np.uint64(6)).astype(np.int64) | width << 3 | (mix(last) >> np.uint64(61)).astype(np.int64)
 
-    def contexts(self) -> np.ndarray:
-        """Hash of each context of every token; contexts begin anew with each text."""
+    def contexts(self) -> list[np.ndarray]:
+        """For each context its hash at every token; contexts begin anew with each text."""
         signature = np.r_[0, self.signatures[:-1] + 1].astype(np.uint64)
         word = np.r_[np.uint64(0), self.hashes[:-1]]
         before = np.r_[np.uint64(0), signature[:-1]]
         signature[self.first] = word[self.first] = before[self.first] = 0
         second = self.first + 1
         before[second[second < len(before)]] = 0
-        none = np.zeros(len(word), np.uint64)
-        return np.stack([none, mix(signature + _ODD[1]), mix(signature * _ODD[0] + before + _ODD[2]), mix(word + _ODD[3])], axis=1)
+        return [_short(signature + _ODD[1]), _short(signature * _ODD[0] + before + _ODD[2]), _short(word + _ODD[3])]
 
 
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
 
+def _short(numbers: np.ndarray) -> np.ndarray:
+    return (mix(numbers) >> np.uint64(32)).astype(np.uint32)
+
+
 def _path(values: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
     """Node before each bit of a number, the root 1, and the bits, most significant first."""
-    shifts = np.arange(bits - 1, -1, -1)
-    return (values[:, None] | 1 << bits) >> shifts + 1, values[:, None] >> shifts & 1
+    shifts = np.arange(bits - 1, -1, -1, dtype=np.int32)
+    values = values.astype(np.int32)[:, None]
+    return (values | np.int32(1 << bits)) >> shifts + np.int32(1), values >> shifts & np.int32(1)
+
+
+def _slots(context: np.ndarray, nodes: np.ndarray, slot_bits: int) -> np.ndarray:
+    """Slot of every ``(context, node)`` in the table of one context."""
+    mixed = nodes.astype(np.uint32)
+    mixed *= np.uint32(0x9E3779B1)
+    mixed += context[:, None]
+    mixed *= np.uint32(0x85EBCA6B)
+    mixed ^= mixed >> np.uint32(15)
+    mixed *= np.uint32(0xC2B2AE35)
+    mixed >>= np.uint32(32 - slot_bits)
+    return mixed
 
 
-def _slots(contexts: np.ndarray, nodes: np.ndarray, slot_bits: int) -> np.ndarray:
-    """Slot of every ``(context, node)`` in its table: one axis for nodes, one for contexts."""
-    mixed = (contexts[:, None, :] + nodes[:, :, None].astype(np.uint64) * _ODD[0]) * _ODD[1]
-    mixed ^= mixed >> np.uint64(29)
-    return ((mixed * _ODD[3]) >> np.uint64(64 - slot_bits)).astype(np.int64)
+def _count(tables: np.ndarray, contexts: list[np.ndarray], values: np.ndarray, bits: int, slot_bits: int) -> None:
+    """Count zeros and ones after each context."""
+    nodes, ones = _path(values, bits)
+    for table, context in zip(tables, contexts, strict=True):
+        slots = (_slots(context, nodes, slot_bits) << np.uint32(1)) | ones.view(np.uint32)
+        table += np.bincount(slots.ravel(), minlength=len(table))
 
 
-def _letters_at(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, place: np.ndarray | int) -> tuple[np.ndarray, np.ndarray]:
+def _letters_at(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
     """Byte of each word at a place, a space after its last, and the hashes of the contexts before it."""
     at = starts + place
     value = np.where(at < ends, data[np.minimum(at, len(data) - 1)], 32).astype(np.int64)
-    context, found = np.zeros(len(at), np.uint64), []
-    for k in range(1, LETTER_CONTEXTS):
-        context = context << np.uint64(8) | np.where(at - k >= starts, data[np.maximum(at - k, 0)], 0).astype(np.uint64)
-        found.append(mix(context + _ODD[k - 1]))
+    one, two, three = (np.where(at - k >= starts, data[np.maximum(at - k, 0)], 0).astype(np.uint64) for k in (1, 2, 3))
+    two = one << np.uint64(8) | two
     prefix = np.zeros(len(at), np.uint64)
     for k in range(_PREFIX):
         inside = starts + k < at
         letter = data[np.minimum(starts + k, len(data) - 1)].astype(np.uint64) + np.uint64(1)
         prefix = np.where(inside, (prefix + letter) * _ODD[k % 4], prefix)
-    return value, np.stack([*found, mix(prefix)], axis=1)
+    return value, [_short(two + _ODD[1]), _short((two << np.uint64(8) | three) + _ODD[2]), _short(prefix)]
 
 
-def _groups(table: Iterator[pa.RecordBatch]) -> Iterator[list[bytes]]:
-    """Training texts, about ``PIECE_BYTES`` together."""
+def _groups(table: Iterator[pa.RecordBatch], size: int) -> Iterator[list[bytes]]:
+    """Training texts, about ``size`` bytes together."""
     texts, held = [], 0
     for batch in table:
         for at in range(0, len(batch), 256):
             for text in texts_of(pa.Table.from_batches([batch.slice(at, 256)]), "text"):
                 texts.append(text)
                 held += len(text)
-                if held >= PIECE_BYTES:
+                if held >= size:
                     yield texts
                     texts, held = [], 0
     if texts:
@@ -135,7 +150,7 @@ def _count_words(parts: int):
     """Different keys of some training texts with their counts, by range of keys."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for texts in _groups(batches):
+        for texts in _groups(batches, PIECE_BYTES):
             keys, counts = np.unique(Tokens(texts).keys, return_counts=True)
             rows = [{"part": p, "keys": pack(keys[a:b]), "counts": pack(counts[a:b])} for p, a, b in part_cuts(keys, parts)]
             yield pa.RecordBatch.from_pylist(rows, _WORD_COUNTS)
@@ -171,24 +186,19 @@ def _count_bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Zeros and ones after every context of a task's training texts, in slices of the tables."""
     tables = np.zeros((CONTEXTS, 2 << SLOT_BITS), np.int64)
     letters = np.zeros((LETTER_CONTEXTS, 2 << LETTER_SLOT_BITS), np.int64)
-    for texts in _groups(batches):
+    for texts in _groups(batches, PIECE_BYTES // 2):
         tokens = Tokens(texts)
         contexts = tokens.contexts()
-        for at in range(0, len(contexts), _TOKENS_AT_ONCE):
-            nodes, bits = _path(tokens.signatures[at : at + _TOKENS_AT_ONCE], SIGNATURE_BITS)
-            slots = _slots(contexts[at : at + _TOKENS_AT_ONCE], nodes, SLOT_BITS) * 2 + bits[:, :, None]
-            for k in range(CONTEXTS):
-                tables[k] += np.bincount(slots[:, :, k].ravel(), minlength=tables.shape[1])
+        for at in range(0, len(tokens.signatures), _TOKENS_AT_ONCE):
+            part = slice(at, at + _TOKENS_AT_ONCE)
+            _count(tables, [c[part] for c in contexts], tokens.signatures[part], SIGNATURE_BITS, SLOT_BITS)
         _, one = np.unique(tokens.keys, return_index=True)
-        for at in range(0, len(one), _TOKENS_AT_ONCE // 8):
-            some = one[at : at + _TOKENS_AT_ONCE // 8]
+        for at in range(0, len(one), _TOKENS_AT_ONCE // 4):
+            some = one[at : at + _TOKENS_AT_ONCE // 4]
             lengths = tokens.ends[some] - tokens.starts[some] + 1
             place = np.arange(lengths.sum()) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-            value, contexts = _letters_at(tokens.data, np.repeat(tokens.starts[some], lengths), np.repeat(tokens.ends[some], lengths), place)
-            nodes, bits = _path(value, 8)
-            slots = _slots(contexts, nodes, LETTER_SLOT_BITS) * 2 + bits[:, :, None]
-            for k in range(LETTER_CONTEXTS):
-                letters[k] += np.bincount(slots[:, :, k].ravel(), minlength=letters.shape[1])
+            value, before = _letters_at(tokens.data, np.repeat(tokens.starts[some], lengths), np.repeat(tokens.ends[some], lengths), place)
+            _count(letters, before, value, 8, LETTER_SLOT_BITS)
     whole = np.concatenate([tables.ravel(), letters.ravel()])
     for number in range(len(whole) // _SLICE):
         part = whole[number * _SLICE : (number + 1) * _SLICE]
@@ -208,6 +218,7 @@ def _add_slices(table: pa.Table) -> pa.Table:
 class Model:
     """What scoring needs besides the counts of a piece's words; its size is fixed."""
 
+    own: np.ndarray  # chance of a one at every node of a signature, whatever the context
     stretched: np.ndarray  # of each context's prediction
     sure: np.ndarray  # whether the word before was met there more than once
     letters: np.ndarray
@@ -223,6 +234,16 @@ def _stretched(counts: np.ndarray) -> np.ndarray:
     return np.log((ones + 0.4) / (zeros + 0.4)).clip(-8, 8).astype(np.float32)
 
 
+def _chances(tokens: np.ndarray) -> np.ndarray:
+    """Chance of a one at every node, from the numbers of tokens of all signatures."""
+    below, chances = tokens.astype(float), np.full(len(tokens), 0.5)
+    for level in range(SIGNATURE_BITS - 1, -1, -1):
+        zeros, ones = below[0::2], below[1::2]
+        chances[1 << level : 2 << level] = (ones + 0.4) / (zeros + ones + 0.8)
+        below = zeros + ones
+    return np.clip(chances, 0.002, 0.998).astype(np.float32)
+
+
 def learn(texts: DataFrame, parts: int) -> tuple[DataFrame, Model]:
     """Counts of all words (a kept table by range of keys) and the model, from the column ``text``."""
     counted = texts.mapInArrow(_count_words(parts), "part int, keys binary, counts binary")
@@ -241,32 +262,39 @@ def learn(texts: DataFrame, parts: int) -> tuple[DataFrame, Model]:
         whole[row["slice"] * _SLICE : (row["slice"] + 1) * _SLICE] = unpack(bytes(row["counts"]), np.int64)
     tables = whole[: CONTEXTS << SLOT_BITS + 1].reshape(CONTEXTS, -1)
     letters = whole[CONTEXTS << SLOT_BITS + 1 :].reshape(LETTER_CONTEXTS, -1)
-    sure, sure_letters = (t[-1, 0::2] + t[-1, 1::2] > 1 for t in (tables, letters))
-    model = Model(_stretched(tables), sure, _stretched(letters), sure_letters, tokens, float(new), int(tokens.sum()), int(words.sum()))
+    sure, sure_letters = ((t[-1, 0::2] + t[-1, 1::2] > 1).astype(np.int64) for t in (tables, letters))
+    model = Model(_chances(tokens), _stretched(tables), sure, _stretched(letters), sure_letters, tokens, float(new), int(tokens.sum()), int(words.sum()))
     return vocabulary, model
 
 
 class _Mixer:
     """Weights and refining tables of lanes that read side by side, one set for each bit of a symbol and gate."""
 
-    _EDGES = np.linspace(-8, 8, 33)
-
     def __init__(self, lanes: int, bits: int, inputs: int, rate: float = 0.03, refine: float = 0.02):
-        self.weights = np.full((lanes, bits, 2, inputs), 1.5 / inputs, np.float32)
-        self.table = np.broadcast_to(1 / (1 + np.exp(-self._EDGES)), (lanes, bits, 33)).astype(np.float32)
-        self.rate, self.refine, self.bit = np.float32(rate), np.float32(refine), np.arange(bits)[None, :]
+        self.weights = np.full((inputs, lanes * bits * 2), 1.5 / inputs, np.float32)
+        self.table = np.tile((1 / (1 + np.exp(-np.linspace(-8, 8, 33)))).astype(np.float32), lanes * bits)
+        self.rate, self.refine, self.bits = np.float32(rate), np.float32(refine), np.arange(bits, dtype=np.int64)
 
-    def step(self, lane: np.ndarray, inputs: np.ndarray, gate: np.ndarray, bits: np.ndarray) -> np.ndarray:
+    def step(self, lanes: np.ndarray, inputs: list[np.ndarray], gate: np.ndarray, bits: np.ndarray) -> np.ndarray:
         """Cost in bits of the next symbol of some lanes; then everything used learns from its bits."""
-        weights = self.weights[lane, self.bit, gate]
-        dot = np.clip(np.einsum("lbi,lbi->lb", inputs, weights), -8, 8)
+        own = lanes[:, None] * len(self.bits) + self.bits
+        at = own * 2 + gate
+        weights = [w.take(at) for w in self.weights]
+        dot = weights[0] * inputs[0]
+        for weight, value in zip(weights[1:], inputs[1:], strict=True):
+            dot += weight * value
+        np.clip(dot, -8, 8, out=dot)
         mixed = 1 / (1 + np.exp(-dot))
-        place = ((dot + 8) * 2).astype(np.int64)
-        refined = self.table[lane, self.bit, place]
-        p = np.clip(0.5 * (mixed + refined), 1 / 4096, 1 - 1 / 4096)
-        self.weights[lane, self.bit, gate] = weights + (self.rate * (bits - mixed))[:, :, None] * inputs
-        self.table[lane, self.bit, place] = refined + self.refine * (bits - refined)
-        return -np.log2(np.where(bits == 1, p, 1 - p)).sum(axis=1)
+        own *= 33
+        own += ((dot + np.float32(8)) * np.float32(2)).astype(np.int64)
+        refined = self.table.take(own)
+        bit = bits.astype(np.float32)
+        error = (bit - mixed) * self.rate
+        for weight, value, held in zip(weights, inputs, self.weights, strict=True):
+            held[at] = weight + error * value
+        self.table[own] = refined + self.refine * (bit - refined)
+        one = np.clip(np.float32(0.5) * (mixed + refined), 1 / 4096, 1 - 1 / 4096)
+        return -np.log2(np.abs(one - (1 - bit))).sum(axis=1)
 
 
 def _signature_bits(tokens: Tokens, met: np.ndarray, model: Model) -> np.ndarray:
@@ -277,25 +305,23 @@ def _signature_bits(tokens: Tokens, met: np.ndarray, model: Model) -> np.ndarray
     lengths = np.diff(np.r_[begins, len(cost)])
     order = np.argsort(-lengths, kind="stable")
     contexts = tokens.contexts()
-    own = 1 / (1 + np.exp(-model.stretched[0][_slots(np.zeros((1, 1), np.uint64), np.arange(1 << SIGNATURE_BITS)[None, :], SLOT_BITS)[0, :, 0]]))
-    number = np.arange(CONTEXTS)
     for at in range(0, len(order), LANES):
         starts, sizes = begins[order[at : at + LANES]], lengths[order[at : at + LANES]]
         mixer = _Mixer(len(starts), SIGNATURE_BITS, CONTEXTS + 1)
-        local = np.broadcast_to(own, (len(starts), len(own))).astype(np.float32)
+        local = np.tile(model.own, len(starts))
         for t in range(int(sizes[0])):
             active = int(np.searchsorted(-sizes, -t))
             lanes = np.flatnonzero(met[starts[:active] + t])
+            if not len(lanes):
+                continue
             i = starts[lanes] + t
             nodes, bits = _path(tokens.signatures[i], SIGNATURE_BITS)
-            slots = _slots(contexts[i], nodes, SLOT_BITS)
-            lane = lanes[:, None]
-            seen = local[lane, nodes]
-            inputs = np.empty((len(i), SIGNATURE_BITS, CONTEXTS + 1), np.float32)
-            inputs[:, :, :-1] = model.stretched[number, slots]
-            inputs[:, :, -1] = np.log(seen / (1 - seen))
-            cost[i] = mixer.step(lane, inputs, model.sure[slots[:, :, -1]].astype(np.int64), bits)
-            local[lane, nodes] = np.clip(seen + np.float32(0.05) * (bits - seen), 0.002, 0.998)
+            slots = [_slots(c[i], nodes, SLOT_BITS) for c in contexts]
+            at_node = lanes[:, None] * len(model.own) + nodes
+            seen = local.take(at_node)
+            inputs = [table.take(s) for table, s in zip(model.stretched, slots, strict=True)]
+            cost[i] = mixer.step(lanes, [*inputs, np.log(seen / (1 - seen))], model.sure.take(slots[-1]), bits)
+            local[at_node] = np.clip(seen + np.float32(0.05) * (bits.astype(np.float32) - seen), 0.002, 0.998)
     return cost
 
 
@@ -305,17 +331,17 @@ def _letter_bits(tokens: Tokens, chosen: np.ndarray, model: Model) -> np.ndarray
     word = np.repeat(np.arange(len(chosen)), lengths)
     place = np.arange(len(word)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
     value, contexts = _letters_at(tokens.data, tokens.starts[chosen][word], tokens.ends[chosen][word], place)
-    nodes, bits = _path(value, 8)
-    cost, number = np.zeros(len(value)), np.arange(LETTER_CONTEXTS)
+    cost = np.zeros(len(value))
     edges = np.linspace(0, len(value), LETTER_LANES + 1).astype(np.int64)
     starts, sizes = edges[:-1], np.diff(edges)
     mixer = _Mixer(LETTER_LANES, 8, LETTER_CONTEXTS)
     for t in range(int(sizes.max())):
         lanes = np.flatnonzero(sizes > t)
         i = starts[lanes] + t
-        slots = _slots(contexts[i], nodes[i], LETTER_SLOT_BITS)
-        gate = model.sure_letters[slots[:, :, -1]].astype(np.int64)
-        cost[i] = mixer.step(lanes[:, None], model.letters[number, slots], gate, bits[i])
+        nodes, bits = _path(value[i], 8)
+        slots = [_slots(c[i], nodes, LETTER_SLOT_BITS) for c in contexts]
+        inputs = [table.take(s) for table, s in zip(model.letters, slots, strict=True)]
+        cost[i] = mixer.step(lanes, inputs, model.sure_letters.take(slots[-1]), bits)
     return np.bincount(word, cost, minlength=len(chosen))
 
 
@@ -390,6 +416,8 @@ def _score(model):
     def run(table: pa.Table, told: pa.Table) -> pa.Table:
         if not len(table):
             return _SCORES.empty_table()
+        # letters of new words are read one text after the other: always in the same order
+        table = table.sort_by([("doc_id", "ascending"), ("text", "ascending")])
         known, texts = model.value, texts_of(table, "text")
         tokens = Tokens(texts)
         counts = np.zeros(len(tokens.keys), np.int64)
