@@ -450,7 +450,9 @@ def score_texts(docs: DataFrame, learns: str, *, doc_id: str = "doc_id", text: s
 
     Null and empty texts are one token, the end; their ``bits_per_byte`` is null. A null ``learns``
     is false. Without training texts all words are new and the letters cost eight bits or so.
-    Null ids and repeated rows are scored like any other; an empty table gives an empty one.
+    Null ids and repeated rows are scored like any other; an empty table gives an empty one. Letters are
+    counted once for a word and some megabytes of texts, so scores of texts with new words differ a little if
+    the same texts are split otherwise among files; the same input gives the same scores.
     """
     let_workers_import(docs.sparkSession)
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"), F.col(learns).alias("learns"))
