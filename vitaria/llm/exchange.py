@@ -31,12 +31,10 @@ def piece_of(pieces: int, doc_id: str, text: str) -> Column:
 
 def part_cuts(hashes: np.ndarray, parts: int) -> Iterator[tuple[int, int, int]]:
     """``(part, from, to)`` for every part of the range that sorted hashes reach."""
-    width = (1 << 64) // parts + 1
-    edges = np.searchsorted(hashes, np.array([min(width * i, (1 << 64) - 1) for i in range(1, parts)], np.uint64))
-    edges = [0, *edges.tolist(), len(hashes)]
-    for part in range(parts):
-        if edges[part] < edges[part + 1]:
-            yield part, edges[part], edges[part + 1]
+    own = hashes // np.uint64((1 << 64) // parts + 1)
+    edges = [*np.flatnonzero(np.r_[True, own[1:] != own[:-1]]).tolist(), len(hashes)] if len(hashes) else []
+    for a, b in zip(edges[:-1], edges[1:], strict=True):
+        yield int(own[a]), a, b
 
 
 def pack(numbers: np.ndarray) -> bytes:

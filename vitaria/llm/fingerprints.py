@@ -26,6 +26,8 @@ _AT_ONCE = 1 << 18  # hash values held at once
 #: Bytes of text of neighbouring documents in one range of ids.
 RANGE_BYTES = 8 << 20
 LEAST_RANGES = 64
+#: Ranges are streamed, so fewer and larger ones need no more memory; the driver holds a row for each.
+MOST_RANGES = 20_000
 
 
 class OrderMinHash:
@@ -133,7 +135,7 @@ def fingerprint_neighbours(
     let_workers_import(docs.sparkSession)
     rows = docs.select(F.col(doc_id).cast("long").alias("doc"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    ranges = max(LEAST_RANGES, -(-size // RANGE_BYTES))
+    ranges = min(max(LEAST_RANGES, -(-size // RANGE_BYTES)), MOST_RANGES)
     cuts = rows.agg(F.percentile_approx("doc", [i / ranges for i in range(1, ranges)], 100 * ranges)).first()[0] or []
     edges = np.unique(np.array(cuts, np.int64))
 
