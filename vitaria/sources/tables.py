@@ -71,16 +71,18 @@ def read_mixed(spark: SparkSession, paths: Iterable[str], name: str | None = Non
     with the dataset a row comes from.
     """
     groups: dict[tuple, list[str]] = {}
+    known: dict[tuple, T.StructType] = {}
     types: dict[str, set[str]] = {}
     for path, schema in dataset_schemas(spark, paths).items():
         signature = tuple((f.name, f.dataType.simpleString()) for f in schema)
         groups.setdefault(signature, []).append(path)
+        known.setdefault(signature, schema)
         for column, kind in signature:
             types.setdefault(column, set()).add(kind)
     mixed = {column for column, kinds in types.items() if len(kinds) > 1}
     result: DataFrame | None = None
     for signature, members in groups.items():
-        part = read_records(spark, *members)
+        part = read_records(spark, *members, schema=known[signature])  # no footer is read again
         changes = {c: F.col(f"`{c}`").cast("string") for c, _ in signature if c in mixed}
         if name is not None:
             changes[name] = dataset_name(F.col("_metadata.file_path"))
