@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import re
 
 import pandas as pd
 import public_tokenizers
@@ -122,7 +123,7 @@ def substrings(spark, sf_dir):
     )
 
 
-_CONTROL = "|".join(rf"{c[0]}\\*{c[1:]}".replace("|", "\\|") if c[0] != "[" else rf"\[\\*{c[1:-1]}\]" for c in CONTROLS)
+_CONTROL = "|".join(re.escape(c[0]) + r"\\*" + re.escape(c[1:]) for c in CONTROLS)
 _CONTROLS_IN = lambda column: f"len(regexp_extract_all({column}, '{_CONTROL}'))"
 CHATS_SQL = rf"""
 with t as (select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
