@@ -120,3 +120,10 @@ def test_shapes_and_spellings():
     spelled, shaped = Indexing().ids(b"The the THE ** ** x1,")
     assert spelled[0] == spelled[1] == spelled[2] and spelled[3] == spelled[4]
     assert len(set(shaped.tolist())) >= 4 and shaped[3] != shaped[4] and shaped[1] != shaped[2]
+
+
+def test_last_short_words():
+    found = lm.Tokens([b"words der lang", b"nothing here", b"the a"])
+    short = found.last_short()
+    names = {0: None} | dict(zip(found.hashes.tolist(), "words der lang . nothing here . the a .".split(), strict=True))
+    assert [names[h] for h in short.tolist()] == [None, None, "der", "der", None, None, None, None, "the", "a"]

@@ -29,7 +29,7 @@ SIGNATURE_BITS = 10
 #: Slots of one hashed table of counts.
 SLOT_BITS = 18
 LETTER_SLOT_BITS = 18
-#: Contexts of signatures: signature before, two signatures before, word before; of letters: two and three before, and all.
+#: Contexts of signatures: signature before, last short word before, word before; of letters: two and three before, and all.
 CONTEXTS, LETTER_CONTEXTS = 3, 3
 #: Tokens that the share of new words expected beforehand weighs as much as.
 NEW_WEIGHT = 16
@@ -76,11 +76,14 @@ class Tokens:
         """For each context its hash at every token; contexts begin anew with each text."""
         signature = np.r_[0, self.signatures[:-1] + 1].astype(np.uint64)
         word = np.r_[np.uint64(0), self.hashes[:-1]]
-        before = np.r_[np.uint64(0), signature[:-1]]
-        signature[self.first] = word[self.first] = before[self.first] = 0
-        second = self.first + 1
-        before[second[second < len(before)]] = 0
-        return [_short(signature + _ODD[1]), _short(signature * _ODD[0] + before + _ODD[2]), _short(word + _ODD[3])]
+        signature[self.first] = word[self.first] = 0
+        return [_short(signature + _ODD[1]), _short(self.last_short() + _ODD[2]), _short(word + _ODD[3])]
+
+    def last_short(self) -> np.ndarray:
+        """Hash of the last word of up to three bytes before every token of its text, 0 if there is none: it tells the language."""
+        at = np.where(self.ends - self.starts <= 3, np.arange(len(self.hashes)), -1)
+        at = np.r_[-1, np.maximum.accumulate(at)[:-1]]
+        return np.where(at >= self.first[self.owner], self.hashes[at], np.uint64(0))
 
 
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
