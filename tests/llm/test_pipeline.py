@@ -1,8 +1,14 @@
+import re
 from collections import Counter, defaultdict
 
+import duckdb
+import public_tokenizers
+from tokenizers import Tokenizer
+
 import corpus_pipeline
 from tests.llm.conftest import SCHEMA, awkward_rows, words
-from vitaria.llm.queries import QUERIES
+from tests.llm.test_dedup import brute_fingerprint, classes
+from vitaria.llm.queries import QUERIES, mixing_sql, quality_sql
 from vitaria.llm.simhash import simhash_groups
 
 
@@ -50,5 +56,61 @@ def test_run_equals_its_stages(spark, tmp_path):
     assert pieces(whole) == pieces(last)
 
 
+def in_table(rows):
+    connection = duckdb.connect()
+    connection.execute("create table docs (doc_id bigint, text varchar, source varchar)")
+    connection.executemany("insert into docs values (?, ?, ?)", rows)
+    return connection
+
+
+def without_repeats(rows, window=50):
+    """Texts without the words, and the white space after them, that windows of lesser ids cover."""
+    first, out = {}, []
+    key = lambda i: (1 << 63) - 1 if i is None else i
+    spans = [[m.span() for m in re.finditer(r"[^\x20\x09-\x0D]+", text)] for _, text, _ in rows]
+    said = [[text[a:b] for a, b in own] for (_, text, _), own in zip(rows, spans, strict=True)]
+    for (doc_id, _, _), w in zip(rows, said, strict=True):
+        for i in range(len(w) - window + 1):
+            k = tuple(w[i : i + window])
+            first[k] = min(first.get(k, key(doc_id)), key(doc_id))
+    for (doc_id, text, source), own, w in zip(rows, spans, said, strict=True):
+        gone = set()
+        for i in range(len(w) - window + 1):
+            if first[tuple(w[i : i + window])] < key(doc_id):
+                gone |= set(range(i, i + window))
+        starts = [a for a, _ in own] + [len(text)]
+        kept = text[: starts[0]] + "".join(text[starts[i] : starts[i + 1]] for i in range(len(own)) if i not in gone)
+        if len(gone) < len(w) or not w:
+            out.append((doc_id, kept, source))
+    return out
+
+
+def test_run_equals_brute_force(spark, tmp_path):
+    given = awkward_rows(11, 40)
+    spark.createDataFrame(given, SCHEMA).write.parquet(f"{tmp_path}/documents.parquet")
+    kept = in_table([(i, t, s) for i, t, _, s, _ in given]).execute(
+        f"select doc_id, kept_text, source from ({quality_sql('docs')}) where kept"
+    ).fetchall()
+    prints = [brute_fingerprint(text) for _, text, _ in kept]
+    near = [(i, j) for i in range(len(kept)) for j in range(i) if (prints[i] ^ prints[j]).bit_count() <= 4]
+    groups = defaultdict(list)
+    for i, label in classes(near, range(len(kept))).items():
+        groups[label].append(kept[i])
+    one = [min(own, key=lambda r: (r[0] is None, r[0] or 0)) for own in groups.values()]
+    left = without_repeats(one)
+    mixed = in_table(left).execute(f"select doc_id, text, repeats from ({mixing_sql('docs')})").fetchall()
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    expected = Counter()
+    for doc_id, text, repeats in mixed:
+        expected[doc_id, len(tokenizer.encode(text, add_special_tokens=False).ids) + 1] += repeats
+    lengths, found = Counter(), {}
+    for r in corpus_pipeline.run(spark, str(tmp_path)).collect():
+        lengths[r.doc_row] += r.length
+        found[r.doc_row] = (r.doc_id, r.doc_tokens)
+    assert all(found[row][1] == n for row, n in lengths.items())
+    assert Counter(found.values()) == +expected
+    assert len(kept) > len(one) > 10 and sum(len(t) for _, t, _ in left) < sum(len(t) for _, t, _ in one)
+
+
 def test_every_operator_has_its_query():
     assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
