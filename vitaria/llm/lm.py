@@ -36,7 +36,7 @@ NEW_WEIGHT = 16
 SEGMENT = 512
 LANES = 2048
 LETTER_LANES = 128
-PIECE_BYTES = 8 << 20
+PIECE_BYTES = 6 << 20
 _END = b"\n"  # stands for the end of a text; no word holds it
 _PREFIX = 10  # first letters of a word that the context of all its letters sees
 _TOKENS_AT_ONCE = 1 << 16
