@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Bytes of text in one piece.
-PIECE_BYTES = 4 << 20
+PIECE_BYTES = 3 << 20
 LEAST_PIECES = 64
 
 
