@@ -127,3 +127,33 @@ def test_last_short_words():
     short = found.last_short()
     names = {0: None} | dict(zip(found.hashes.tolist(), "words der lang . nothing here . the a .".split(), strict=True))
     assert [names[h] for h in short.tolist()] == [None, None, "der", "der", None, None, None, None, "the", "a"]
+
+
+def test_contexts_keep_their_own_counts_however_many_there_are():
+    """What each context of a text tells equals brute-force counts, among 400,000 other contexts."""
+    rng = np.random.default_rng(4)
+    own = lm.Tokens([b"one two three two three one three two one", b"two one two"])
+    keys = np.concatenate(lm._keys(own.contexts(), own.signatures))
+    others = lm.mix(np.arange(1, 400_001, dtype=np.uint64)) & ~lm._SYMBOL | rng.integers(0, 1024, 400_000).astype(np.uint64)
+    after, counts = np.unique(np.concatenate([keys, others]), return_counts=True)
+    found = lm._answers(after, counts, keys, lm.SIGNATURE_BITS)
+    seen = Counter()
+    for key in keys.tolist():
+        for level in range(lm.SIGNATURE_BITS):
+            shift = lm.SIGNATURE_BITS - 1 - level
+            seen[key >> 10, (key & 1023 | 1024) >> shift + 1, key >> shift & 1] += 1
+    for key, told in zip(keys.tolist(), found.tolist(), strict=True):
+        for level, answer in enumerate(told):
+            node = (key & 1023 | 1024) >> lm.SIGNATURE_BITS - level
+            zeros, ones = (seen[key >> 10, node, bit] for bit in (0, 1))
+            assert answer >> 1 == round(math.log((ones + 0.4) / (zeros + 0.4)) * lm._STEPS) and answer & 1 == (zeros + ones > 1)
+    assert not lm._answers(after, counts, np.array([1 << 40], np.uint64), lm.SIGNATURE_BITS).any()
+
+
+def test_held_out_bits_a_byte(spark):
+    """2.26 when contexts shared 2^18 slots, whatever the size of the input."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rows = score_texts(docs.withColumn("learns", F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 != 2), "learns").collect()
+    apart = [r for r in rows if zlib.crc32(str(r.doc_id).encode()) % 7 == 2 and r.bits_per_byte]
+    bits = [-r.score / math.log10(2) for r in apart]
+    assert sum(bits) / sum(b / r.bits_per_byte for b, r in zip(bits, apart, strict=True)) < 2.2

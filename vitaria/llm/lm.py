@@ -1,8 +1,8 @@
 """Texts scored by online logistic context mixing over bits.
 
 Every token has a signature of ten bits: sorts of its first and last characters and its
-length. The bits are predicted one after the other by several hashed contexts, whose
-counts come from all training texts, and by counts of the text itself; a mixer combines
+length. The bits are predicted one after the other by several contexts, whose counts come
+from all training texts and are a table by range of keys like those of the words, and by counts of the text itself; a mixer combines
 the predictions in the logistic domain with weights chosen by a gate, learning from every bit,
 and an adaptive table refines the result. What a signature leaves open is paid by the token's count among the
 training tokens of that signature. A token never met costs the chance of a new one, which follows the text, and the bits
@@ -26,9 +26,6 @@ from vitaria.llm.words import hash_spans, mix, spans
 from vitaria.sinks.shared import keep_table
 
 SIGNATURE_BITS = 10
-#: Slots of one hashed table of counts.
-SLOT_BITS = 18
-LETTER_SLOT_BITS = 18
 #: Contexts of signatures: signature before, last short word before, word before; of letters: two and three before, and all.
 CONTEXTS, LETTER_CONTEXTS = 3, 3
 #: Tokens that the share of new words expected beforehand weighs as much as.
@@ -39,8 +36,10 @@ LETTER_LANES = 128
 PIECE_BYTES = 6 << 20
 _END = b"\n"  # stands for the end of a text; no word holds it
 _PREFIX = 10  # first letters of a word that the context of all its letters sees
-_TOKENS_AT_ONCE = 1 << 16
-_SLICE = 1 << 14
+#: Parts of one unit in the logarithm of odds that an answer tells apart.
+_STEPS = 2000
+_SYMBOL = np.uint64((1 << SIGNATURE_BITS) - 1)
+_SLICE_BITS = 16
 _WIDTHS = np.array([1, 3, 5, 6, 8, 10, 13, 17])
 _ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
 
@@ -72,12 +71,17 @@ class Tokens:
         width = np.searchsorted(_WIDTHS, lengths, side="right") - 1
         return ((mix(first) >> np.uint64(60)) << np.uint64(6)).astype(np.int64) | width << 3 | (mix(last) >> np.uint64(61)).astype(np.int64)
 
+    def signatures_before(self) -> np.ndarray:
+        """Signature before every token plus one, 0 where a text begins."""
+        before = np.r_[0, self.signatures[:-1] + 1]
+        before[self.first] = 0
+        return before
+
     def contexts(self) -> list[np.ndarray]:
-        """For each context its hash at every token; contexts begin anew with each text."""
-        signature = np.r_[0, self.signatures[:-1] + 1].astype(np.uint64)
+        """Hashes of the last short word and of the word before at every token; contexts begin anew with each text."""
         word = np.r_[np.uint64(0), self.hashes[:-1]]
-        signature[self.first] = word[self.first] = 0
-        return [_short(signature + _ODD[1]), _short(self.last_short() + _ODD[2]), _short(word + _ODD[3])]
+        word[self.first] = 0
+        return [mix(self.last_short() + _ODD[2]), mix(word + _ODD[3])]
 
     def last_short(self) -> np.ndarray:
         """Hash of the last word of up to three bytes before every token of its text, 0 if there is none: it tells the language."""
@@ -89,10 +93,6 @@ class Tokens:
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
 
-def _short(numbers: np.ndarray) -> np.ndarray:
-    return (mix(numbers) >> np.uint64(32)).astype(np.uint32)
-
-
 def _path(values: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
     """Node before each bit of a number, the root 1, and the bits, most significant first."""
     shifts = np.arange(bits - 1, -1, -1, dtype=np.int32)
@@ -100,24 +100,9 @@ def _path(values: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
     return (values | np.int32(1 << bits)) >> shifts + np.int32(1), values >> shifts & np.int32(1)
 
 
-def _slots(context: np.ndarray, nodes: np.ndarray, slot_bits: int) -> np.ndarray:
-    """Slot of every ``(context, node)`` in the table of one context."""
-    mixed = nodes.astype(np.uint32)
-    mixed *= np.uint32(0x9E3779B1)
-    mixed += context[:, None]
-    mixed *= np.uint32(0x85EBCA6B)
-    mixed ^= mixed >> np.uint32(15)
-    mixed *= np.uint32(0xC2B2AE35)
-    mixed >>= np.uint32(32 - slot_bits)
-    return mixed
-
-
-def _count(tables: np.ndarray, contexts: list[np.ndarray], values: np.ndarray, bits: int, slot_bits: int) -> None:
-    """Count zeros and ones after each context."""
-    nodes, ones = _path(values, bits)
-    for table, context in zip(tables, contexts, strict=True):
-        slots = (_slots(context, nodes, slot_bits) << np.uint32(1)) | ones.view(np.uint32)
-        table += np.bincount(slots.ravel(), minlength=len(table))
+def _keys(contexts: list[np.ndarray], values: np.ndarray) -> list[np.ndarray]:
+    """Keys of what comes after each context: the symbol in the last bits, the context in all others."""
+    return [context & ~_SYMBOL | values.astype(np.uint64) for context in contexts]
 
 
 def _letters_at(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
@@ -131,7 +116,18 @@ def _letters_at(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, place: n
         inside = starts + k < at
         letter = data[np.minimum(starts + k, len(data) - 1)].astype(np.uint64) + np.uint64(1)
         prefix = np.where(inside, (prefix + letter) * _ODD[k % 4], prefix)
-    return value, [_short(two + _ODD[1]), _short((two << np.uint64(8) | three) + _ODD[2]), _short(prefix)]
+    three = two << np.uint64(8) | three
+    # twice the numbers of the signatures' contexts, whose keys lie in the same table
+    return value, [mix(x + (odd << np.uint64(1))) for x, odd in zip((two, three, prefix), _ODD[1:], strict=True)]
+
+
+def _letters_of(tokens: Tokens, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+    """For every letter of some tokens, and the space after each: its token's place among them, its byte, its keys."""
+    lengths = tokens.ends[chosen] - tokens.starts[chosen] + 1
+    word = np.repeat(np.arange(len(chosen)), lengths)
+    place = np.arange(len(word)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+    value, contexts = _letters_at(tokens.data, tokens.starts[chosen][word], tokens.ends[chosen][word], place)
+    return word, value, _keys(contexts, value)
 
 
 def _groups(table: Iterator[pa.RecordBatch], size: int) -> Iterator[list[bytes]]:
@@ -149,92 +145,134 @@ def _groups(table: Iterator[pa.RecordBatch], size: int) -> Iterator[list[bytes]]
         yield texts
 
 
+def _press(numbers: np.ndarray) -> bytes:
+    """``pack``, compressed: there are many numbers after contexts."""
+    data = pack(numbers)
+    return len(data).to_bytes(8, "little") + pa.compress(data, "zstd", asbytes=True) if data else b""
+
+
+def _unpress(data: bytes, kind) -> np.ndarray:
+    return unpack(pa.decompress(data[8:], int.from_bytes(data[:8], "little"), "zstd", asbytes=True) if data else b"", kind)
+
+
+def _press_keys(keys: np.ndarray) -> bytes:
+    """Sorted keys by their differences, which are small within a context."""
+    return _press(np.diff(keys, prepend=np.uint64(0)))
+
+
+def _unpress_keys(data: bytes) -> np.ndarray:
+    return np.cumsum(_unpress(data, np.uint64), dtype=np.uint64)
+
+
+def _dealt(parts: int, *columns: np.ndarray) -> Iterator[tuple[int, list[slice]]]:
+    """For every part of the range that some of the sorted columns reach, where it lies in each."""
+    cuts = [{p: slice(a, b) for p, a, b in part_cuts(keys, parts)} for keys in columns]
+    for part in sorted(set().union(*cuts)):
+        yield part, [own.get(part, slice(0, 0)) for own in cuts]
+
+
 def _count_words(parts: int):
-    """Different keys of some training texts with their counts, by range of keys."""
+    """Keys of some training texts with their counts, by range: words, and symbols after contexts. After the
+    last range, a task's counts of signatures after signatures, which are never more than these are."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pairs = np.zeros(((1 << SIGNATURE_BITS) + 1) << SIGNATURE_BITS, np.int64)
         for texts in _groups(batches, PIECE_BYTES):
-            keys, counts = np.unique(Tokens(texts).keys, return_counts=True)
-            rows = [{"part": p, "keys": pack(keys[a:b]), "counts": pack(counts[a:b])} for p, a, b in part_cuts(keys, parts)]
+            tokens = Tokens(texts)
+            keys, one, counts = np.unique(tokens.keys, return_index=True, return_counts=True)
+            pairs += np.bincount(tokens.signatures_before() << SIGNATURE_BITS | tokens.signatures, minlength=len(pairs))
+            after = _keys(tokens.contexts(), tokens.signatures) + _letters_of(tokens, one)[2]
+            after, after_counts = np.unique(np.concatenate(after), return_counts=True)
+            rows = [
+                {"part": p, "keys": pack(keys[w]), "counts": pack(counts[w]), "after": _press_keys(after[a]), "after_counts": _press(after_counts[a])}
+                for p, (w, a) in _dealt(parts, keys, after)
+            ]
             yield pa.RecordBatch.from_pylist(rows, _WORD_COUNTS)
+        met = np.flatnonzero(pairs)
+        number = met >> _SLICE_BITS
+        edges = [*np.flatnonzero(np.r_[True, number[1:] != number[:-1]]).tolist(), len(met)] if len(met) else []
+        for a, b in zip(edges[:-1], edges[1:], strict=True):
+            row = {"part": parts + int(number[a]), "keys": pack(met[a:b].astype(np.uint64)), "counts": pack(pairs[met[a:b]]), "after": b"", "after_counts": b""}
+            yield pa.RecordBatch.from_pylist([row], _WORD_COUNTS)
 
     return run
 
 
-_WORD_COUNTS = pa.schema([("part", pa.int32()), ("keys", pa.binary()), ("counts", pa.binary())])
+_COUNTS_DDL = "part int, keys binary, counts binary, after binary, after_counts binary"
+_WORD_COUNTS = pa.schema([("part", pa.int32()), *((name, pa.binary()) for name in ("keys", "counts", "after", "after_counts"))])
 _VOCABULARY = pa.schema(
-    [("part", pa.int32()), ("keys", pa.binary()), ("counts", pa.binary()), ("signatures", pa.list_(pa.int32())),
+    [*_WORD_COUNTS, ("signatures", pa.list_(pa.int32())),
      ("tokens", pa.list_(pa.int64())), ("words", pa.list_(pa.int64())), ("once", pa.list_(pa.int64()))]
 )
-_VOCABULARY_DDL = "part int, keys binary, counts binary, signatures array<int>, tokens array<long>, words array<long>, once array<long>"
+_VOCABULARY_DDL = _COUNTS_DDL + ", signatures array<int>, tokens array<long>, words array<long>, once array<long>"
+
+
+def _summed(every: list[np.ndarray], each: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Different keys in order, with the sums of their counts."""
+    every, each = np.concatenate(every), np.concatenate(each)
+    order = np.argsort(every, kind="stable")
+    every, each = every[order], each[order]
+    begin = np.flatnonzero(np.r_[True, every[1:] != every[:-1]]) if len(every) else np.empty(0, np.int64)
+    return every[begin], np.add.reduceat(each, begin) if len(every) else each
 
 
 def _add_words(table: pa.Table) -> pa.Table:
     """Counts of one range of keys over all training texts, with sums by signature."""
-    every = np.concatenate([unpack(x, np.uint64) for x in table.column("keys").to_pylist()])
-    each = np.concatenate([unpack(x, np.int64) for x in table.column("counts").to_pylist()])
-    keys, place = np.unique(every, return_inverse=True)
-    counts = np.zeros(len(keys), np.int64)
-    np.add.at(counts, place, each)
+    column = lambda name, read, *kind: [read(x, *kind) for x in table.column(name).to_pylist()]
+    keys, counts = _summed(column("keys", unpack, np.uint64), column("counts", unpack, np.int64))
+    after, after_counts = _summed(column("after", _unpress_keys), column("after_counts", _unpress, np.int64))
     signature = (keys & np.uint64((1 << SIGNATURE_BITS) - 1)).astype(np.int64)
     found, place = np.unique(signature, return_inverse=True)
     tokens = np.zeros(len(found), np.int64)
     np.add.at(tokens, place, counts)
-    row = {"part": table.column("part")[0].as_py(), "keys": pack(keys), "counts": pack(counts), "signatures": found.tolist(),
+    row = {"part": table.column("part")[0].as_py(), "keys": pack(keys), "counts": pack(counts), "after": _press_keys(after), "after_counts": _press(after_counts),
+           "signatures": found.tolist(),
            "tokens": tokens.tolist(), "words": np.bincount(place).tolist(), "once": np.bincount(place, counts == 1).astype(int).tolist()}
     return pa.Table.from_pylist([row], _VOCABULARY)
 
 
-def _count_bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Zeros and ones after every context of a task's training texts, in slices of the tables."""
-    tables = np.zeros((CONTEXTS, 2 << SLOT_BITS), np.int64)
-    letters = np.zeros((LETTER_CONTEXTS, 2 << LETTER_SLOT_BITS), np.int64)
-    for texts in _groups(batches, PIECE_BYTES // 2):
-        tokens = Tokens(texts)
-        contexts = tokens.contexts()
-        for at in range(0, len(tokens.signatures), _TOKENS_AT_ONCE):
-            part = slice(at, at + _TOKENS_AT_ONCE)
-            _count(tables, [c[part] for c in contexts], tokens.signatures[part], SIGNATURE_BITS, SLOT_BITS)
-        _, one = np.unique(tokens.keys, return_index=True)
-        for at in range(0, len(one), _TOKENS_AT_ONCE // 4):
-            some = one[at : at + _TOKENS_AT_ONCE // 4]
-            lengths = tokens.ends[some] - tokens.starts[some] + 1
-            place = np.arange(lengths.sum()) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-            value, before = _letters_at(tokens.data, np.repeat(tokens.starts[some], lengths), np.repeat(tokens.ends[some], lengths), place)
-            _count(letters, before, value, 8, LETTER_SLOT_BITS)
-    whole = np.concatenate([tables.ravel(), letters.ravel()])
-    for number in range(len(whole) // _SLICE):
-        part = whole[number * _SLICE : (number + 1) * _SLICE]
-        if part.any():
-            yield pa.RecordBatch.from_pylist([{"slice": number, "counts": pack(part)}], _SLICES)
-
-
-_SLICES = pa.schema([("slice", pa.int32()), ("counts", pa.binary())])
+def _answers(after: np.ndarray, counts: np.ndarray, asked: np.ndarray, bits: int) -> np.ndarray:
+    """For each asked key what its context tells at every node on the symbol's path, from sorted keys and their counts.
 
-
-def _add_slices(table: pa.Table) -> pa.Table:
-    total = sum(unpack(x, np.int64) for x in table.column("counts").to_pylist())
-    return pa.Table.from_pylist([{"slice": table.column("slice")[0].as_py(), "counts": pack(total)}], _SLICES)
+    The logarithm of the odds of a one in steps, times two, plus one if the context was met there more than once.
+    """
+    before = np.r_[0, np.cumsum(counts)]
+    last = np.uint64((1 << bits) - 1)
+    start, end = np.searchsorted(after, asked & ~_SYMBOL), np.searchsorted(after, asked & ~_SYMBOL | last, side="right")
+    told = np.zeros((len(asked), bits), np.int16)
+    some = np.flatnonzero(end > start)  # of contexts never met nothing is known
+    start, end, asked = start[some], end[some], asked[some]
+    for level in range(bits):
+        shift = np.uint64(bits - 1 - level)
+        middle = np.searchsorted(after, (asked >> shift | np.uint64(1)) << shift)
+        zeros, ones = before[middle] - before[start], before[end] - before[middle]
+        odds = np.log((ones + 0.4) / (zeros + 0.4)).clip(-8, 8)
+        told[some, level] = np.rint(odds * _STEPS).astype(np.int16) * 2 + (zeros + ones > 1)
+        one = (asked >> shift & np.uint64(1)).astype(bool)
+        start, end = np.where(one, middle, start), np.where(one, end, middle)
+    return told
 
 
 @dataclass
 class Model:
-    """What scoring needs besides the counts of a piece's words; its size is fixed."""
+    """What scoring needs besides the counts of a piece's words and contexts: tables by signatures, of which there are so many."""
 
     own: np.ndarray  # chance of a one at every node of a signature, whatever the context
-    stretched: np.ndarray  # of each context's prediction
-    sure: np.ndarray  # whether the word before was met there more than once
-    letters: np.ndarray
-    sure_letters: np.ndarray
+    stretched: np.ndarray  # after each signature, its prediction at every node
     signature_tokens: np.ndarray
     new: float  # share of tokens expected to be new
     tokens: int
     words: int
 
 
-def _stretched(counts: np.ndarray) -> np.ndarray:
-    zeros, ones = counts[..., 0::2], counts[..., 1::2]
-    return np.log((ones + 0.4) / (zeros + 0.4)).clip(-8, 8).astype(np.float32)
+def _stretched(pairs: np.ndarray) -> np.ndarray:
+    """Prediction at every node after each signature, from the numbers of tokens of all signatures after it."""
+    below, found = pairs, np.zeros(pairs.shape, np.float32)
+    for level in range(SIGNATURE_BITS - 1, -1, -1):
+        zeros, ones = below[:, 0::2], below[:, 1::2]
+        found[:, 1 << level : 2 << level] = np.log((ones + 0.4) / (zeros + 0.4)).clip(-8, 8)
+        below = zeros + ones
+    return found
 
 
 def _chances(tokens: np.ndarray) -> np.ndarray:
@@ -248,9 +286,13 @@ def _chances(tokens: np.ndarray) -> np.ndarray:
 
 
 def learn(texts: DataFrame, parts: int) -> tuple[DataFrame, Model]:
-    """Counts of all words (a kept table by range of keys) and the model, from the column ``text``."""
-    counted = texts.mapInArrow(_count_words(parts), "part int, keys binary, counts binary")
+    """Counts of all words and contexts (a kept table by range of keys) and the model, from the column ``text``."""
+    counted = texts.mapInArrow(_count_words(parts), _COUNTS_DDL)
     vocabulary = keep_table(counted.groupBy("part").applyInArrow(_add_words, _VOCABULARY_DDL), "vocabulary")
+    pairs = np.zeros(((1 << SIGNATURE_BITS) + 1) << SIGNATURE_BITS, np.int64)
+    for row in vocabulary.where(F.col("part") >= parts).select("keys", "counts").collect():
+        pairs[unpack(bytes(row["keys"]), np.uint64).astype(np.int64)] = unpack(bytes(row["counts"]), np.int64)
+    vocabulary = vocabulary.where(F.col("part") < parts)
     each = vocabulary.select(F.explode(F.arrays_zip("signatures", "tokens", "words", "once")).alias("s")).select("s.*")
     sums = each.groupBy("signatures").agg(*[F.sum(c).alias(c) for c in ("tokens", "words", "once")]).collect()
     tokens, words, once = (np.zeros(1 << SIGNATURE_BITS) for _ in range(3))
@@ -258,15 +300,8 @@ def learn(texts: DataFrame, parts: int) -> tuple[DataFrame, Model]:
         tokens[row["signatures"]], words[row["signatures"]], once[row["signatures"]] = row["tokens"], row["words"], row["once"]
     new = (once.sum() + 0.5) / (tokens.sum() + 1)  # the share of words met once tells how many are yet to come
 
-    sliced = texts.mapInArrow(_count_bits, "slice int, counts binary").withColumn("share", F.pmod(F.spark_partition_id(), F.lit(1024)))
-    added = sliced.groupBy("slice", "share").applyInArrow(_add_slices, "slice int, counts binary")
-    whole = np.zeros((CONTEXTS << SLOT_BITS + 1) + (LETTER_CONTEXTS << LETTER_SLOT_BITS + 1), np.int64)
-    for row in added.groupBy("slice").applyInArrow(_add_slices, "slice int, counts binary").collect():
-        whole[row["slice"] * _SLICE : (row["slice"] + 1) * _SLICE] = unpack(bytes(row["counts"]), np.int64)
-    tables = whole[: CONTEXTS << SLOT_BITS + 1].reshape(CONTEXTS, -1)
-    letters = whole[CONTEXTS << SLOT_BITS + 1 :].reshape(LETTER_CONTEXTS, -1)
-    sure, sure_letters = ((t[-1, 0::2] + t[-1, 1::2] > 1).astype(np.int64) for t in (tables, letters))
-    model = Model(_chances(tokens), _stretched(tables), sure, _stretched(letters), sure_letters, tokens, float(new), int(tokens.sum()), int(words.sum()))
+    stretched = _stretched(pairs.reshape(-1, 1 << SIGNATURE_BITS))
+    model = Model(_chances(tokens), stretched.ravel(), tokens, float(new), int(tokens.sum()), int(words.sum()))
     return vocabulary, model
 
 
@@ -300,14 +335,27 @@ class _Mixer:
         return -np.log2(np.abs(one - (1 - bit))).sum(axis=1)
 
 
-def _signature_bits(tokens: Tokens, met: np.ndarray, model: Model) -> np.ndarray:
+@dataclass
+class _Told:
+    """Answers to the different keys that a piece has asked for."""
+
+    keys: np.ndarray
+    answers: np.ndarray
+
+    def inputs(self, keys: list[np.ndarray]) -> tuple[list[np.ndarray], np.ndarray]:
+        """Predictions of each context, and whether the last was met at the node more than once."""
+        found = [self.answers[np.searchsorted(self.keys, k)] for k in keys]
+        return [(x >> 1).astype(np.float32) / np.float32(_STEPS) for x in found], found[-1].astype(np.int64) & 1
+
+
+def _signature_bits(tokens: Tokens, met: np.ndarray, model: Model, told: _Told) -> np.ndarray:
     """Bits of the signature of every token met before. Texts are read side by side, long ones in segments; contexts reach across."""
     cost = np.zeros(len(tokens.signatures))
     place = np.arange(len(cost)) - tokens.first[tokens.owner] if len(cost) else cost.astype(np.int64)
     begins = np.flatnonzero(place % SEGMENT == 0)
     lengths = np.diff(np.r_[begins, len(cost)])
     order = np.argsort(-lengths, kind="stable")
-    contexts = tokens.contexts()
+    before, keys = tokens.signatures_before() << SIGNATURE_BITS, _keys(tokens.contexts(), tokens.signatures)
     for at in range(0, len(order), LANES):
         starts, sizes = begins[order[at : at + LANES]], lengths[order[at : at + LANES]]
         mixer = _Mixer(len(starts), SIGNATURE_BITS, CONTEXTS + 1)
@@ -319,21 +367,18 @@ def _signature_bits(tokens: Tokens, met: np.ndarray, model: Model) -> np.ndarray
                 continue
             i = starts[lanes] + t
             nodes, bits = _path(tokens.signatures[i], SIGNATURE_BITS)
-            slots = [_slots(c[i], nodes, SLOT_BITS) for c in contexts]
+            after, sure = told.inputs([k[i] for k in keys])
             at_node = lanes[:, None] * len(model.own) + nodes
             seen = local.take(at_node)
-            inputs = [table.take(s) for table, s in zip(model.stretched, slots, strict=True)]
-            cost[i] = mixer.step(lanes, [*inputs, np.log(seen / (1 - seen))], model.sure.take(slots[-1]), bits)
+            inputs = [model.stretched.take(before[i][:, None] + nodes), *after, np.log(seen / (1 - seen))]
+            cost[i] = mixer.step(lanes, inputs, sure, bits)
             local[at_node] = np.clip(seen + np.float32(0.05) * (bits.astype(np.float32) - seen), 0.002, 0.998)
     return cost
 
 
-def _letter_bits(tokens: Tokens, chosen: np.ndarray, model: Model) -> np.ndarray:
+def _letter_bits(tokens: Tokens, chosen: np.ndarray, told: _Told) -> np.ndarray:
     """Bits of the letters of some tokens and the space after each. Lanes read many words one after the other."""
-    lengths = tokens.ends[chosen] - tokens.starts[chosen] + 1
-    word = np.repeat(np.arange(len(chosen)), lengths)
-    place = np.arange(len(word)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-    value, contexts = _letters_at(tokens.data, tokens.starts[chosen][word], tokens.ends[chosen][word], place)
+    word, value, keys = _letters_of(tokens, chosen)
     cost = np.zeros(len(value))
     edges = np.linspace(0, len(value), LETTER_LANES + 1).astype(np.int64)
     starts, sizes = edges[:-1], np.diff(edges)
@@ -342,9 +387,8 @@ def _letter_bits(tokens: Tokens, chosen: np.ndarray, model: Model) -> np.ndarray
         lanes = np.flatnonzero(sizes > t)
         i = starts[lanes] + t
         nodes, bits = _path(value[i], 8)
-        slots = [_slots(c[i], nodes, LETTER_SLOT_BITS) for c in contexts]
-        inputs = [table.take(s) for table, s in zip(model.letters, slots, strict=True)]
-        cost[i] = mixer.step(lanes, inputs, model.sure_letters.take(slots[-1]), bits)
+        inputs, sure = told.inputs([k[i] for k in keys])
+        cost[i] = mixer.step(lanes, inputs, sure, bits)
     return np.bincount(word, cost, minlength=len(chosen))
 
 
@@ -364,7 +408,7 @@ def _again_bits(tokens: Tokens, fresh: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return again, -np.log2(np.where(again, chance / np.maximum(seen - repeats, 1), 1 - chance))
 
 
-def _token_bits(tokens: Tokens, counts: np.ndarray, model: Model) -> np.ndarray:
+def _token_bits(tokens: Tokens, counts: np.ndarray, model: Model, after: _Told, letters: _Told) -> np.ndarray:
     """Bits of every token, given the counts of all in the training texts."""
     met = counts > 0
     fresh = np.flatnonzero(~met)
@@ -372,17 +416,24 @@ def _token_bits(tokens: Tokens, counts: np.ndarray, model: Model) -> np.ndarray:
     begin = tokens.first[tokens.owner]
     new = (before - before[begin] + NEW_WEIGHT * model.new) / (np.arange(len(met)) - begin + NEW_WEIGHT)
     bits = -np.log2(np.where(met, 1 - new, new))
-    known = _signature_bits(tokens, met, model)
+    known = _signature_bits(tokens, met, model, after)
     bits += np.where(met, known + np.log2(np.maximum(model.signature_tokens[tokens.signatures], 1)) - np.log2(np.maximum(counts, 1)), 0)
     again, cost = _again_bits(tokens, fresh)
     bits[fresh] += cost
     unseen = fresh[~again]
-    bits[unseen] += _letter_bits(tokens, unseen, model)
+    bits[unseen] += _letter_bits(tokens, unseen, letters)
     return bits
 
 
 _ASKED = pa.schema([("part", pa.int32()), ("piece", pa.int32()), ("keys", pa.binary())])
 _TOLD = pa.schema([("piece", pa.int32()), ("keys", pa.binary()), ("counts", pa.binary())])
+_AFTER_DDL = "part int, piece int, after binary, letters binary"
+_AFTER = pa.schema([("part", pa.int32()), ("piece", pa.int32()), ("after", pa.binary()), ("letters", pa.binary())])
+
+
+def _in_order(table: pa.Table) -> pa.Table:
+    """Letters of new words are read one text after the other: always in the same order."""
+    return table.sort_by([("doc_id", "ascending"), ("text", "ascending")])
 
 
 def _ask(parts: int):
@@ -401,6 +452,8 @@ def _tell(asked: pa.Table, vocabulary: pa.Table) -> pa.Table:
     rows = []
     for known, number in zip(*(vocabulary.column(c).to_pylist() for c in ("keys", "counts")), strict=True):
         known, number = unpack(known, np.uint64), unpack(number, np.int64)
+        if not len(known):
+            continue
         for piece, keys in zip(*(asked.column(c).to_pylist() for c in ("piece", "keys")), strict=True):
             keys = unpack(keys, np.uint64)
             at = np.minimum(np.searchsorted(known, keys), len(known) - 1)
@@ -409,6 +462,51 @@ def _tell(asked: pa.Table, vocabulary: pa.Table) -> pa.Table:
     return pa.Table.from_pylist(rows, _TOLD)
 
 
+def _counts_of(tokens: Tokens, told: pa.Table) -> np.ndarray:
+    """For every token its count in the training texts, 0 where nothing is told."""
+    keys, number = ([unpack(x, kind) for x in told.column(c).to_pylist() if x] for c, kind in (("keys", np.uint64), ("counts", np.int64)))
+    if not sum(map(len, keys)):
+        return np.zeros(len(tokens.keys), np.int64)
+    keys, number = np.concatenate(keys), np.concatenate(number)
+    order = np.argsort(keys)
+    keys, number = keys[order], number[order]
+    at = np.minimum(np.searchsorted(keys, tokens.keys), len(keys) - 1)
+    return np.where(keys[at] == tokens.keys, number[at], 0)
+
+
+def _after_keys(tokens: Tokens, met: np.ndarray) -> list[np.ndarray]:
+    """Different keys of a piece after contexts: of the signatures of words met before, and of the letters of new words."""
+    after = [k[met] for k in _keys(tokens.contexts(), tokens.signatures)]
+    fresh = np.flatnonzero(~met)
+    letters = _letters_of(tokens, fresh[np.unique(tokens.keys[fresh], return_index=True)[1]])[2]
+    return [np.unique(np.concatenate(after)), np.unique(np.concatenate(letters))]
+
+
+def _ask_after(parts: int):
+    """Different keys after contexts of a piece, by range."""
+
+    def run(table: pa.Table, told: pa.Table) -> pa.Table:
+        if not len(table):
+            return _AFTER.empty_table()
+        tokens, piece = Tokens(texts_of(table, "text")), table.column("piece")[0].as_py()
+        after, letters = _after_keys(tokens, _counts_of(tokens, told) > 0)
+        rows = [{"part": p, "piece": piece, "after": _press_keys(after[a]), "letters": _press_keys(letters[b])} for p, (a, b) in _dealt(parts, after, letters)]
+        return pa.Table.from_pylist(rows, _AFTER)
+
+    return run
+
+
+def _tell_after(asked: pa.Table, vocabulary: pa.Table) -> pa.Table:
+    """To every piece an answer to every key that it asks for, in their order."""
+    after = np.concatenate([np.empty(0, np.uint64), *map(_unpress_keys, vocabulary.column("after").to_pylist())])
+    counts = np.concatenate([np.empty(0, np.int64), *(_unpress(x, np.int64) for x in vocabulary.column("after_counts").to_pylist())])
+    rows = []
+    for row in asked.to_pylist():
+        told = {n: _press(_answers(after, counts, _unpress_keys(row[n]), bits).ravel()) for n, bits in (("after", SIGNATURE_BITS), ("letters", 8))}
+        rows.append({"part": row["part"], "piece": row["piece"], **told})
+    return pa.Table.from_pylist(rows, _AFTER)
+
+
 _SCORES_DDL = "doc_id long, n_tokens long, n_known long, base_score double, score double, n_bytes long"
 _SCORES = pa.schema(
     [("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64()), ("n_bytes", pa.int64())]
@@ -419,20 +517,16 @@ def _score(model):
     def run(table: pa.Table, told: pa.Table) -> pa.Table:
         if not len(table):
             return _SCORES.empty_table()
-        # letters of new words are read one text after the other: always in the same order
-        table = table.sort_by([("doc_id", "ascending"), ("text", "ascending")])
+        table, told = _in_order(table), told.sort_by("part")
         known, texts = model.value, texts_of(table, "text")
         tokens = Tokens(texts)
-        counts = np.zeros(len(tokens.keys), np.int64)
-        keys = [unpack(x, np.uint64) for x in told.column("keys").to_pylist()]
-        if sum(map(len, keys)):
-            keys, number = np.concatenate(keys), np.concatenate([unpack(x, np.int64) for x in told.column("counts").to_pylist()])
-            order = np.argsort(keys)
-            keys, number = keys[order], number[order]
-            at = np.minimum(np.searchsorted(keys, tokens.keys), len(keys) - 1)
-            counts = np.where(keys[at] == tokens.keys, number[at], 0)
+        counts = _counts_of(tokens, told)
         met = counts > 0
-        bits = _token_bits(tokens, counts, known)
+        answered = [
+            _Told(keys, np.concatenate([np.empty(0, np.int16), *(_unpress(x, np.int16) for x in told.column(name).to_pylist() if x)]).reshape(-1, bits))
+            for keys, name, bits in zip(_after_keys(tokens, met), ("after", "letters"), (SIGNATURE_BITS, 8), strict=True)
+        ]
+        bits = _token_bits(tokens, counts, known, *answered)
         base = np.log10((counts + 1) / (known.tokens + known.words + 1))
         per_text = lambda values: np.bincount(tokens.owner, values, minlength=len(texts))
         columns = [
@@ -463,8 +557,12 @@ def score_texts(docs: DataFrame, learns: str, *, doc_id: str = "doc_id", text: s
     vocabulary, model = learn(rows.where("learns").select("text"), parts)
     held = rows.select("doc_id", "text").withColumn("piece", piece_of(parts, "doc_id", "text"))
     asked = held.groupBy("piece").applyInArrow(_ask(parts), "part int, piece int, keys binary")
-    vocabulary = vocabulary.select("part", "keys", "counts")
-    told = asked.groupBy("part").cogroup(vocabulary.groupBy("part")).applyInArrow(_tell, "piece int, keys binary, counts binary")
+    words = vocabulary.select("part", "keys", "counts")
+    told = asked.groupBy("part").cogroup(words.groupBy("part")).applyInArrow(_tell, "piece int, keys binary, counts binary")
+    asked = held.groupBy("piece").cogroup(told.groupBy("piece")).applyInArrow(_ask_after(parts), _AFTER_DDL)
+    after = vocabulary.select("part", "after", "after_counts")
+    after = asked.groupBy("part").cogroup(after.groupBy("part")).applyInArrow(_tell_after, _AFTER_DDL)
+    told = told.unionByName(after, allowMissingColumns=True)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     scores = held.groupBy("piece").cogroup(told.groupBy("piece")).applyInArrow(_score(shared), _SCORES_DDL)
     bits = -F.col("score") / math.log10(2)
