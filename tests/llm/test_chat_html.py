@@ -104,3 +104,13 @@ def test_every_page_of_the_table(spark):
         lines = (re.sub(r"\s+", " ", entities.unescape(re.sub(r"</?b>", "", x))).strip() for x in re.split(r"</?(?:p|h1|br)>", inner))
         assert r.main_text == "\n".join(x for x in lines if x)
     assert len(rows) > 20
+
+
+@pytest.mark.parametrize("first,second", [(3, 17), (17, 3), (8, 12)])
+def test_text_in_two_parts_without_article_is_whole(first, second):
+    lines = [f"Line {i} of the text says something, and it is long enough. Yes, it is, to be sure." for i in range(first + second)]
+    part = lambda name, own, more="": f'<div class="{name}">{more}' + "".join(f"<p>{x}</p>" for x in own) + "</div>"
+    page = part("lead", lines[:first], "<h1>Title</h1>") + part("text", lines[first:]) + part("comments", lines)
+    assert main_text(f"<body><div class=menu>One</div>{page}<footer>c</footer></body>") == "\n".join(["Title", *lines])
+    page = "".join(f"<p>{x}</p>" for x in lines[:first]) + part("text", lines[first:])
+    assert main_text(f"<body>{page}<footer>c</footer></body>") == "\n".join(lines)

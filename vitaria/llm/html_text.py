@@ -4,7 +4,8 @@ Every text node stands at the end of a path of tags from the root. The nodes of
 share their fate: per path, the length of text and the punctuation marks are counted per
 node, both series are smoothed along the page, fused, and held against a threshold.
 What passes shows where the article is: the innermost element that holds nearly all of it.
-Its text is the result, without the parts that their tags or names mark as something else.
+The result is its text, and what passes outside it with the sections that it stands in,
+without the parts that their tags or names mark as something else.
 """
 
 from __future__ import annotations
@@ -61,6 +62,8 @@ _BESIDE = frozenset(
     " cookie cookies consent gdpr notice notices alert popup modal overlay newsletter subscribe subscription signup login"
     " comment comments commentlist disqus discussion replies reply respond share sharing social".split()
 )
+#: Elements that hold parts of a text.
+_SECTIONS = frozenset("article main div section td body blockquote".split()) | {""}
 #: Words in the name of an element whose header is the article's own.
 _ARTICLE = frozenset("article post entry story".split())
 
@@ -194,6 +197,24 @@ def _holder(elements: list[_Element], content: list[_Node], share: float) -> _El
     return holder
 
 
+def _chosen(elements: list[_Element], content: list[_Node], holder: _Element) -> tuple[np.ndarray, set[int]]:
+    """Elements whose text is the article's: the holder's and those of sections with content outside it; and single
+    blocks of content, where the section around them holds the holder too."""
+    chosen, blocks = np.zeros(len(elements), bool), set()
+    chosen[holder.number : holder.last + 1] = True
+    for node in content:
+        section = node.element
+        if chosen[section.number]:
+            continue
+        while section.tag not in _SECTIONS:
+            section = section.parent
+        if section.number <= holder.number <= section.last:
+            blocks.add(node.block)
+        else:
+            chosen[section.number : section.last + 1] = True
+    return chosen, blocks
+
+
 def main_text(html: str | None, *, width: float = 1.0, level: float = 0.5, share: float = 0.8) -> str:
     """Article of a page, a block to a line; empty for null, and for a page without text."""
     page = _read(html or "")
@@ -206,10 +227,11 @@ def main_text(html: str | None, *, width: float = 1.0, level: float = 0.5, share
             full.append(node)
     if not full:
         return ""
-    holder = _holder(page.elements, _content(full, width, level), share)
+    content = _content(full, width, level)
+    chosen, blocks = _chosen(page.elements, content, _holder(page.elements, content, share))
     lines, block = [], None
     for node in nodes:
-        if holder.number <= node.element.number <= holder.last:
+        if chosen[node.element.number] or node.block in blocks:
             if node.block != block:
                 lines.append([])
                 block = node.block
