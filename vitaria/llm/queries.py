@@ -18,6 +18,7 @@ from vitaria.llm.html_text import extract_main_text
 from vitaria.llm.lm import score_texts
 from vitaria.llm.mixing import mix_sources
 from vitaria.llm.packing import pack_documents, word_tokens
+from vitaria.llm.prefix_trie import prefix_trie
 from vitaria.llm.quality import quality_rules
 from vitaria.llm.simhash import simhash_groups
 from vitaria.llm.substrings import mark_repeats
@@ -197,3 +198,36 @@ def classifier(spark, sf_dir):
 def main_texts(spark, sf_dir):
     pages = extract_main_text(table(spark, sf_dir, "pages")).withColumnRenamed("main_text", "text")
     return pages.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
+_BYTES_AND_BITS = "flatten(list_transform(string_split({0}::varchar, ''), lambda c: [ascii(c), -1, -1, -1, -1, -1, -1, -1, -1]))"
+#: CRC-32 of a number's digits: a byte is xored in, eight times -1 shifts a bit out.
+_CRC_SQL = (
+    "xor(list_reduce(list_prepend(4294967295::bigint, " + _BYTES_AND_BITS + "), lambda a, x:"
+    " case when x >= 0 then xor(a, x::bigint) else xor(a >> 1, 3988292384 * (a & 1)) end), 4294967295)"
+)
+TRIE_SQL = rf"""
+with t as (select conv_id as c, md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) as m,
+    strlen(coalesce(text, '')) as bytes, row_number() over (partition by conv_id order by turn nulls first, coalesce(role, ''), coalesce(text, '')) as i
+  from conversations where conv_id is not null),
+v as (select c, list(m order by i) as m, list(bytes order by i) as b, {_CRC_SQL.format("c")} % 9 as h from t group by c),
+r as (select v.c, list_concat(coalesce(o.m, []::varchar[])[1:v.h], v.m[v.h + 1:]) as m, list_concat(coalesce(o.b, []::bigint[])[1:v.h], v.b[v.h + 1:]) as b
+  from v left join v o on o.c = v.c - v.c % 5),
+p as (select c, d, len(m) as total, case when d > 0 then b[d] else 0 end as bytes, md5(array_to_string(m[1:d], ' ')) as key
+  from (select *, unnest(range(0, len(m) + 1)) as d from r)),
+n as (select d, key, min(c) as conv_id, count(*) as n_convs, any_value(bytes) as bytes, bool_and(d = total) as leaf,
+  sha256(coalesce(string_agg(c::varchar, ',' order by c) filter (d = total), '')) as ends_sha256 from p group by d, key),
+u as (select n.d, n.key, n.leaf, (n.n_convs - 1) * n.bytes as saved, q.d as above, q.key as above_key
+  from n join p q on q.c = n.conv_id and q.d <= n.d),
+s as (select above, above_key, count(*) filter (leaf) as n_leaves, sum(saved)::bigint as saved_tokens,
+  count(*) filter (u.d = above + 1) as n_children from u group by above, above_key)
+select n.conv_id, n.d as depth, a.conv_id as parent_conv_id, n.n_convs, s.n_children, s.n_leaves, s.saved_tokens, n.ends_sha256
+from n join s on s.above = n.d and s.above_key = n.key
+left join p q on q.c = n.conv_id and q.d = n.d - 1 left join n a on a.d = q.d and a.key = q.key"""
+
+
+@query("op11_prefix_trie", TRIE_SQL)
+def trie(spark, sf_dir):
+    return prefix_trie(
+        table(spark, sf_dir, "conversations"), lambda c: c - c % 5, lambda c: F.crc32(c.cast("string").cast("binary")) % 9
+    )
