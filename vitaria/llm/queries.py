@@ -13,6 +13,7 @@ from pyspark.sql.functions import pandas_udf
 
 from vitaria.llm.chat import CONTROLS, format_chats, read_turns, unescape
 from vitaria.llm.classifier import score_quality
+from vitaria.llm.collocations import mine_collocations
 from vitaria.llm.fingerprints import fingerprint_neighbours
 from vitaria.llm.html_text import extract_main_text
 from vitaria.llm.lm import score_texts
@@ -231,3 +232,8 @@ def trie(spark, sf_dir):
     return prefix_trie(
         table(spark, sf_dir, "conversations"), lambda c: c - c % 5, lambda c: F.crc32(c.cast("string").cast("binary")) % 9
     )
+
+
+@query("op13_collocations")
+def collocations(spark, sf_dir):
+    return mine_collocations(table(spark, sf_dir, "documents"))
