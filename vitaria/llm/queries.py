@@ -23,6 +23,7 @@ from vitaria.llm.prefix_trie import prefix_trie
 from vitaria.llm.quality import quality_rules
 from vitaria.llm.simhash import simhash_groups
 from vitaria.llm.substrings import mark_repeats
+from vitaria.llm.toxicity import score_toxicity
 from vitaria.llm.words import SPACE_PATTERN
 
 QUERIES, ORACLE = {}, {}
@@ -234,6 +235,15 @@ def trie(spark, sf_dir):
     )
 
 
+@query("op12_toxicity")
+def toxicity(spark, sf_dir):
+    labels = table(spark, sf_dir, "labels").where(_remainder(3) != 1)
+    scores = score_toxicity(table(spark, sf_dir, "documents"), labels)
+    return scores.select(
+        "doc_id", F.coalesce(_remainder(3) == 1, F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted")
+    )
+
+
 @query("op13_collocations")
 def collocations(spark, sf_dir):
     return mine_collocations(table(spark, sf_dir, "documents"))
