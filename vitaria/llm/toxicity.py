@@ -242,24 +242,31 @@ def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> np.ndarray:
     return w
 
 
-def _log_odds(ids: np.ndarray, docs: np.ndarray, y: np.ndarray, size: int) -> np.ndarray:
-    """Log odds of label 1 for each id, by the texts it is found in; near 0 for rare ones."""
-    pairs = np.unique(ids.astype(np.int64) * len(y) + docs)
-    ids, positive = pairs // len(y), y[pairs % len(y)]
-    ones, zeros = np.bincount(ids, positive, size), np.bincount(ids, 1 - positive, size)
-    odds = np.log((ones + 1) / (y.sum() + 2)) - np.log((zeros + 1) / (len(y) - y.sum() + 2))
-    return (odds * (ones + zeros) / (ones + zeros + 10)).astype(np.float32)
+_TEXTS_AT_ONCE = 200
+
+
+def _odds(found: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Log odds of label 1 by the numbers of texts with either label that each id is found in; near 0 for rare ids."""
+    odds = np.log((found[1] + 1) / (y.sum() + 2)) - np.log((found[0] + 1) / (len(y) - y.sum() + 2))
+    return (odds * found.sum(axis=0) / (found.sum(axis=0) + 10)).astype(np.float32)
 
 
 def _start_from_odds(net: Network, vocab: Vocabulary, which: np.ndarray, docs: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """Sets the first entry of every vector; gives the odds of each different word."""
-    shape, counts = net.shape, np.diff(vocab.offsets)
-    net.spelled[:, 0] = _log_odds(vocab.spellings[which], docs, y, shape.spellings)
-    pairs = np.unique(which * np.int64(len(y)) + docs)  # a word once for each text
-    own, of = vocab.take(pairs // len(y)), pairs % len(y)
-    ids = np.r_[own.grams, own.begins.ravel()]
-    net.written[:, 0] = _log_odds(ids, np.r_[np.repeat(of, counts[pairs // len(y)]), np.repeat(of, len(_BEGINNINGS))], y, shape.grams)
-    return net.inputs(vocab)[:, :: shape.size].sum(axis=1)
+    """Sets the first entry of every vector; gives the odds of each different word. ``docs`` is ascending."""
+    spelled, written = np.zeros((2, net.shape.spellings)), np.zeros((2, net.shape.grams))
+    for first in range(0, len(y), _TEXTS_AT_ONCE):
+        a, b = np.searchsorted(docs, [first, first + _TEXTS_AT_ONCE])
+        pairs = np.unique(docs[a:b] * np.int64(len(vocab.spellings)) + which[a:b])  # a word once for each text
+        own, of = vocab.take(pairs % len(vocab.spellings)), pairs // len(vocab.spellings)
+        ids = np.r_[own.grams, own.begins.ravel()]
+        texts = np.r_[np.repeat(of, np.diff(own.offsets)), np.repeat(of, len(_BEGINNINGS))]
+        for table, found, text in ((spelled, own.spellings, of), (written, ids, texts)):
+            once = np.unique(text * np.int64(table.shape[1]) + found)
+            label = y[once // table.shape[1]]
+            for k in (0, 1):
+                table[k] += np.bincount(once[label == k] % table.shape[1], minlength=table.shape[1])
+    net.spelled[:, 0], net.written[:, 0] = _odds(spelled, y), _odds(written, y)
+    return net.inputs(vocab)[:, :: net.shape.size].sum(axis=1)
 
 
 def fit_network(texts: list[bytes], y: np.ndarray, weight: np.ndarray, shape: Shape, *, epochs: int = 6, seed: int = 5) -> Network:
