@@ -37,7 +37,7 @@ _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _BYTES_AT_ONCE = 2 << 20
 #: Windows that a task holds before it adds them up and sends them.
-_WINDOWS_AT_ONCE = 2_000_000
+_WINDOWS_AT_ONCE = 1_000_000
 #: Phrases that are looked for in one pass over the texts; more take more passes.
 _PHRASES_AT_ONCE = 1_000_000
 #: Greatest score: a phrase whose parts occur nowhere else.
