@@ -136,3 +136,80 @@ def daily_late_files(spark, sf_dir):
     rows.drop("uf", "ano").limit(0).write.mode("overwrite").parquet(f"{folder}/dataset=DOPI1996.parquet")
     refresh()
     return read_silver(spark, silver, "SIM", "DO").select("chave", "uf", "ano")
+
+
+_ODD = "chave % 2 = 1"
+_SEXO_OF_PARTS = f"case when ano = '1997' and {_ODD} then \"SEXO\" else {sql_case('SEXO', fv.SIM_RECODE['SEXO']).split(' as ')[0]} end"
+
+
+def _stored(spark, silver: str):
+    stored = read_silver(spark, silver, "SIM", "DO")
+    return stored.select("chave", "uf", "ano", F.col("Sexo").alias("sexo"), F.col("`Data do Óbito`").alias("dia"))
+
+
+@check(
+    "run_drift_between_runs",
+    f"""select chave, uf, ano, {_SEXO} as sexo, "DTOBITO" as dia from ({MORTALITY_SQL})
+where uf in ('PE', 'PI') and ano between '1995' and '1998'""",
+)
+def run_drift_between_runs(spark, sf_dir):
+    """Numbers come first, text in a later run, numbers again on a day after that; the table has one type and stays readable."""
+    rows = mortality(spark, sf_dir).where("uf in ('PE', 'PI')")
+    silver, state = new_folder(spark, "silver"), new_folder(spark, "state")
+    numbers = lambda year: rows.where(F.col("ano") == year).withColumn("SEXO", F.col("SEXO").cast("int"))
+    bronze = bronze_of(numbers("1997"), "sim-parquet", "DO")
+    _run(spark, bronze, silver)
+    text = bronze_of(rows.where("ano in ('1995', '1996')"), "sim-parquet", "DO")
+    _run(spark, text, silver)
+    labelled = rows.where("ano = '1998'")
+    daily = bronze_of(labelled, "sim-parquet", "DO")
+    bronze_of(numbers("1997"), "sim-parquet", "DO", base=daily, mode="append")
+    refresh_new_datasets(spark, SPEC, daily, silver, state, None, CodeDictionary.from_entries(spark, ICD_ITEMS))
+    return _stored(spark, silver)
+
+
+@check(
+    "run_drifted_parts",
+    f"select chave, uf, ano, {_SEXO_OF_PARTS} as sexo, \"DTOBITO\" as dia from ({MORTALITY_SQL}) where uf in ('PE', 'PI')"
+    " union all select null, 'PE', '1997', 'DOPE1997', 'broken.parquet'",
+)
+def run_drifted_parts(spark, sf_dir):
+    """Datasets of 1997 have part files with SEXO as text, others with numbers and without the age, and one file that is no Parquet file."""
+    rows, silver = mortality(spark, sf_dir).where("uf in ('PE', 'PI')"), new_folder(spark, "silver")
+    odd = (F.col("ano") == "1997") & (F.col("chave") % 2 == 1)
+    bronze = bronze_of(rows.where(~odd), "sim-parquet", "DO")
+    bronze_of(rows.where(odd).withColumn("SEXO", F.col("SEXO").cast("int")).drop("IDADE"), "sim-parquet", "DO", base=bronze, mode="append")
+    aside = new_folder(spark, "aside")
+    _broken_dataset(spark, aside)
+    store, target = _store(spark, f"{bronze}/sim-parquet/dataset=DOPE1997.parquet/broken.parquet")
+    store.rename(_store(spark, f"{aside}/part.parquet")[1], target)
+    outcome = _run(spark, bronze, silver)
+    failed = outcome.failures.select(
+        F.lit(None).cast("long"), F.substring("dataset", 3, 2), F.right("dataset", F.lit(4)), "dataset", F.substring_index("arquivo", "/", -1)
+    )
+    return _stored(spark, silver).union(failed)
+
+
+@check(
+    "daily_broken_file",
+    f"""select chave, uf, ano, 'stored' as what from ({MORTALITY_SQL}) where uf = 'PE' and ano = '1996'
+union all select null, 'PI', '1998', 'not a Parquet file' union all select null, 'PI', '1998', 'tried again'""",
+)
+def daily_broken_file(spark, sf_dir):
+    """A broken dataset is all that came, while another one went: its failure is told, the other's rows go, and it is tried again."""
+    rows = mortality(spark, sf_dir)
+    bronze, silver, state = (new_folder(spark, name) for name in ("bronze", "silver", "state"))
+    dictionary = CodeDictionary.from_entries(spark, ICD_ITEMS)
+    refresh = lambda: refresh_new_datasets(spark, SPEC, bronze, silver, state, None, dictionary)
+    bronze_of(rows.where("uf = 'PE' and ano in ('1996', '1997')"), "sim-parquet", "DO", base=bronze)
+    refresh()
+    store, gone = _store(spark, f"{bronze}/sim-parquet/dataset=DOPE1997.parquet")
+    store.rename(gone, _store(spark, new_folder(spark, "gone"))[1])
+    _broken_dataset(spark, f"{bronze}/sim-parquet/DOPI1998.parquet")
+    told = refresh().failures.select(
+        F.lit(None).cast("long"), F.substring("dataset", 3, 2), F.right("dataset", F.lit(4)),
+        F.regexp_extract("erro", "is (not a Parquet file)", 1),
+    )
+    again = refresh().failures.select(F.lit(None).cast("long"), F.substring("dataset", 3, 2), F.right("dataset", F.lit(4)), F.lit("tried again"))
+    stored = read_silver(spark, silver, "SIM", "DO").select("chave", "uf", "ano", F.lit("stored").alias("what"))
+    return stored.union(told).union(again)

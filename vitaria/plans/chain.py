@@ -18,12 +18,14 @@ from vitaria.operators.lineage import process_records
 from vitaria.operators.partitions import add_region, missing_partitions
 from vitaria.operators.quality import audit_diff, audit_listed, missing_columns, quarantine
 from vitaria.operators.years import filter_years
+from vitaria.plans.faults import failing_parts
 from vitaria.plans.specs import TableSpec
 from vitaria.sinks.shared import files_in, remove_folders
 from vitaria.sinks.tables import write_silver
-from vitaria.sources.bronze import MONTHS, dataset_files, dataset_glob, partition_grid, scan_datasets, unite_drifted
+from vitaria.sources.bronze import MONTHS, dataset_glob, dataset_parts, partition_grid, scan_datasets, scan_files, unite_drifted
 from vitaria.sources.dictionary import CodeDictionary
-from vitaria.sources.tables import SILVER_KEYS, read_silver, readable_schemas, silver_path
+from vitaria.sources.footers import file_schemas, reason
+from vitaria.sources.tables import SILVER_KEYS, read_contract, read_silver, silver_path
 
 
 def apply_step(
@@ -126,8 +128,8 @@ class Outcome:
 
     Audits before and after with every dataset's own columns, what changed
     between them, rule columns that datasets lack, values that could not be
-    read (None where no step of the table reads values), datasets that could
-    not be processed and why, requested coordinates without a dataset (None
+    read (None where no step of the table reads values), files that could
+    not be processed, with their dataset and why, requested coordinates without a dataset (None
     where datasets were named), and the lineage of every step.
     """
 
@@ -165,19 +167,23 @@ def run_table(
     grid = partition_grid(spark, ufs, years, months if monthly else None)
     keys = ["uf", "ano", "mes"] if monthly else ["uf", "ano"]
     names = outcome.before.select(F.col(f"`{fv.AUDIT_FILE}`").alias("name"))
-    names = names.union(outcome.failures.select(F.col("dataset").alias("name")))
+    names = names.union(outcome.failures.select(F.col("dataset").alias("name"))).distinct()
     there = coordinates(F.substring_index("name", ".", 1), monthly, bool(spec.layout.segments))
     return replace(outcome, absent=missing_partitions(grid, names.select(*[there[k].alias(k) for k in keys]), keys))
 
 
 @dataclass(frozen=True)
 class _Group:
-    """Datasets of equal columns and types, read and run together."""
+    """Files of equal columns and types, read and run together."""
 
-    names: tuple[str, ...]
+    parts: tuple[tuple[str, str], ...]
     rows: DataFrame
     result: DataFrame
-    columns: tuple[str, ...]
+
+    @property
+    def names(self) -> list[str]:
+        """Datasets that have files here."""
+        return sorted({name for _, name in self.parts})
 
 
 def run_datasets(
@@ -193,111 +199,162 @@ def run_datasets(
 ) -> Outcome:
     """As :func:`run_table`, for given dataset paths or globs.
 
-    Datasets are grouped by their columns and types, each group goes through
+    Files are grouped by their columns and types, each group goes through
     the chain by itself and the groups are united afterwards, so a code column
-    that holds numbers in one dataset is recoded nowhere else than where it is
-    text. A dataset that cannot be read or written is reported and the others
-    go on. Silver partitions of datasets that kept no row are emptied. With
+    that holds numbers in one file is recoded nowhere else than where it is
+    text. A file that cannot be read is reported and the others go on, those of its dataset too; a
+    dataset of which no file can be read keeps its silver partition. Silver partitions of datasets that kept no row are emptied. With
     ``schema`` no footer is read and all datasets are taken to have it.
     """
-    found = dataset_files(spark, *places, extension=spec.layout.extension)
+    found = dataset_parts(spark, *places, extension=spec.layout.extension)
     if not found:
         raise ValueError(f"no dataset matches {list(places)}")
     groups, failed = _groups(spark, spec, found, dictionary, schema, scan_options)
-    names = [name for group in groups for name in group.names]
-    folders = _partition_folders(spark, spec, silver, names)
+    folders = _partition_folders(spark, spec, silver, sorted({name for group in groups for name in group.names}))
     before_files = {folder: files_in(spark, folder) for folder in folders.values()}
-    lost = _write(groups, silver, spec, rebalance)
-    failed |= lost
-    done = [name for name in names if name not in lost]
+    groups, broken = _write(spark, spec, groups, silver, rebalance, dictionary, scan_options)
+    failed |= broken
+    done = sorted({name for group in groups for name in group.names})
     # what holds the files it held before got no row from this run
     stale = {folders[n] for n in done if before_files[folders[n]] and files_in(spark, folders[n]) == before_files[folders[n]]}
     remove_folders(spark, sorted(stale))
-    failures = spark.createDataFrame(sorted(failed.items()), "dataset string, erro string")
+    failures = spark.createDataFrame([(*part, text) for part, text in sorted(failed.items())], "arquivo string, dataset string, erro string")
     if not groups:
-        raise ValueError(f"no dataset of {list(places)} can be read: {sorted(failed.items())[0]}")
+        return _nothing_done(spark, failures)
 
     ending = F.lit(f".{spec.layout.extension}")
     rows = unite_drifted([g.rows for g in groups])
-    listed = [(f"{n}.{spec.layout.extension}", g.columns) for g in groups for n in g.names if n not in lost]
     stored = unite_drifted([add_region(g.result) for g in groups]).drop("tabela")
-    written = read_silver(spark, silver, spec.system, spec.table, stored.schema).where(F.col("dataset").isin(done))
+    contract, _ = read_contract(spark, silver_path(silver, spec.system, spec.table))
+    kinds = {f.name: f.dataType for f in contract}
+    typed = T.StructType([T.StructField(f.name, kinds.get(f.name, f.dataType), True) for f in stored.schema])
+    written = read_silver(spark, silver, spec.system, spec.table, typed).where(F.col("dataset").isin(done))
     for key, values in _coordinate_values(spark, spec, done).items():
         written = written.where(F.col(key).isin(values))
-    ended = [
-        (f"{n}.{spec.layout.extension}", [c for c in g.result.columns if c not in COORDINATES])
-        for g in groups for n in g.names if n not in lost
-    ]
     name = F.concat(F.col("dataset"), ending)
+    listed, ended = (_columns_of(groups, spec, which) for which in ("rows", "result"))
     before, after = audit_listed(listed, rows, name), audit_listed(ended, written, name)
     used = [*spec.rules.age_columns, *spec.rules.icd_columns] if "icd" in spec.steps else []
     checked = [chain_quarantine(g.rows, spec) for g in groups if _checks(g.rows, spec)]
     traced = [chain_lineage(g.rows, spec, owner, dictionary, g.names) for g in groups if spec.steps]
+    summed = unite_drifted(checked).groupBy("dataset", "coluna", "valor").agg(F.sum("ocorrencias").alias("ocorrencias")) if checked else None
     return Outcome(
         before,
         after,
         audit_diff(before, after),
         missing_columns(before, used),
-        unite_drifted(checked) if checked else None,
+        summed,
         failures,
-        lineage=unite_drifted(traced) if traced else None,
+        lineage=unite_drifted(traced).distinct() if traced else None,
     )
 
 
+def _nothing_done(spark: SparkSession, failures: DataFrame) -> Outcome:
+    """Outcome of a run in which no file could be read."""
+    none = spark.createDataFrame([], f"`{fv.AUDIT_FILE}` string, `{fv.AUDIT_ROWS}` long, `{fv.AUDIT_COLUMNS}` array<string>")
+    return Outcome(none, none, audit_diff(none, none), missing_columns(none, []), None, failures)
+
+
+def _columns_of(groups: Sequence[_Group], spec: TableSpec, which: str) -> list[tuple[str, list[str]]]:
+    """Columns of every dataset, those of all its files, without its coordinates."""
+    found: dict[str, dict[str, None]] = {}
+    for group in groups:
+        own = [c for c in getattr(group, which).columns if c not in COORDINATES]
+        for name in group.names:
+            found.setdefault(name, {}).update(dict.fromkeys(own))
+    return [(f"{name}.{spec.layout.extension}", list(own)) for name, own in sorted(found.items())]
+
+
 def _groups(
     spark: SparkSession,
     spec: TableSpec,
-    found: Sequence[tuple[str, str, int]],
+    found: Sequence[tuple[str, str]],
     dictionary: CodeDictionary | None,
     schema: T.StructType | None,
     scan_options: dict,
-) -> tuple[list[_Group], dict[str, str]]:
-    """Datasets by their columns and types, and those that cannot be read with the reason."""
+) -> tuple[list[_Group], dict[tuple[str, str], str]]:
+    """Files by their columns and types, and those that cannot be read or go through the chain, with the reason."""
     if schema is not None or spec.layout.extension == "delta":
-        schemas, failed = {place: schema for place, _, _ in found}, {}
+        schemas, failed = {file: schema for file, _ in found}, {}
     else:
-        schemas, bad = readable_schemas(spark, [place for place, _, _ in found])
-        failed = {name: bad[place] for place, name, _ in found if place in bad}
+        schemas, bad = file_schemas(spark, [file for file, _ in found])
+        failed = {(file, name): bad[file] for file, name in found if file in bad}
     members: dict[tuple, list[tuple[str, str]]] = {}
-    for place, name, _ in found:
-        if place in schemas:
-            kinds = schemas[place] and tuple((f.name, f.dataType.simpleString()) for f in schemas[place])
-            members.setdefault(kinds, []).append((place, name))
+    for file, name in found:
+        if file in schemas:
+            kinds = schemas[file] and tuple((f.name, f.dataType.simpleString()) for f in schemas[file])
+            members.setdefault(kinds, []).append((file, name))
     groups = []
     for own in members.values():
-        names = tuple(name for _, name in own)
         try:
-            rows = scan_datasets(spark, [place for place, _ in own], spec.layout, schema=schemas[own[0][0]], **scan_options)
-            result = apply_chain(rows, spec, dictionary)
+            groups.append(_group(spark, spec, own, schemas[own[0][0]], dictionary, scan_options))
         except (ValueError, AnalysisException) as error:
-            failed |= dict.fromkeys(names, _reason(error))
-            continue
-        groups.append(_Group(names, rows, result, tuple(c for c in rows.columns if c not in COORDINATES)))
+            failed |= dict.fromkeys(own, reason(error))
     return groups, failed
 
 
-def _reason(error: Exception) -> str:
-    return (str(error).strip() or repr(error)).splitlines()[0][:300]
+def _group(
+    spark: SparkSession,
+    spec: TableSpec,
+    parts: Sequence[tuple[str, str]],
+    schema: T.StructType | None,
+    dictionary: CodeDictionary | None,
+    scan_options: dict,
+) -> _Group:
+    if schema is None or spec.layout.extension == "delta":
+        rows = scan_datasets(spark, [place for place, _ in parts], spec.layout, **scan_options)
+    else:
+        branches = {k: v for k, v in scan_options.items() if k == "max_branches"}
+        rows = scan_files(spark, parts, spec.layout, schema, **branches)
+    return _Group(tuple(parts), rows, apply_chain(rows, spec, dictionary))
 
 
-def _write(groups: Sequence[_Group], silver: str, spec: TableSpec, rebalance: bool) -> dict[str, str]:
-    """Write all groups at once; if that fails, dataset by dataset. Gives those that failed."""
+def _write(
+    spark: SparkSession,
+    spec: TableSpec,
+    groups: list[_Group],
+    silver: str,
+    rebalance: bool,
+    dictionary: CodeDictionary | None,
+    scan_options: dict,
+) -> tuple[list[_Group], dict[tuple[str, str], str]]:
+    """Write all groups at once. If that fails, the files that cannot be read are found by testing
+    groups of files and the others are written; an error that is not a file's is raised.
+
+    Gives the groups written, and the files left out with the reason.
+    """
+
+    def without(bad: set, among: Sequence[tuple[str, str]] | None = None) -> list[_Group]:
+        kept = []
+        for group in groups:
+            own = [p for p in group.parts if p not in bad and (among is None or p in among)]
+            if own:
+                shape = T.StructType([f for f in group.rows.schema if f.name not in COORDINATES])
+                kept.append(_group(spark, spec, own, shape, dictionary, scan_options))
+        return kept
+
+    def test(parts: Sequence[tuple[str, str]]) -> Exception | None:
+        try:
+            unite_drifted([g.result for g in without(set(), set(parts))]).write.format("noop").mode("overwrite").save()
+        except Exception as error:  # broken data pages show only when they are read
+            return error
+        return None
+
+    def store(chosen: list[_Group]) -> None:
+        write_silver(unite_drifted([g.result for g in chosen]), silver, spec.system, spec.table, rebalance=rebalance)
+
     if not groups:
-        return {}
+        return [], {}
     try:
-        write_silver(unite_drifted([g.result for g in groups]), silver, spec.system, spec.table, rebalance=rebalance)
-        return {}
-    except Exception:
-        failed = {}
-    for group in groups:
-        for name in group.names:
-            try:
-                write_silver(group.result.where(F.col("dataset") == name), silver, spec.system, spec.table)
-            except Exception as error:  # broken data pages show only when they are read
-                failed[name] = _reason(error)
-    if len(failed) == sum(len(g.names) for g in groups):
-        raise RuntimeError(f"no dataset could be written: {sorted(failed.items())[0]}")
-    return failed
+        store(groups)
+        return groups, {}
+    except Exception as error:
+        bad = failing_parts([p for g in groups for p in g.parts], test)
+        if not bad:
+            raise error
+    if left := without(set(bad)):
+        store(left)
+    return left, {part: reason(error) for part, error in bad.items()}
 
 
 def _places(spark: SparkSession, spec: TableSpec, names: Sequence[str]) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from vitaria.operators.partitions import add_region
 from vitaria.sources.bronze import dataset_files
+from vitaria.sources.contract import as_contracted, keep_contract
 from vitaria.sources.tables import SILVER_KEYS, delta_available, read_mixed, silver_path
 
 
@@ -28,19 +29,22 @@ def write_silver(
     already lie together by partition, so nothing is shuffled and each task
     writes its own part. ``rebalance=True`` is for frames that do not: one
     shuffle on the partition columns in which large partitions are split and
-    small ones joined. Returns the schema of the table as written.
+    small ones joined. Columns get the types of the table's contract, which is widened
+    where needed (see :mod:`vitaria.sources.contract`). Returns the schema as written.
     """
     if "regiao" in partition_by and "regiao" not in df.columns and "uf" in df.columns:
         df = add_region(df)
     keys = [c for c in partition_by if c in df.columns]
     if rebalance:
         df = df.hint("rebalance", *[F.col(c) for c in keys])
+    path = silver_path(base, system, table)
     stored = df.drop("tabela")
+    stored = as_contracted(stored, keep_contract(df.sparkSession, path, stored.schema))
     (
         stored.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*keys)
-        .parquet(silver_path(base, system, table))
+        .parquet(path)
     )
     return stored.schema
 

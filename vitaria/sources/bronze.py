@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 
 from vitaria import fixed_values as fv
 from vitaria.functions.names import coordinates, dataset_name, parse_dataset
+from vitaria.sources.footers import unquoted
 from vitaria.sources.tables import read_records, require_delta
 
 # Measured: a branch costs the driver about 0.1 s of planning, cutting the
@@ -134,6 +135,35 @@ def scan_datasets(
         return _balanced_union(list(pool.map(branch, found)))
 
 
+def dataset_parts(spark: SparkSession, *paths: str, extension: str = "parquet") -> list[tuple[str, str]]:
+    """``(file, dataset)`` of all files under some paths, as Spark lists them; a Delta table counts as one file."""
+    anything = T.StructType([T.StructField("_", T.StringType())])
+    listed = _or_none(lambda: read_records(spark, *paths, schema=anything))
+    files = [] if listed is None else [f for f in listed.inputFiles() if f".{extension}" in f]
+    if extension == "delta":
+        return [(place, name) for place, name, _ in _datasets(files, extension)]
+    return sorted((file, _datasets([file], extension)[0][1]) for file in files)
+
+
+def scan_files(
+    spark: SparkSession,
+    parts: Sequence[tuple[str, str]],
+    layout: BronzeLayout,
+    schema: T.StructType,
+    max_branches: int = MAX_BRANCHES,
+) -> DataFrame:
+    """As :func:`scan_datasets`, for given files ``(file, dataset)`` of one schema."""
+    by_name: dict[str, list[str]] = {}
+    for file, name in parts:
+        by_name.setdefault(name, []).append(unquoted(file))
+    if len(by_name) > max_branches:
+        rows = read_records(spark, *[file for own in by_name.values() for file in own], schema=schema)
+        return _with_coordinates(rows, layout, dataset_name(F.col("_metadata.file_path"), layout.extension))
+    with ThreadPoolExecutor(16) as pool:
+        read = lambda item: _with_coordinates(read_records(spark, *item[1], schema=schema), layout, F.lit(item[0]))
+        return _balanced_union(list(pool.map(read, sorted(by_name.items()))))
+
+
 def _balanced_union(parts: list[DataFrame], by_name: bool = False) -> DataFrame:
     def both(a: DataFrame, b: DataFrame) -> DataFrame:
         return a.unionByName(b, allowMissingColumns=True) if by_name else a.unionAll(b)

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterable
-from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vitaria.functions.names import dataset_name
+from vitaria.sources.footers import file_schemas, unquoted
 
 SILVER_KEYS = ("regiao", "uf", "ano", "mes", "segmento")
 
@@ -37,45 +38,60 @@ def read_records(
     return reader.parquet(*paths)
 
 
-def dataset_schemas(spark: SparkSession, paths: Iterable[str], threads: int = 16) -> dict[str, T.StructType]:
-    """Schema of each dataset, from its footers; no rows are read."""
-    paths = list(paths)
-    with ThreadPoolExecutor(threads) as pool:
-        return dict(zip(paths, pool.map(lambda path: read_records(spark, path).schema, paths)))
-
-
-def readable_schemas(
-    spark: SparkSession, paths: Iterable[str], threads: int = 16
-) -> tuple[dict[str, T.StructType], dict[str, str]]:
-    """Schemas of the datasets that can be read, and why the others cannot."""
-
-    def one(path: str) -> T.StructType | str:
-        try:
-            return read_records(spark, path).schema
-        except Exception as error:  # whatever is wrong with one dataset, the others go on
-            return (str(error).strip() or repr(error)).splitlines()[0][:300]
+def dataset_schemas(spark: SparkSession, paths: Iterable[str]) -> dict[str, T.StructType]:
+    """Schema of each dataset, from the footers of its files; no rows are read.
 
+    Columns that only some files of a dataset have come after the others; one of different types in them is an error.
+    """
+    paths = list(paths)
+    files = files_of(spark, paths)
+    known, bad = file_schemas(spark, [file for own in files.values() for file in own])
+    if bad:
+        raise ValueError(f"{len(bad)} files cannot be read: {sorted(bad.items())[0]}")
+    found = {}
+    for path in paths:
+        types: dict[str, T.StructField] = {}
+        for field in (f for file in files[path] for f in known[file]):
+            if types.setdefault(field.name, field).dataType != field.dataType:
+                raise ValueError(f"{path}: column {field.name} is {types[field.name].dataType.simpleString()} and {field.dataType.simpleString()}")
+        found[path] = T.StructType(list(types.values()))
+    return found
+
+
+def files_of(spark: SparkSession, paths: Iterable[str]) -> dict[str, list[str]]:
+    """Files under each path, in one listing."""
     paths = list(paths)
-    with ThreadPoolExecutor(threads) as pool:
-        found = dict(zip(paths, pool.map(one, paths)))
-    bad = {path: error for path, error in found.items() if isinstance(error, str)}
-    return {path: schema for path, schema in found.items() if path not in bad}, bad
+    anything = T.StructType([T.StructField("_", T.StringType())])
+    plain = {path: path.split(":", 1)[-1].lstrip("/") for path in paths}
+    found: dict[str, list[str]] = {path: [] for path in paths}
+    by_plain = {name: path for path, name in plain.items()}
+    for file in read_records(spark, *paths, schema=anything).inputFiles():
+        name = unquoted(file).split(":", 1)[-1].lstrip("/")
+        while name and name not in by_plain:
+            name = name.rpartition("/")[0]
+        if name:
+            found[by_plain[name]].append(file)
+    return found
 
 
 def read_mixed(spark: SparkSession, paths: Iterable[str], name: str | None = None) -> DataFrame:
-    """Union of datasets whose columns or column types drifted apart.
+    """Union of datasets whose columns or column types drifted apart, between datasets or between files of one.
 
-    Datasets of equal schema are read together, so the number of branches is
+    Files of equal schema are read together, so the number of branches is
     the number of different schemas. A column whose type differs between them
     becomes text; absent columns are null. ``name`` adds a column of that name
     with the dataset a row comes from.
     """
+    files = [file for own in files_of(spark, paths).values() for file in own]
+    schemas, bad = file_schemas(spark, files)
+    if bad:
+        raise ValueError(f"{len(bad)} files cannot be read: {sorted(bad.items())[0]}")
     groups: dict[tuple, list[str]] = {}
     known: dict[tuple, T.StructType] = {}
     types: dict[str, set[str]] = {}
-    for path, schema in dataset_schemas(spark, paths).items():
+    for file, schema in schemas.items():
         signature = tuple((f.name, f.dataType.simpleString()) for f in schema)
-        groups.setdefault(signature, []).append(path)
+        groups.setdefault(signature, []).append(unquoted(file))
         known.setdefault(signature, schema)
         for column, kind in signature:
             types.setdefault(column, set()).add(kind)
@@ -104,16 +120,35 @@ def silver_path(base: str, system: str, table: str) -> str:
     return f"{base.rstrip('/')}/{system}/{table}"
 
 
+def contract_place(path: str) -> str:
+    """Where the contract of a silver table lies; Spark takes no folder of such a name for data."""
+    return f"{path}/_contract"
+
+
+def read_contract(spark: SparkSession, path: str) -> tuple[T.StructType, bool] | None:
+    """Columns and types of the silver table at ``path``, and whether all its files have them; None if it has no contract."""
+    if not path_exists(spark, contract_place(path)):
+        return None
+    held = json.loads(spark.read.text(contract_place(path), wholetext=True).first()[0])
+    return T.StructType.fromJson(held["schema"]), held["ready"]
+
+
 def read_silver(
     spark: SparkSession, base: str, system: str, table: str, schema: T.StructType | None = None
 ) -> DataFrame:
     """A silver table with its partition columns as text, so ``mes`` stays ``01``.
 
-    Without ``schema`` the columns of all its files are merged, which reads
-    every footer.
+    Without ``schema`` the table's contract says its columns and types, and no footer is read.
+    Tables without a contract have the columns of all their files merged.
     """
     path = silver_path(base, system, table)
-    found = schema or spark.read.option("mergeSchema", "true").parquet(path).schema
+    contract = None if schema is not None else read_contract(spark, path)
+    if schema is not None:
+        found = schema
+    elif contract is not None:
+        found = contract[0]
+    else:
+        found = spark.read.option("mergeSchema", "true").parquet(path).schema
     fields = [
         T.StructField(f.name, T.StringType() if f.name in SILVER_KEYS else f.dataType, True)
         for f in found

@@ -73,15 +73,16 @@ def refresh_new_datasets(
     the partitions of datasets that have gone, or hold no row any more, are
     emptied. The listing of files is stored under ``checkpoint`` when all is
     done, so a run that fails is done again as a whole and gives the same tables.
-    Datasets that could not be processed are in the outcome's failures, and are tried again next time.
+    Files that could not be read are in the outcome's failures, and their datasets are tried again next time, also
+    where nothing else changed.
     """
     changed, now = changed_datasets(spark, spec, bronze, checkpoint)
     datasets = changed.collect()
     places = [row.place for row in datasets if row.there]
-    outcome = run_datasets(spark, spec, places, silver, dictionary, schema=schema, **options) if places else None
     if gone := [row.dataset for row in datasets if not row.there]:
         empty_partitions(spark, spec, silver, gone)
-    failed = [] if outcome is None else [row.dataset for row in outcome.failures.collect()]
+    outcome = run_datasets(spark, spec, places, silver, dictionary, schema=schema, **options) if places else None
+    failed = [] if outcome is None else sorted({row.dataset for row in outcome.failures.collect()})
     known = path_exists(spark, f"{checkpoint}/listing")
     if datasets or not known:
         last = spark.read.parquet(f"{checkpoint}/listing").agg(F.max("run")).first()[0] if known else 0
