@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from checks.registry import check, sql_case
-from checks.stand_ins import ICD_ITEMS, MORTALITY_SQL, mortality
+from checks.stand_ins import ADMISSIONS_SQL, ICD_ITEMS, MORTALITY_SQL, OUTPATIENT_SQL, admissions, mortality, outpatient
 from checks.storage import bronze_of
 from vitaria import fixed_values as fv
 from vitaria.plans.chain import run_table
+from vitaria.plans.liveness import dead_rules_report
 from vitaria.plans.specs import SPECS
 from vitaria.sinks.shared import new_folder
 from vitaria.sinks.tables import listed_as_text
@@ -213,3 +214,35 @@ def daily_broken_file(spark, sf_dir):
     again = refresh().failures.select(F.lit(None).cast("long"), F.substring("dataset", 3, 2), F.right("dataset", F.lit(4)), F.lit("tried again"))
     stored = read_silver(spark, silver, "SIM", "DO").select("chave", "uf", "ano", F.lit("stored").alias("what"))
     return stored.union(told).union(again)
+
+
+_FRAMES = {"SIM": (mortality, MORTALITY_SQL), "SIA": (outpatient, OUTPATIENT_SQL), "SIH": (admissions, ADMISSIONS_SQL)}
+#: Rules as the fixed values have them: ``(step, columns)`` in the order of the full chain, and what each family runs.
+_RULES = {
+    "SIM": [("recode", fv.SIM_RECODE), ("age", [fv.SIM_AGE_COLUMN]), ("keep", fv.SIM_KEEP), ("icd", fv.SIM_ICD_COLUMNS), ("rename", fv.SIM_RENAME)],
+    "SIA": [("recode", fv.SIA_RECODE), ("dates", fv.SIA_DATES), ("rename", fv.SIA_RENAME)],
+    "SIH": [("recode", fv.SIH_RECODE), ("keep", fv.SIH_KEEP), ("icd", fv.SIH_KEEP), ("dates", fv.SIH_DATES), ("rename", fv.SIH_RENAME)],
+}
+_DROPS = {"SIM": fv.SIM_DROP, "SIA": fv.SIA_DROP, "SIH": fv.SIH_DROP}
+
+
+def _dead_sql() -> str:
+    arms = []
+    for spec in SPECS.values():
+        if not spec.steps:
+            continue
+        there = _FRAMES[spec.system][1]
+        for step, columns in _RULES[spec.system]:
+            runs = step in spec.steps
+            why = "drop removes it first" if runs else "the table does not run this step"
+            for c in columns:
+                if not runs or c in _DROPS[spec.system]:
+                    values = f'(select count("{c}") from ({there}))' if f'"{c}"' in there else "0"
+                    arms.append(f"('{spec.system}', '{spec.table}', '{step}', '{c}', '{why}', {values})")
+    return f"select * from (values {', '.join(arms)}) t(sistema, tabela, etapa, coluna, motivo, valores)"
+
+
+@check("dead_rules", _dead_sql())
+def dead_rules_of_all_tables(spark, sf_dir):
+    frames = {system: make(spark, sf_dir) for system, (make, _) in _FRAMES.items()}
+    return dead_rules_report(spark, [(spec, frames[spec.system]) for spec in SPECS.values()])

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vitaria.operators.columns import named
-from vitaria.operators.joins import BroadcastBound, fits, hot_keys, lookup_join
+from vitaria.operators.joins import BroadcastBound, Lookup, fits, hot_keys, lookup_columns, lookup_join
 from vitaria.sinks.shared import keep_table
 from vitaria.sources.dictionary import CodeDictionary
 
@@ -54,19 +54,10 @@ def resolve_codes(
 
 def exact_lookup(df: DataFrame, columns: Sequence[str], dictionary: CodeDictionary) -> DataFrame:
     """Only the exact step: description of a listed code, else the code itself."""
-    for c in columns:
-        if c not in df.columns:
-            continue
-        order = df.columns
-        side = dictionary.frame.select(
-            F.col("code").alias("_code"), F.struct("description").alias("_hit")
-        )
-        joined = lookup_join(
-            df.withColumn("_code", named(c).cast("string")), side, ["_code"], small=dictionary.small
-        )
-        value = F.when(F.col("_hit").isNotNull(), F.col("_hit.description")).otherwise(F.col("_code"))
-        df = joined.select(*[value.alias(n) if n == c else named(n) for n in order])
-    return df
+    side = dictionary.frame.select(F.col("code").alias("_key"), "description")
+    lookups = [Lookup(c, side, dictionary.small) for c in columns if c in df.columns]
+    described = lambda x, found: F.when(found.isNotNull(), found["description"]).otherwise(named(x.column).cast("string"))
+    return lookup_columns(df, lookups, described)
 
 
 def _choose(code: Column, exact: Column, first: Column) -> Column:

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vitaria.functions import age, dates, labels
-from vitaria.operators.joins import BroadcastBound, lookup_join
+from vitaria.operators.joins import BroadcastBound, Lookup, lookup_columns, lookup_join
 
 
 class RenameCollision(ValueError):
@@ -101,11 +101,12 @@ def recode_columns(
     due = {c: mapping for c, mapping in table.items() if c in text}
     long = {c: mapping for c, mapping in due.items() if len(mapping) > labels.MAX_CASE_LABELS}
     df = df.withColumns({c: build(named(c), mapping) for c, mapping in due.items() if c not in long})
+    lookups = []
     for c, mapping in long.items():
-        pairs = [(k, v, True) for k, v in mapping.items() if v is not None or blank_null_labels]
-        side = df.sparkSession.createDataFrame(pairs, "code string, label string, known boolean")
-        df = recode_by_table(df, c, side, small=len(pairs) <= BroadcastBound().rows)
-    return df
+        pairs = [(k, v) for k, v in mapping.items() if v is not None or blank_null_labels]
+        side = df.sparkSession.createDataFrame(pairs, "_key string, label string")
+        lookups.append(Lookup(c, side, len(pairs) <= BroadcastBound().rows))
+    return lookup_columns(df, lookups, lambda x, found: F.when(found.isNotNull(), found["label"]).otherwise(named(x.column)))
 
 
 def recode_by_table(

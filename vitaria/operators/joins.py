@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -72,12 +72,7 @@ def lookup_join(
     if hot.isEmpty():
         return rows.join(side, keys, "left")
     columns = [c for c in rows.columns if c not in keys]
-    # The part follows from what the row holds, the same again when a lost task
-    # is run anew; rows alike in all are told apart by the task they come from.
-    held = [F.col(f"`{f.name}`") for f in rows.schema if not _has_map(f.dataType)]
-    mark = F.xxhash64(*held, F.spark_partition_id())
-    part = F.coalesce(F.pmod(mark, F.col("_parts")).cast("int"), F.lit(0))
-    spread = _mark(rows, hot, keys).withColumn("_part", part).drop("_parts")
+    spread = _dealt(_mark(rows, hot, keys), keys)
     copies = _mark(side, hot, keys).withColumn(
         "_part", F.explode(F.sequence(F.lit(0), F.coalesce("_parts", F.lit(1)) - 1))
     )
@@ -85,6 +80,61 @@ def lookup_join(
     return joined.select(*keys, *columns, *[c for c in side.columns if c not in keys])
 
 
+def _dealt(marked: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows with the part of their key that they go to, in turn within each task.
+
+    Rows are numbered in the order of their key and content, so rows alike in all are dealt out
+    as evenly as others, and a lost task that is run again gives the same rows the same parts.
+    """
+    held = [F.col(f"`{f.name}`") for f in marked.schema if not _has_map(f.dataType)]
+    ordered = marked.sortWithinPartitions(*[F.col(f"`{k}`") for k in keys], F.xxhash64(*held))
+    number = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)) + F.pmod(F.xxhash64(F.spark_partition_id()), F.lit(1 << 20))
+    return ordered.withColumn("_part", F.coalesce(F.pmod(number, F.col("_parts")).cast("int"), F.lit(0))).drop("_parts")
+
+
+@dataclass(frozen=True)
+class Lookup:
+    """One column to be looked up: in which side, by its key, and whether the side is known to be small."""
+
+    column: str
+    side: DataFrame
+    small: bool | None = None
+
+
+def lookup_columns(
+    rows: DataFrame,
+    lookups: Sequence[Lookup],
+    value: Callable[[Lookup, Column], Column],
+    bound: BroadcastBound = BroadcastBound(),
+    hot_rows: int = HOT_ROWS,
+) -> DataFrame:
+    """``rows`` with several columns replaced by ``value(lookup, found)``; all sides are planned together.
+
+    A side has the unique ``_key``, as text, and other columns, which come as the struct ``found``, null without a match. Sides are measured
+    once each and small ones are joined first, without a shuffle. Hot keys of all large ones are counted in one
+    pass over ``rows`` as they are, before any join.
+    """
+    measured: dict[int, bool] = {}
+    for lookup in lookups:
+        known = lookup.small if lookup.small is not None else measured.get(id(lookup.side))
+        measured[id(lookup.side)] = fits(lookup.side, bound) if known is None else known
+    ordered = sorted(lookups, key=lambda x: not measured[id(x.side)])
+    large = [x for x in ordered if not measured[id(x.side)]]
+    text = lambda x: F.col(f"`{x.column}`").cast("string")
+    hot = None
+    if large:
+        codes = rows.select(*[text(x).alias(f"_key{i}") for i, x in enumerate(large)])
+        hot = hot_keys(codes, [[f"_key{i}"] for i in range(len(large))], hot_rows)
+    names = rows.columns
+    for x in ordered:
+        side = x.side.select("_key", F.struct(*[F.col(f"`{c}`") for c in x.side.columns if c != "_key"]).alias("_found"))
+        own = hot.where(F.col("_of") == large.index(x)).drop("_of") if x in large else None
+        joined = lookup_join(rows.withColumn("_key", text(x)), side, ["_key"], bound, measured[id(x.side)], hot_rows, own)
+        replaced = value(x, F.col("_found"))
+        rows = joined.select(*[replaced.alias(n) if n == x.column else F.col(f"`{n}`") for n in names])
+    return rows
+
+
 def _has_map(kind: T.DataType) -> bool:
     return "map<" in kind.simpleString()
 

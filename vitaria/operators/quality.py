@@ -94,6 +94,17 @@ def audit_listed(
     return report if stage is None else report.withColumn("etapa", F.lit(stage))
 
 
+def audit_known(
+    spark: SparkSession, listed: Sequence[tuple[str, Sequence[str]]], rows: Mapping[str, int], stage: str | None = None
+) -> DataFrame:
+    """As :func:`audit_listed`, with row counts that are known already, 0 where ``rows`` lacks a dataset."""
+    report = spark.createDataFrame(
+        [(name, rows.get(name, 0), list(columns)) for name, columns in listed],
+        f"`{fv.AUDIT_FILE}` string, `{fv.AUDIT_ROWS}` long, `{fv.AUDIT_COLUMNS}` array<string>",
+    )
+    return report if stage is None else report.withColumn("etapa", F.lit(stage))
+
+
 def audit_diff(before: DataFrame, after: DataFrame) -> DataFrame:
     """What changed between two audits: rows lost, columns removed and added (arrays)."""
 

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass, replace
+from functools import reduce
+from operator import or_
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -16,7 +18,7 @@ from vitaria.operators import columns as ops
 from vitaria.operators.codes import resolve_codes
 from vitaria.operators.lineage import process_records
 from vitaria.operators.partitions import add_region, missing_partitions
-from vitaria.operators.quality import audit_diff, audit_listed, missing_columns, quarantine
+from vitaria.operators.quality import audit_diff, audit_known, audit_listed, missing_columns, quarantine
 from vitaria.operators.years import filter_years
 from vitaria.plans.faults import failing_parts
 from vitaria.plans.specs import TableSpec
@@ -24,8 +26,8 @@ from vitaria.sinks.shared import files_in, remove_folders
 from vitaria.sinks.tables import write_silver
 from vitaria.sources.bronze import MONTHS, dataset_glob, dataset_parts, partition_grid, scan_datasets, scan_files, unite_drifted
 from vitaria.sources.dictionary import CodeDictionary
-from vitaria.sources.footers import file_schemas, reason
-from vitaria.sources.tables import SILVER_KEYS, read_contract, read_silver, silver_path
+from vitaria.sources.footers import as_uri, file_facts, read_footers, reason
+from vitaria.sources.tables import SILVER_KEYS, silver_path
 
 
 def apply_step(
@@ -179,6 +181,7 @@ class _Group:
     parts: tuple[tuple[str, str], ...]
     rows: DataFrame
     result: DataFrame
+    unreadable: Observation | None
 
     @property
     def names(self) -> list[str]:
@@ -209,7 +212,7 @@ def run_datasets(
     found = dataset_parts(spark, *places, extension=spec.layout.extension)
     if not found:
         raise ValueError(f"no dataset matches {list(places)}")
-    groups, failed = _groups(spark, spec, found, dictionary, schema, scan_options)
+    groups, failed, counts = _groups(spark, spec, found, dictionary, schema, scan_options)
     folders = _partition_folders(spark, spec, silver, sorted({name for group in groups for name in group.names}))
     before_files = {folder: files_in(spark, folder) for folder in folders.values()}
     groups, broken = _write(spark, spec, groups, silver, rebalance, dictionary, scan_options)
@@ -222,20 +225,18 @@ def run_datasets(
     if not groups:
         return _nothing_done(spark, failures)
 
-    ending = F.lit(f".{spec.layout.extension}")
-    rows = unite_drifted([g.rows for g in groups])
-    stored = unite_drifted([add_region(g.result) for g in groups]).drop("tabela")
-    contract, _ = read_contract(spark, silver_path(silver, spec.system, spec.table))
-    kinds = {f.name: f.dataType for f in contract}
-    typed = T.StructType([T.StructField(f.name, kinds.get(f.name, f.dataType), True) for f in stored.schema])
-    written = read_silver(spark, silver, spec.system, spec.table, typed).where(F.col("dataset").isin(done))
-    for key, values in _coordinate_values(spark, spec, done).items():
-        written = written.where(F.col(key).isin(values))
-    name = F.concat(F.col("dataset"), ending)
     listed, ended = (_columns_of(groups, spec, which) for which in ("rows", "result"))
-    before, after = audit_listed(listed, rows, name), audit_listed(ended, written, name)
+    if counts is None:  # no footer was read
+        name = F.concat(F.col("dataset"), F.lit(f".{spec.layout.extension}"))
+        before = audit_listed(listed, unite_drifted([g.rows for g in groups]), name)
+    else:
+        stayed: dict[str, int] = {}
+        for file, dataset in (part for group in groups for part in group.parts):
+            stayed[dataset] = stayed.get(dataset, 0) + counts[file]
+        before = audit_known(spark, listed, {f"{n}.{spec.layout.extension}": rows for n, rows in stayed.items()})
+    after = audit_known(spark, ended, {f"{n}.{spec.layout.extension}": rows for n, rows in _stored_rows(spark, folders, done).items()})
     used = [*spec.rules.age_columns, *spec.rules.icd_columns] if "icd" in spec.steps else []
-    checked = [chain_quarantine(g.rows, spec) for g in groups if _checks(g.rows, spec)]
+    checked = [chain_quarantine(g.rows if _has_unreadable(g) else g.rows.limit(0), spec) for g in groups if _checks(g.rows, spec)]
     traced = [chain_lineage(g.rows, spec, owner, dictionary, g.names) for g in groups if spec.steps]
     summed = unite_drifted(checked).groupBy("dataset", "coluna", "valor").agg(F.sum("ocorrencias").alias("ocorrencias")) if checked else None
     return Outcome(
@@ -255,6 +256,24 @@ def _nothing_done(spark: SparkSession, failures: DataFrame) -> Outcome:
     return Outcome(none, none, audit_diff(none, none), missing_columns(none, []), None, failures)
 
 
+def _has_unreadable(group: _Group) -> bool:
+    """Whether the write met a value that a step cannot read; if it counted none, bronze need not be read for them again."""
+    return group.unreadable is None or group.unreadable.get["rows"] > 0
+
+
+def _stored_rows(spark: SparkSession, folders: dict[str, str], names: Sequence[str]) -> dict[str, int]:
+    """Rows of datasets in their silver partitions, by the footers of the files there."""
+    files = {f"{folders[name]}/{file}": name for name in names for file in files_in(spark, folders[name])}
+    uris = {as_uri(spark, path): name for path, name in files.items()}
+    footers, bad = read_footers(spark, list(uris))
+    if bad:
+        raise RuntimeError(f"{len(bad)} files just written cannot be read: {sorted(bad.items())[0]}")
+    rows: dict[str, int] = {}
+    for uri, footer in footers.items():
+        rows[uris[uri]] = rows.get(uris[uri], 0) + footer.rows
+    return rows
+
+
 def _columns_of(groups: Sequence[_Group], spec: TableSpec, which: str) -> list[tuple[str, list[str]]]:
     """Columns of every dataset, those of all its files, without its coordinates."""
     found: dict[str, dict[str, None]] = {}
@@ -272,12 +291,16 @@ def _groups(
     dictionary: CodeDictionary | None,
     schema: T.StructType | None,
     scan_options: dict,
-) -> tuple[list[_Group], dict[tuple[str, str], str]]:
-    """Files by their columns and types, and those that cannot be read or go through the chain, with the reason."""
+) -> tuple[list[_Group], dict[tuple[str, str], str], dict[str, int] | None]:
+    """Files by their columns and types, those that cannot be read or go through the chain with the reason, and the rows
+    of each file, None where footers were not read."""
+    counts = None
     if schema is not None or spec.layout.extension == "delta":
         schemas, failed = {file: schema for file, _ in found}, {}
     else:
-        schemas, bad = file_schemas(spark, [file for file, _ in found])
+        facts, bad = file_facts(spark, [file for file, _ in found])
+        schemas = {file: own for file, (own, _) in facts.items()}
+        counts = {file: rows for file, (_, rows) in facts.items()}
         failed = {(file, name): bad[file] for file, name in found if file in bad}
     members: dict[tuple, list[tuple[str, str]]] = {}
     for file, name in found:
@@ -290,7 +313,7 @@ def _groups(
             groups.append(_group(spark, spec, own, schemas[own[0][0]], dictionary, scan_options))
         except (ValueError, AnalysisException) as error:
             failed |= dict.fromkeys(own, reason(error))
-    return groups, failed
+    return groups, failed, counts
 
 
 def _group(
@@ -306,7 +329,14 @@ def _group(
     else:
         branches = {k: v for k, v in scan_options.items() if k == "max_branches"}
         rows = scan_files(spark, parts, spec.layout, schema, **branches)
-    return _Group(tuple(parts), rows, apply_chain(rows, spec, dictionary))
+    steps, checked, unreadable = spec.steps, rows, None
+    if steps[:1] == ("drop",):  # so that dropped columns are not read
+        steps, checked = steps[1:], apply_step(rows, "drop", spec)
+    checks = _checks(checked, spec)
+    if checks and "years" not in steps:  # a year filter has to reach the files
+        unreadable = Observation()
+        checked = checked.observe(unreadable, F.count_if(reduce(or_, checks.values())).alias("rows"))
+    return _Group(tuple(parts), rows, apply_chain(checked, replace(spec, steps=steps), dictionary), unreadable)
 
 
 def _write(
@@ -363,13 +393,6 @@ def _places(spark: SparkSession, spec: TableSpec, names: Sequence[str]) -> DataF
     return add_region(listed.select("dataset", *[value.alias(key) for key, value in keys.items()])).distinct()
 
 
-def _coordinate_values(spark: SparkSession, spec: TableSpec, names: Sequence[str]) -> dict[str, list[str]]:
-    """Values of each partition column, so that a read of the table is pruned to them."""
-    places = _places(spark, spec, names).drop("dataset")
-    found = places.agg(*[F.collect_set(key).alias(key) for key in places.columns]).first()
-    return {key: sorted(values) for key, values in found.asDict().items() if key != "regiao"}
-
-
 def _partition_folders(spark: SparkSession, spec: TableSpec, silver: str, names: Sequence[str]) -> dict[str, str]:
     """Silver folder of each dataset's partition."""
     keys = [key for key in SILVER_KEYS if key in {"regiao", "uf", "ano", *(["mes"] if spec.layout.monthly else []), *(["segmento"] if spec.layout.segments else [])}]

@@ -26,6 +26,11 @@ def unquoted(uri: str) -> str:
     return unquote(uri)
 
 
+def as_uri(spark: SparkSession, path: str) -> str:
+    """A plain path as the URI that Spark would list."""
+    return spark._jvm.org.apache.hadoop.fs.Path(path).toUri().toString()
+
+
 def reason(error: BaseException) -> str:
     """First line of what went wrong at the root of an error."""
     java = getattr(error, "java_exception", None) or getattr(error, "_origin", None)
@@ -63,8 +68,8 @@ def read_footers(spark: SparkSession, files: Sequence[str], threads: int = 32) -
     return {file: footer for file, footer in found.items() if file not in bad}, bad
 
 
-def file_schemas(spark: SparkSession, files: Sequence[str]) -> tuple[dict[str, T.StructType], dict[str, str]]:
-    """Spark's schema of each file that can be opened, and why the others cannot: one Spark read for each different schema."""
+def file_facts(spark: SparkSession, files: Sequence[str]) -> tuple[dict[str, tuple[T.StructType, int]], dict[str, str]]:
+    """Spark's schema and the rows of each file that can be opened, and why the others cannot: one Spark read for each different schema."""
     footers, bad = read_footers(spark, files)
     first: dict[str, str] = {}
     for file, footer in footers.items():
@@ -76,4 +81,10 @@ def file_schemas(spark: SparkSession, files: Sequence[str]) -> tuple[dict[str, T
         except Exception as error:  # types that Spark does not know
             known[kind] = reason(error)
     bad |= {file: known[footer.kind] for file, footer in footers.items() if isinstance(known[footer.kind], str)}
-    return {file: known[footer.kind] for file, footer in footers.items() if file not in bad}, bad
+    return {file: (known[footer.kind], footer.rows) for file, footer in footers.items() if file not in bad}, bad
+
+
+def file_schemas(spark: SparkSession, files: Sequence[str]) -> tuple[dict[str, T.StructType], dict[str, str]]:
+    """As :func:`file_facts`, without the rows."""
+    found, bad = file_facts(spark, files)
+    return {file: schema for file, (schema, _) in found.items()}, bad
