@@ -1,3 +1,4 @@
+import random
 from collections import Counter, defaultdict
 
 import duckdb
@@ -120,3 +121,41 @@ def test_ranks(spark):
     rows = spark.createDataFrame([(c,) for c in ["b", "a", None, "é", "Z", "\U0001f600"]], "s string")
     found = {r.s: r.n for r in ranked(rows, F.col("s").asc_nulls_last(), "n").collect()}
     assert found == {"Z": 0, "a": 1, "b": 2, "é": 3, "\U0001f600": 4, None: 5}
+
+
+def plain_kept(rows, share=0.02, least=10, left=0.5):
+    """Verdict of every row by a plain count of documents, for rows that pass the base rules."""
+    import re
+
+    normal = lambda line: re.sub("[0-9]", "0", " ".join(re.findall(r"[^\x20\x09-\x0D]+", line.lower())))
+    documents = {}
+    for host, text in rows:
+        documents.setdefault(host, set()).add(frozenset(normal(x) for x in (text or "").split("\n") if normal(x)))
+    documents = {host: {d for d in own if d} for host, own in documents.items()}
+    kept = []
+    for host, text in rows:
+        words, stay = 0, 0
+        for line in (text or "").split("\n"):
+            n = len(re.findall(r"[^\x20\x09-\x0D]+", line))
+            words += n
+            holders = sum(normal(line) in d for d in documents[host])
+            stay += 0 if n and holders > least and holders > len(documents[host]) * share else n
+        kept.append(words >= 50 and stay >= words * left)
+    return kept
+
+
+def test_documents_are_counted_one_by_one(spark):
+    """A host of 600 documents, 30 of them 20 template lines and one own line: five per cent against two. And the same with copies."""
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choices("abcdefghijklmnop", k=6))
+    line = lambda: " ".join(word() for _ in range(6))
+    template = [line() for _ in range(20)]
+    rows = [("h", "\n".join(line() for _ in range(12))) for _ in range(570)]
+    rows += [("h", "\n".join([*template, line()])) for _ in range(30)]
+    rows += [("copies", rows[0][1])] * 50 + [("copies", "\n".join(line() for _ in range(12))) for _ in range(60)]
+    rows += [(None, "\n".join([*template[:9], *(line() for _ in range(9))])) for _ in range(25)] + [("h", None), ("h", "")]
+    table = spark.createDataFrame([(i, t, h) for i, (h, t) in enumerate(rows)], "doc_id long, text string, source string").repartition(5)
+    found = {r.doc_id: r.qr_kept for r in quality_rules(table).select("doc_id", "qr_kept").collect()}
+    assert [found[i] for i in range(len(rows))] == plain_kept(rows)
+    assert not any(found[i] for i in range(570, 600)) and all(found[i] for i in range(570))
+    assert all(found[i] for i in range(600, 710))

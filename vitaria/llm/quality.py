@@ -65,22 +65,19 @@ def repeated_words(words: Column, size: int = 3) -> Column:
 def frequent_lines(docs: DataFrame, *, host: str, text: str, share: float, least: int) -> DataFrame:
     """``host, frequent`` for every host with lines in more than ``share`` of its documents, and more than ``least``.
 
-    Documents count by their least line hash: copies, and near copies that differ in
-    other lines, share it and count once, so a copied text is no boilerplate. A host
-    cannot have more such lines than its documents have lines on average over ``share``.
+    Documents of a host with the same set of lines are copies and count once, so a copied text is no
+    boilerplate; all others count each. Every document also counts under an empty line, which gives the number of its
+    host's documents in the same pass. A host cannot have more such lines than its documents have lines on average over ``share``.
     """
     hashes = F.transform(F.split(F.coalesce(F.col(text), F.lit("")), "\n"), line_hash)
-    held = docs.select(F.col(host).alias("host"), F.array_distinct(F.array_compact(hashes)).alias("lines"))
-    rows = held.select("host", F.array_min("lines").alias("document"), F.explode("lines").alias("line"))
-    counted = rows.groupBy("host", "line").agg(
-        F.count_distinct("document").alias("documents"), F.bool_or(F.col("line") == F.col("document")).alias("stands_for_one")
-    )
+    held = docs.select(F.col(host).alias("host"), F.array_sort(F.array_distinct(F.array_compact(hashes))).alias("lines")).where(F.size("lines") > 0)
+    document = F.substring(F.md5(F.array_join("lines", "")), 1, 16)
+    rows = held.select("host", document.alias("document"), F.explode(F.concat(F.array(F.lit("")), "lines")).alias("line"))
+    counted = rows.groupBy("host", "line").agg(F.count_distinct("document").alias("documents"))
     # of all other lines nothing more is asked
-    counted = keep_table(counted.where(F.col("stands_for_one") | (F.col("documents") > least)), "line-counts")
-    sizes = counted.where("stands_for_one").groupBy("host").agg(F.count("*").alias("host_documents"))
-    many = counted.where(F.col("documents") > least).join(
-        sizes.withColumnRenamed("host", "sized_host"), F.col("host").eqNullSafe(F.col("sized_host"))
-    )
+    counted = keep_table(counted.where((F.col("line") == "") | (F.col("documents") > least)), "line-counts")
+    sizes = counted.where("line = ''").select(F.col("host").alias("sized_host"), F.col("documents").alias("host_documents"))
+    many = counted.where((F.col("documents") > least) & (F.col("line") != "")).join(sizes, F.col("host").eqNullSafe(F.col("sized_host")))
     many = many.where(F.col("documents") > F.col("host_documents") * F.lit(share))
     # a written table has a known size, so Spark broadcasts it where it is small and shuffles nothing
     return keep_table(many.groupBy("host").agg(F.collect_list("line").alias("frequent")), "frequent-lines")

@@ -55,9 +55,9 @@ l as (select r, source, substr(md5({_LINE}), 1, 16) as h, x, i from (
     select r, source, unnest(string_split(coalesce(text, ''), chr(10))) as x,
       generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) as i from d)),
 lw as (select * from l where regexp_matches(x, '[^\x20\x09-\x0D]')),
-s as (select r, min(h) as sketch from lw group by r),
-c as (select source, h, count(distinct sketch) as n, bool_or(h = sketch) as one from lw join s using (r) group by source, h),
-hosts as (select source, count(*) as docs from c where one group by source),
+s as (select r, string_agg(distinct h, ' ' order by h) as document from lw group by r),
+c as (select source, h, count(distinct document) as n from lw join s using (r) group by source, h),
+hosts as (select source, count(distinct document) as docs from lw join s using (r) group by source),
 f as (select c.source, c.h from c join hosts on c.source is not distinct from hosts.source where n > 10 and n > docs * 0.02::double),
 p as (select r, unnest(range(1, len(w) - 1)) as i, w from d where len(w) > 3),
 t as (select r, i, count(*) over (partition by r, w[i], w[i + 1], w[i + 2]) as n from p),
