@@ -125,3 +125,19 @@ def test_signatures_follow_edits_and_order():
     assert moved == pytest.approx(np.mean([x == y for x, y in zip(a, b, strict=True)]), abs=1e-9)
     assert (hashing.signature("") == 0).all() and (hashing.signature("ab") != 0).any()
     assert likeness(hashing.signature("aaaaaaaaaaaaaaaa"), hashing.signature("a" * 40)) < 1  # occurrences count
+
+
+def test_words_that_lower_case_to_an_added_token_keep_their_ids():
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    tokenizer = Tokenizer.from_file(path)
+    added = [x.content for x in tokenizer.get_added_tokens_decoder().values()]
+    texts = [f"a {x} b {x.upper()}c {x.title()} X{x.upper()}{x}" for x in added]
+    texts += ["", " \n", "Plain WORDS, again; plain words,", "\u0130stanbul \u00c9T\u00c9 \U0001f600!?", "x" * 3000, "A\x1cB\xa0c", "one\ttwo\x0bthree"]
+    expected = [[*tokenizer.encode(t, add_special_tokens=False).ids, 1] for t in texts]
+    for held in (300_000, 2):  # also when all words are forgotten again and again
+        encode = packing.word_tokens(path, held=held)()
+        for _ in range(2):
+            assert [x.tolist() for x in encode(texts)] == expected
+        assert [next(iter(encode([t]))).tolist() for t in texts] == expected

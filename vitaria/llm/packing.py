@@ -10,6 +10,7 @@ unfilled rest of each partition is merged with others in rounds of bounded group
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from array import array
 from bisect import bisect_left, insort
@@ -22,6 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vitaria.llm.session import let_workers_import
+from vitaria.llm.words import SPACES, hash_spans, spans
 from vitaria.sinks.shared import keep_table
 
 _PIECE = pa.schema(
@@ -207,7 +209,10 @@ _SIGNS = b".,;:!?*#$%&+=|()[]{}<>/\\\"-_~^@"
 
 
 class _WordIds:
-    """Token ids of white-space separated words, remembered for the words met last."""
+    """Token ids of white-space separated words, remembered for the words met last.
+
+    Words are looked up all at once by their hashes; only those not met lately are handled one by one.
+    """
 
     def __init__(self, path: str, held: int):
         from tokenizers import Tokenizer
@@ -215,14 +220,85 @@ class _WordIds:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs the tasks side by side
         self.tokenizer, self.held = Tokenizer.from_file(path), held
         self.special = [x.content.encode() for x in self.tokenizer.get_added_tokens_decoder().values()]
+        self.holds_special = re.compile(b"|".join(map(re.escape, self.special)) or b"(?!)").search
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends_word[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
         self.recent: dict[bytes, bytes] = {}
         self.older: dict[bytes, bytes] = {}
-
-    def _encode(self, words: list[bytes]) -> Iterator[bytes]:
-        texts = [w.decode("utf-8", "replace") for w in words]
-        for at in range(0, len(texts), 4096):
-            for found in self.tokenizer.encode_batch_fast(texts[at : at + 4096], add_special_tokens=False):
-                yield array("I", found.ids).tobytes()
+        self._forget()
+
+    def _forget(self) -> None:
+        self.known, self.pool = np.empty(0, np.uint64), np.empty(0, "<u4")  # hashes ascending, and all ids one after the other
+        self.at, self.length = np.empty(0, np.int64), np.empty(0, np.int64)  # where each word's ids lie
+
+    def own_spelling(self, raw: bytes, lower: bytes) -> bytes:
+        """Texts in lower case, but for words that become an added token by it: to the tokenizer they are none."""
+        if raw == lower or not any(x in lower for x in self.special):
+            return lower
+        out = bytearray(lower)
+        for special in self.special:
+            at = lower.find(special)
+            while at >= 0:
+                a, b = at, at + len(special)
+                while a > 0 and lower[a - 1] not in SPACES:
+                    a -= 1
+                while b < len(lower) and lower[b] not in SPACES:
+                    b += 1
+                out[a:b] = raw[a:b]
+                at = lower.find(special, b)
+        return bytes(out)
+
+    def ids(self, text: bytes, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all words one after the other, and how many each has."""
+        hashes = hash_spans(np.frombuffer(text, np.uint8), starts, ends)
+        different, first, which = np.unique(hashes, return_index=True, return_inverse=True)
+        if len(self.known) > self.held:
+            self._forget()
+        place = np.searchsorted(self.known, different)
+        missing = np.ones(len(different), bool)
+        inside = place < len(self.known)
+        missing[inside] = self.known[place[inside]] != different[inside]
+        if missing.any():
+            words = [text[a:b] for a, b in zip(starts[first[missing]].tolist(), ends[first[missing]].tolist(), strict=True)]
+            self.learn(set(words))
+            found = [self.recent[word] for word in words]
+            lengths = np.array([len(x) // 4 for x in found], np.int64)
+            begins = len(self.pool) + np.cumsum(lengths) - lengths
+            self.pool = np.concatenate([self.pool, np.frombuffer(b"".join(found), "<u4")])
+            at = place[missing]
+            self.known = np.insert(self.known, at, different[missing])
+            self.at, self.length = np.insert(self.at, at, begins), np.insert(self.length, at, lengths)
+            place = np.searchsorted(self.known, different)
+        lengths = self.length[place][which]
+        ends_at = np.cumsum(lengths)
+        total = int(ends_at[-1]) if len(ends_at) else 0
+        return self.pool[np.arange(total) + np.repeat(self.at[place][which] - (ends_at - lengths), lengths)], lengths
+
+    def _one_by_one(self, texts: list[str]) -> Iterator[bytes]:
+        for found in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False):
+            yield array("I", found.ids).tobytes()
+
+    def _encode(self, words: list[bytes]) -> dict[bytes, bytes]:
+        """Ids of words. Words of letters only go together: where each gives one id that ends a word, these tell them apart."""
+        out, joined, single = {}, [], []
+        for word in words:
+            (joined if word.decode("utf-8", "replace").isalpha() else single).append(word)
+        groups = [joined[at : at + 64] for at in range(0, len(joined), 64)]
+        found = self.tokenizer.encode_batch_fast([b" ".join(g).decode() for g in groups], add_special_tokens=False)
+        for group, one in zip(groups, found, strict=True):
+            ids = np.array(one.ids, "<u4")
+            ends = (np.flatnonzero(self.ends_word[ids]) + 1) * 4
+            if len(ends) == len(group) and ends[-1] == 4 * len(ids):
+                data = ids.tobytes()
+                cuts = [0, *ends.tolist()]
+                out.update(zip(group, map(data.__getitem__, map(slice, cuts, cuts[1:])), strict=False))
+            else:
+                single += group
+        for at in range(0, len(single), 4096):
+            some = single[at : at + 4096]
+            out.update(zip(some, self._one_by_one([w.decode("utf-8", "replace") for w in some]), strict=True))
+        return out
 
     def learn(self, words: set[bytes]) -> None:
         """Words of the next texts, and nothing that is known already, are encoded.
@@ -241,7 +317,7 @@ class _WordIds:
                 recent[word] = ids
                 continue
             stem = word.rstrip(_SIGNS)
-            if len(stem) in (0, len(word)) or not 97 <= stem[-1] <= 122 or any(x in word for x in self.special):
+            if len(stem) in (0, len(word)) or not 97 <= stem[-1] <= 122 or self.holds_special(word):
                 fresh.add(word)
                 continue
             joined.append((word, stem, word[len(stem) :]))
@@ -251,8 +327,7 @@ class _WordIds:
                         recent[part] = ids
                     else:
                         fresh.add(part)
-        new = list(fresh)
-        recent.update(zip(new, self._encode(new), strict=True))
+        recent.update(self._encode(list(fresh)))
         for word, stem, signs in joined:
             recent[word] = recent[stem] + recent[signs]
 
@@ -271,13 +346,17 @@ def word_tokens(path: str, end_id: int = 1, held: int = 300_000):
         if (path, held) not in _word_ids:
             _word_ids[path, held] = _WordIds(path, held)
         known = _word_ids[path, held]
-        end = np.array([end_id], "<u4").tobytes()
 
         def encode(texts: list) -> Iterator[np.ndarray]:
-            split = [text.encode("utf-8", "surrogatepass").translate(_LOWER).split() for text in texts]
-            known.learn(set().union(*split))
-            for words in split:
-                yield np.frombuffer(b"".join([*map(known.recent.__getitem__, words), end]), "<u4")
+            raw = [text.encode("utf-8", "surrogatepass") for text in texts]
+            joined = b"\n".join(raw)
+            text = known.own_spelling(joined, joined.translate(_LOWER))
+            starts, ends = spans(np.frombuffer(text, np.uint8))
+            ids, lengths = known.ids(text, starts, ends)
+            begins = np.cumsum([0, *(len(x) + 1 for x in raw)])
+            cuts = np.r_[0, np.cumsum(lengths)][np.searchsorted(starts, begins)]
+            for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+                yield np.append(ids[a:b], np.uint32(end_id))
 
         return encode
 
