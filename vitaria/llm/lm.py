@@ -231,26 +231,58 @@ def _add_words(table: pa.Table) -> pa.Table:
     return pa.Table.from_pylist([row], _VOCABULARY)
 
 
-def _answers(after: np.ndarray, counts: np.ndarray, asked: np.ndarray, bits: int) -> np.ndarray:
-    """For each asked key what its context tells at every node on the symbol's path, from sorted keys and their counts.
+def _new_nodes(asked: np.ndarray, level: int, bits: int) -> np.ndarray:
+    """Which of the sorted keys are the first to pass their node of a level; the keys that pass a node lie together."""
+    node = asked >> np.uint64(bits - level)
+    return np.r_[True, node[1:] != node[:-1]] if len(asked) else np.zeros(0, bool)
 
-    The logarithm of the odds of a one in steps, times two, plus one if the context was met there more than once.
+
+def _branches(after: np.ndarray, counts: np.ndarray, asked: np.ndarray, bits: int) -> np.ndarray:
+    """What the contexts of sorted asked keys have counted, each node on a symbol's path once, from sorted keys and their counts.
+
+    First the count of each context, then level by level how many of a node's count are not on the branch that the first
+    key passing it takes: mostly none, so the numbers compress well. ``_odds`` reads them.
     """
     before = np.r_[0, np.cumsum(counts)]
     last = np.uint64((1 << bits) - 1)
     start, end = np.searchsorted(after, asked & ~_SYMBOL), np.searchsorted(after, asked & ~_SYMBOL | last, side="right")
-    told = np.zeros((len(asked), bits), np.int16)
-    some = np.flatnonzero(end > start)  # of contexts never met nothing is known
-    start, end, asked = start[some], end[some], asked[some]
+    told = [(before[end] - before[start])[_new_nodes(asked, 0, bits)]]
     for level in range(bits):
         shift = np.uint64(bits - 1 - level)
-        middle = np.searchsorted(after, (asked >> shift | np.uint64(1)) << shift)
-        zeros, ones = before[middle] - before[start], before[end] - before[middle]
-        odds = np.log((ones + 0.4) / (zeros + 0.4)).clip(-8, 8)
-        told[some, level] = np.rint(odds * _STEPS).astype(np.int16) * 2 + (zeros + ones > 1)
+        middle = np.searchsorted(after, (asked >> shift | np.uint64(1)) << shift).clip(start, end)
         one = (asked >> shift & np.uint64(1)).astype(bool)
+        aside = np.where(one, before[middle] - before[start], before[end] - before[middle])
+        told.append(aside[_new_nodes(asked, level, bits)])
         start, end = np.where(one, middle, start), np.where(one, end, middle)
-    return told
+    return np.concatenate(told)
+
+
+def _odds(told: np.ndarray, asked: np.ndarray, bits: int) -> np.ndarray:
+    """For each asked key what its context tells at every node on the symbol's path, from the numbers of ``_branches``.
+
+    The logarithm of the odds of a one in steps, times two, plus one if the context was met there more than once.
+    """
+    found = np.zeros((len(asked), bits), np.int16)
+    new = _new_nodes(asked, 0, bits)
+    at = int(np.count_nonzero(new))
+    count = told[:at][np.cumsum(new) - 1]
+    for level in range(bits):
+        new = _new_nodes(asked, level, bits)
+        first, node = np.flatnonzero(new), np.cumsum(new) - 1
+        one = (asked >> np.uint64(bits - 1 - level) & np.uint64(1)).astype(bool)
+        aside, all_there = told[at : at + len(first)], count[first]
+        at += len(first)
+        ones = np.where(one[first], all_there - aside, aside)
+        odds = np.log((ones + 0.4) / (all_there - ones + 0.4)).clip(-8, 8)
+        found[:, level] = (np.rint(odds * _STEPS).astype(np.int16) * 2 + (all_there > 1))[node]
+        count = np.where(one, ones[node], count - ones[node])
+    return found
+
+
+def _answers(after: np.ndarray, counts: np.ndarray, asked: np.ndarray, bits: int) -> np.ndarray:
+    """``_odds`` of any keys, given straight away by sorted keys and their counts."""
+    asked, place = np.unique(asked, return_inverse=True)
+    return _odds(_branches(after, counts, asked, bits), asked, bits)[place]
 
 
 @dataclass
@@ -426,7 +458,8 @@ def _token_bits(tokens: Tokens, counts: np.ndarray, model: Model, after: _Told,
 
 
 _ASKED = pa.schema([("part", pa.int32()), ("piece", pa.int32()), ("keys", pa.binary())])
-_TOLD = pa.schema([("piece", pa.int32()), ("keys", pa.binary()), ("counts", pa.binary())])
+_TOLD_DDL = "part int, piece int, counts binary"
+_TOLD = pa.schema([("part", pa.int32()), ("piece", pa.int32()), ("counts", pa.binary())])
 _AFTER_DDL = "part int, piece int, after binary, letters binary"
 _AFTER = pa.schema([("part", pa.int32()), ("piece", pa.int32()), ("after", pa.binary()), ("letters", pa.binary())])
 
@@ -442,36 +475,37 @@ def _ask(parts: int):
     def run(table: pa.Table) -> pa.Table:
         keys = np.unique(Tokens(texts_of(table, "text")).keys)
         piece = table.column("piece")[0].as_py()
-        return pa.Table.from_pylist([{"part": p, "piece": piece, "keys": pack(keys[a:b])} for p, a, b in part_cuts(keys, parts)], _ASKED)
+        return pa.Table.from_pylist([{"part": p, "piece": piece, "keys": _press_keys(keys[a:b])} for p, a, b in part_cuts(keys, parts)], _ASKED)
 
     return run
 
 
 def _tell(asked: pa.Table, vocabulary: pa.Table) -> pa.Table:
-    """To every piece the counts of those of its keys that training texts have."""
+    """To every piece the counts of its keys in their order, 0 for those that training texts have not."""
+    known = np.concatenate([np.empty(0, np.uint64), *(unpack(x, np.uint64) for x in vocabulary.column("keys").to_pylist())])
+    number = np.concatenate([np.empty(0, np.int64), *(unpack(x, np.int64) for x in vocabulary.column("counts").to_pylist())])
+    known, number = np.append(known, np.uint64(0)), np.append(number, 0)  # a last one for keys beyond all others
     rows = []
-    for known, number in zip(*(vocabulary.column(c).to_pylist() for c in ("keys", "counts")), strict=True):
-        known, number = unpack(known, np.uint64), unpack(number, np.int64)
-        if not len(known):
-            continue
-        for piece, keys in zip(*(asked.column(c).to_pylist() for c in ("piece", "keys")), strict=True):
-            keys = unpack(keys, np.uint64)
-            at = np.minimum(np.searchsorted(known, keys), len(known) - 1)
-            met = known[at] == keys
-            rows.append({"piece": piece, "keys": pack(keys[met]), "counts": pack(number[at][met])})
+    for row in asked.to_pylist():
+        keys = _unpress_keys(row["keys"])
+        at = np.searchsorted(known[:-1], keys)
+        rows.append({"part": row["part"], "piece": row["piece"], "counts": _press(np.where(known[at] == keys, number[at], 0))})
     return pa.Table.from_pylist(rows, _TOLD)
 
 
-def _counts_of(tokens: Tokens, told: pa.Table) -> np.ndarray:
-    """For every token its count in the training texts, 0 where nothing is told."""
-    keys, number = ([unpack(x, kind) for x in told.column(c).to_pylist() if x] for c, kind in (("keys", np.uint64), ("counts", np.int64)))
-    if not sum(map(len, keys)):
-        return np.zeros(len(tokens.keys), np.int64)
-    keys, number = np.concatenate(keys), np.concatenate(number)
-    order = np.argsort(keys)
-    keys, number = keys[order], number[order]
-    at = np.minimum(np.searchsorted(keys, tokens.keys), len(keys) - 1)
-    return np.where(keys[at] == tokens.keys, number[at], 0)
+def _by_part(told: pa.Table, name: str) -> dict[int, bytes]:
+    """What the parts have told a piece in a column."""
+    return {p: x for p, x in zip(told.column("part").to_pylist(), told.column(name).to_pylist(), strict=True) if x is not None}
+
+
+def _counts_of(tokens: Tokens, told: pa.Table, parts: int) -> np.ndarray:
+    """For every token its count in the training texts."""
+    keys, place = np.unique(tokens.keys, return_inverse=True)
+    numbers = _by_part(told, "counts")
+    found = np.zeros(len(keys), np.int64)
+    for part, a, b in part_cuts(keys, parts):
+        found[a:b] = _unpress(numbers[part], np.int64)
+    return found[place]
 
 
 def _after_keys(tokens: Tokens, met: np.ndarray) -> list[np.ndarray]:
@@ -489,7 +523,7 @@ def _ask_after(parts: int):
         if not len(table):
             return _AFTER.empty_table()
         tokens, piece = Tokens(texts_of(table, "text")), table.column("piece")[0].as_py()
-        after, letters = _after_keys(tokens, _counts_of(tokens, told) > 0)
+        after, letters = _after_keys(tokens, _counts_of(tokens, told, parts) > 0)
         rows = [{"part": p, "piece": piece, "after": _press_keys(after[a]), "letters": _press_keys(letters[b])} for p, (a, b) in _dealt(parts, after, letters)]
         return pa.Table.from_pylist(rows, _AFTER)
 
@@ -497,12 +531,12 @@ def _ask_after(parts: int):
 
 
 def _tell_after(asked: pa.Table, vocabulary: pa.Table) -> pa.Table:
-    """To every piece an answer to every key that it asks for, in their order."""
+    """To every piece what the contexts of the keys that it asks for have counted."""
     after = np.concatenate([np.empty(0, np.uint64), *map(_unpress_keys, vocabulary.column("after").to_pylist())])
     counts = np.concatenate([np.empty(0, np.int64), *(_unpress(x, np.int64) for x in vocabulary.column("after_counts").to_pylist())])
     rows = []
     for row in asked.to_pylist():
-        told = {n: _press(_answers(after, counts, _unpress_keys(row[n]), bits).ravel()) for n, bits in (("after", SIGNATURE_BITS), ("letters", 8))}
+        told = {n: _press(_branches(after, counts, _unpress_keys(row[n]), bits)) for n, bits in (("after", SIGNATURE_BITS), ("letters", 8))}
         rows.append({"part": row["part"], "piece": row["piece"], **told})
     return pa.Table.from_pylist(rows, _AFTER)
 
@@ -513,17 +547,25 @@ _SCORES = pa.schema(
 )
 
 
-def _score(model):
+def _read_odds(keys: np.ndarray, told: dict[int, bytes], parts: int, bits: int) -> np.ndarray:
+    """Answers to the different keys of a piece, from what each part of the range has told."""
+    found = np.zeros((len(keys), bits), np.int16)
+    for part, a, b in part_cuts(keys, parts):
+        found[a:b] = _odds(_unpress(told[part], np.int64), keys[a:b], bits)
+    return found
+
+
+def _score(model, parts: int):
     def run(table: pa.Table, told: pa.Table) -> pa.Table:
         if not len(table):
             return _SCORES.empty_table()
-        table, told = _in_order(table), told.sort_by("part")
+        table = _in_order(table)
         known, texts = model.value, texts_of(table, "text")
         tokens = Tokens(texts)
-        counts = _counts_of(tokens, told)
+        counts = _counts_of(tokens, told, parts)
         met = counts > 0
         answered = [
-            _Told(keys, np.concatenate([np.empty(0, np.int16), *(_unpress(x, np.int16) for x in told.column(name).to_pylist() if x)]).reshape(-1, bits))
+            _Told(keys, _read_odds(keys, _by_part(told, name), parts, bits))
             for keys, name, bits in zip(_after_keys(tokens, met), ("after", "letters"), (SIGNATURE_BITS, 8), strict=True)
         ]
         bits = _token_bits(tokens, counts, known, *answered)
@@ -558,13 +600,13 @@ def score_texts(docs: DataFrame, learns: str, *, doc_id: str = "doc_id", text: s
     held = rows.select("doc_id", "text").withColumn("piece", piece_of(parts, "doc_id", "text"))
     asked = held.groupBy("piece").applyInArrow(_ask(parts), "part int, piece int, keys binary")
     words = vocabulary.select("part", "keys", "counts")
-    told = asked.groupBy("part").cogroup(words.groupBy("part")).applyInArrow(_tell, "piece int, keys binary, counts binary")
+    told = asked.groupBy("part").cogroup(words.groupBy("part")).applyInArrow(_tell, _TOLD_DDL)
     asked = held.groupBy("piece").cogroup(told.groupBy("piece")).applyInArrow(_ask_after(parts), _AFTER_DDL)
     after = vocabulary.select("part", "after", "after_counts")
     after = asked.groupBy("part").cogroup(after.groupBy("part")).applyInArrow(_tell_after, _AFTER_DDL)
     told = told.unionByName(after, allowMissingColumns=True)
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    scores = held.groupBy("piece").cogroup(told.groupBy("piece")).applyInArrow(_score(shared), _SCORES_DDL)
+    scores = held.groupBy("piece").cogroup(told.groupBy("piece")).applyInArrow(_score(shared, parts), _SCORES_DDL)
     bits = -F.col("score") / math.log10(2)
     return scores.select(
         "doc_id", "n_tokens", "n_known", F.lit(model.tokens).cast("long").alias("train_tokens"), "base_score", "score",
