@@ -40,6 +40,7 @@ _PREFIX = 10  # first letters of a word that the context of all its letters sees
 _STEPS = 2000
 _SYMBOL = np.uint64((1 << SIGNATURE_BITS) - 1)
 _SLICE_BITS = 16
+_KEYS_AT_ONCE = 1 << 18
 _WIDTHS = np.array([1, 3, 5, 6, 8, 10, 13, 17])
 _ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
 
@@ -231,50 +232,52 @@ def _add_words(table: pa.Table) -> pa.Table:
     return pa.Table.from_pylist([row], _VOCABULARY)
 
 
-def _new_nodes(asked: np.ndarray, level: int, bits: int) -> np.ndarray:
-    """Which of the sorted keys are the first to pass their node of a level; the keys that pass a node lie together."""
-    node = asked >> np.uint64(bits - level)
-    return np.r_[True, node[1:] != node[:-1]] if len(asked) else np.zeros(0, bool)
+def _new_nodes(asked: np.ndarray, begins: np.ndarray, bits: int) -> Iterator[np.ndarray]:
+    """For the root and every level which keys are the first to pass their node; ``begins`` tells where sorted runs of keys begin."""
+    for level in (0, *range(bits)):
+        node = asked >> np.uint64(bits - level)
+        new = np.ones(len(asked), bool)
+        new[1:] = node[1:] != node[:-1]
+        new[begins] = True
+        yield new
 
 
-def _branches(after: np.ndarray, counts: np.ndarray, asked: np.ndarray, bits: int) -> np.ndarray:
-    """What the contexts of sorted asked keys have counted, each node on a symbol's path once, from sorted keys and their counts.
+def _runs(news: list[np.ndarray], begins: np.ndarray) -> np.ndarray:
+    """How many numbers are told of each run of keys, for the root and every level."""
+    return np.array([np.add.reduceat(new, begins, dtype=np.int64) for new in news]) if len(begins) else np.zeros((len(news), 0), np.int64)
+
+
+def _branches(after: np.ndarray, before: np.ndarray, asked: np.ndarray, news: list[np.ndarray], bits: int) -> Iterator[np.ndarray]:
+    """What the contexts of asked keys have counted, each node on a symbol's path once, from sorted keys and their running counts.
 
     First the count of each context, then level by level how many of a node's count are not on the branch that the first
     key passing it takes: mostly none, so the numbers compress well. ``_odds`` reads them.
     """
-    before = np.r_[0, np.cumsum(counts)]
     last = np.uint64((1 << bits) - 1)
     start, end = np.searchsorted(after, asked & ~_SYMBOL), np.searchsorted(after, asked & ~_SYMBOL | last, side="right")
-    told = [(before[end] - before[start])[_new_nodes(asked, 0, bits)]]
+    yield (before[end] - before[start])[news[0]]
     for level in range(bits):
         shift = np.uint64(bits - 1 - level)
         middle = np.searchsorted(after, (asked >> shift | np.uint64(1)) << shift).clip(start, end)
         one = (asked >> shift & np.uint64(1)).astype(bool)
-        aside = np.where(one, before[middle] - before[start], before[end] - before[middle])
-        told.append(aside[_new_nodes(asked, level, bits)])
+        yield np.where(one, before[middle] - before[start], before[end] - before[middle])[news[level + 1]]
         start, end = np.where(one, middle, start), np.where(one, end, middle)
-    return np.concatenate(told)
 
 
-def _odds(told: np.ndarray, asked: np.ndarray, bits: int) -> np.ndarray:
+def _odds(told: list[np.ndarray], asked: np.ndarray, news: list[np.ndarray], bits: int) -> np.ndarray:
     """For each asked key what its context tells at every node on the symbol's path, from the numbers of ``_branches``.
 
     The logarithm of the odds of a one in steps, times two, plus one if the context was met there more than once.
     """
     found = np.zeros((len(asked), bits), np.int16)
-    new = _new_nodes(asked, 0, bits)
-    at = int(np.count_nonzero(new))
-    count = told[:at][np.cumsum(new) - 1]
-    for level in range(bits):
-        new = _new_nodes(asked, level, bits)
+    count = told[0][np.cumsum(news[0]) - 1]
+    for level, (new, aside) in enumerate(zip(news[1:], told[1:], strict=True)):
         first, node = np.flatnonzero(new), np.cumsum(new) - 1
         one = (asked >> np.uint64(bits - 1 - level) & np.uint64(1)).astype(bool)
-        aside, all_there = told[at : at + len(first)], count[first]
-        at += len(first)
-        ones = np.where(one[first], all_there - aside, aside)
-        odds = np.log((ones + 0.4) / (all_there - ones + 0.4)).clip(-8, 8)
-        found[:, level] = (np.rint(odds * _STEPS).astype(np.int16) * 2 + (all_there > 1))[node]
+        both = count[first]
+        ones = np.where(one[first], both - aside, aside)
+        odds = np.log((ones + 0.4) / (both - ones + 0.4)).clip(-8, 8)
+        found[:, level] = (np.rint(odds * _STEPS).astype(np.int16) * 2 + (both > 1))[node]
         count = np.where(one, ones[node], count - ones[node])
     return found
 
@@ -282,7 +285,8 @@ def _odds(told: np.ndarray, asked: np.ndarray, bits: int) -> np.ndarray:
 def _answers(after: np.ndarray, counts: np.ndarray, asked: np.ndarray, bits: int) -> np.ndarray:
     """``_odds`` of any keys, given straight away by sorted keys and their counts."""
     asked, place = np.unique(asked, return_inverse=True)
-    return _odds(_branches(after, counts, asked, bits), asked, bits)[place]
+    news = list(_new_nodes(asked, np.zeros(min(len(asked), 1), np.int64), bits))
+    return _odds(list(_branches(after, np.append(0, np.cumsum(counts)), asked, news, bits)), asked, news, bits)[place]
 
 
 @dataclass
@@ -374,9 +378,17 @@ class _Told:
     keys: np.ndarray
     answers: np.ndarray
 
-    def inputs(self, keys: list[np.ndarray]) -> tuple[list[np.ndarray], np.ndarray]:
+    def places(self, keys: list[np.ndarray], some: np.ndarray | slice = slice(None)) -> list[np.ndarray]:
+        """Where the answers to some keys of each context are; keys are looked up in order, which is faster."""
+        found = [np.zeros(len(k), np.int64) for k in keys]
+        for place, k in zip(found, keys, strict=True):
+            each, back = np.unique(k[some], return_inverse=True)
+            place[some] = np.searchsorted(self.keys, each)[back]
+        return found
+
+    def inputs(self, places: list[np.ndarray]) -> tuple[list[np.ndarray], np.ndarray]:
         """Predictions of each context, and whether the last was met at the node more than once."""
-        found = [self.answers[np.searchsorted(self.keys, k)] for k in keys]
+        found = [self.answers[place] for place in places]
         return [(x >> 1).astype(np.float32) / np.float32(_STEPS) for x in found], found[-1].astype(np.int64) & 1
 
 
@@ -387,7 +399,7 @@ def _signature_bits(tokens: Tokens, met: np.ndarray, model: Model, told: _Told)
     begins = np.flatnonzero(place % SEGMENT == 0)
     lengths = np.diff(np.r_[begins, len(cost)])
     order = np.argsort(-lengths, kind="stable")
-    before, keys = tokens.signatures_before() << SIGNATURE_BITS, _keys(tokens.contexts(), tokens.signatures)
+    before, places = tokens.signatures_before() << SIGNATURE_BITS, told.places(_keys(tokens.contexts(), tokens.signatures), met)
     for at in range(0, len(order), LANES):
         starts, sizes = begins[order[at : at + LANES]], lengths[order[at : at + LANES]]
         mixer = _Mixer(len(starts), SIGNATURE_BITS, CONTEXTS + 1)
@@ -399,7 +411,7 @@ def _signature_bits(tokens: Tokens, met: np.ndarray, model: Model, told: _Told)
                 continue
             i = starts[lanes] + t
             nodes, bits = _path(tokens.signatures[i], SIGNATURE_BITS)
-            after, sure = told.inputs([k[i] for k in keys])
+            after, sure = told.inputs([p[i] for p in places])
             at_node = lanes[:, None] * len(model.own) + nodes
             seen = local.take(at_node)
             inputs = [model.stretched.take(before[i][:, None] + nodes), *after, np.log(seen / (1 - seen))]
@@ -411,6 +423,7 @@ def _signature_bits(tokens: Tokens, met: np.ndarray, model: Model, told: _Told)
 def _letter_bits(tokens: Tokens, chosen: np.ndarray, told: _Told) -> np.ndarray:
     """Bits of the letters of some tokens and the space after each. Lanes read many words one after the other."""
     word, value, keys = _letters_of(tokens, chosen)
+    places = told.places(keys)
     cost = np.zeros(len(value))
     edges = np.linspace(0, len(value), LETTER_LANES + 1).astype(np.int64)
     starts, sizes = edges[:-1], np.diff(edges)
@@ -419,7 +432,7 @@ def _letter_bits(tokens: Tokens, chosen: np.ndarray, told: _Told) -> np.ndarray:
         lanes = np.flatnonzero(sizes > t)
         i = starts[lanes] + t
         nodes, bits = _path(value[i], 8)
-        inputs, sure = told.inputs([k[i] for k in keys])
+        inputs, sure = told.inputs([p[i] for p in places])
         cost[i] = mixer.step(lanes, inputs, sure, bits)
     return np.bincount(word, cost, minlength=len(chosen))
 
@@ -530,15 +543,32 @@ def _ask_after(parts: int):
     return run
 
 
+def _tell_keys(after: np.ndarray, before: np.ndarray, asked: list[bytes], bits: int) -> Iterator[bytes]:
+    """What is told to each piece about its keys, worked out for several pieces at once."""
+    runs, held = [], 0
+    for number, data in enumerate(asked, 1):
+        runs.append(_unpress_keys(data))
+        held += len(runs[-1])
+        if held < _KEYS_AT_ONCE and number < len(asked):
+            continue
+        some = [i for i, run in enumerate(runs) if len(run)]
+        begins = np.cumsum([0, *map(len, runs)])[some].astype(np.int64)
+        keys = np.concatenate(runs)
+        news = list(_new_nodes(keys, begins, bits))
+        ends = np.cumsum(_runs(news, begins), axis=1)
+        told = [np.split(x, e[:-1]) for x, e in zip(_branches(after, before, keys, news, bits), ends, strict=True)]
+        answers = dict(zip(some, zip(*told, strict=True), strict=False))
+        yield from (_press(np.concatenate(answers[i])) if i in answers else b"" for i in range(len(runs)))
+        runs, held = [], 0
+
+
 def _tell_after(asked: pa.Table, vocabulary: pa.Table) -> pa.Table:
     """To every piece what the contexts of the keys that it asks for have counted."""
     after = np.concatenate([np.empty(0, np.uint64), *map(_unpress_keys, vocabulary.column("after").to_pylist())])
     counts = np.concatenate([np.empty(0, np.int64), *(_unpress(x, np.int64) for x in vocabulary.column("after_counts").to_pylist())])
-    rows = []
-    for row in asked.to_pylist():
-        told = {n: _press(_branches(after, counts, _unpress_keys(row[n]), bits)) for n, bits in (("after", SIGNATURE_BITS), ("letters", 8))}
-        rows.append({"part": row["part"], "piece": row["piece"], **told})
-    return pa.Table.from_pylist(rows, _AFTER)
+    before = np.append(0, np.cumsum(counts))
+    told = [pa.array(_tell_keys(after, before, asked.column(n).to_pylist(), bits), pa.binary()) for n, bits in (("after", SIGNATURE_BITS), ("letters", 8))]
+    return pa.Table.from_arrays([asked.column("part"), asked.column("piece"), *told], schema=_AFTER)
 
 
 _SCORES_DDL = "doc_id long, n_tokens long, n_known long, base_score double, score double, n_bytes long"
@@ -549,10 +579,14 @@ _SCORES = pa.schema(
 
 def _read_odds(keys: np.ndarray, told: dict[int, bytes], parts: int, bits: int) -> np.ndarray:
     """Answers to the different keys of a piece, from what each part of the range has told."""
-    found = np.zeros((len(keys), bits), np.int16)
-    for part, a, b in part_cuts(keys, parts):
-        found[a:b] = _odds(_unpress(told[part], np.int64), keys[a:b], bits)
-    return found
+    if not len(keys):
+        return np.zeros((0, bits), np.int16)
+    cuts = list(part_cuts(keys, parts))
+    begins = np.array([a for _, a, _ in cuts], np.int64)
+    news = list(_new_nodes(keys, begins, bits))
+    edges = np.cumsum(_runs(news, begins), axis=0)
+    split = [np.split(_unpress(told[part], np.int64), edges[:-1, i]) for i, (part, _, _) in enumerate(cuts)]
+    return _odds([np.concatenate(level) for level in zip(*split, strict=True)], keys, news, bits)
 
 
 def _score(model, parts: int):
