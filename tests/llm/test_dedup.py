@@ -11,6 +11,7 @@ from vitaria.llm.exchange import pack, part_cuts, unpack
 from vitaria.llm.simhash import _SYNDROME, _blocks, _near_anchors, fingerprint, keep_one, near_links, simhash_groups
 from vitaria.llm.substrings import mark_repeats
 from vitaria.llm.words import hash_spans, hash_windows, spans
+from vitaria.operators.joins import BroadcastBound
 
 
 def brute_fingerprint(text):
@@ -169,3 +170,14 @@ def test_packed_numbers_and_cuts():
     assert (unpack(pack(numbers), np.uint64) == numbers).all()
     cuts = list(part_cuts(numbers, 7))
     assert cuts[0][1] == 0 and cuts[-1][2] == 1000 and all(a[2] == b[1] for a, b in zip(cuts, cuts[1:], strict=False))
+
+
+@pytest.mark.parametrize(("bound", "hot_rows"), [(BroadcastBound(), 1_000_000), (BroadcastBound(0, 0), 1_000_000), (BroadcastBound(0, 0), 40)])
+def test_components_of_hubs(spark, bound, hot_rows):
+    """Hubs by broadcast, by a shuffle, and dealt to several tasks come to the same."""
+    hubs = [(i, 1000 * h) for h in (1, 2, 3) for i in range(1000 * h + 1, 1000 * h + 300)]
+    links = [*hubs, (1299, 2299), (5000, 5001), (5002, 5001), (7, 7), (None, 3)]
+    found = components(spark.createDataFrame(links, "a long, b long"), bound, hot_rows).collect()
+    expected = {n: 1000 for n in (*range(1000, 1300), *range(2000, 2300))}
+    expected |= {n: 3000 for n in range(3000, 3300)} | dict.fromkeys((5000, 5001, 5002), 5000)
+    assert sorted((r.node, r.component) for r in found) == sorted(expected.items())
