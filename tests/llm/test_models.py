@@ -116,6 +116,20 @@ def test_quality_edges(docs, empty, spark):
     assert by_id[200] == by_id[201] == by_id[202] and by_id[3] == by_id[100]
 
 
+def test_a_labelled_id_repeated_very_often_is_learned_once(spark):
+    """What comes to the driver is bounded by the sample of labels, not by the rows that have them."""
+    docs = spark.createDataFrame([(i if i < 20 else 3, f"some text {i}") for i in range(2500)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(20)], "doc_id long, quality int")
+    sizes = []
+
+    def fit(x, y):
+        sizes.append(len(y))
+        return fit_network(x, y)
+
+    assert score_quality(docs, labels, sample=12, fit=fit).count() == 2500
+    assert sizes == [12]
+
+
 def test_shapes_and_spellings():
     spelled, shaped = Indexing().ids(b"The the THE ** ** x1,")
     assert spelled[0] == spelled[1] == spelled[2] and spelled[3] == spelled[4]

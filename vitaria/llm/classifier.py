@@ -233,7 +233,8 @@ def score_quality(
     """``doc_id, score`` for every row: how likely ``label`` is 1, by the text alone.
 
     ``labels`` has ``doc_id`` and ``label``. Vectors are learned from all texts. The network learns from at
-    most ``sample`` labelled rows, those of the least id hash; this bounds what the driver holds.
+    most ``sample`` labels, those of the least id hash, and of rows that share an id from the one of the
+    least text hash; this bounds what the driver holds.
 
     Null and empty texts have no words and get the score of that. Null labels are left out; without labels, or
     with one label only, every score is the share of 1 among them, 0.5 if there are none. Null ids
@@ -254,7 +255,9 @@ def score_quality(
             columns = [pa.array([k[i] for k in keys], kind) for i, kind in enumerate((pa.float64(), pa.int64()))]
             yield pa.RecordBatch.from_arrays([*columns, pa.array([f.tobytes() for f in found], pa.binary())], ["label", "mark", "features"])
 
-    learned = rows.join(F.broadcast(known), "doc_id").select("label", F.xxhash64("doc_id", "text").alias("mark"), "text")
+    once = rows.join(F.broadcast(known.select("doc_id").distinct()), "doc_id").groupBy("doc_id")
+    learned = once.agg(F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text")).join(F.broadcast(known), "doc_id")
+    learned = learned.select("label", F.xxhash64("doc_id", "text").alias("mark"), "text")
     learned = learned.mapInArrow(describe, "label double, mark long, features binary").collect()
     found = sorted(learned, key=lambda r: (r["mark"], r["label"]))
     y = np.array([r["label"] for r in found])
