@@ -1,3 +1,4 @@
+import random
 from collections import defaultdict
 
 import numpy as np
@@ -5,10 +6,12 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from tests.llm.conftest import SCHEMA, awkward_rows, words
+from tests.llm.conftest import SCHEMA, awkward_rows, sentence, words
 from vitaria.llm.components import components
 from vitaria.llm.exchange import pack, part_cuts, unpack
-from vitaria.llm.simhash import _SYNDROME, _blocks, _near_anchors, fingerprint, keep_one, near_links, simhash_groups
+from vitaria.llm.simhash import (
+    _SYNDROME, _blocks, _near_anchors, fingerprint, keep_one, most_bits, near_copy_groups, near_links, shingle_set, simhash_groups, wide_print,
+)
 from vitaria.llm.substrings import mark_repeats
 from vitaria.llm.words import hash_spans, hash_windows, spans
 from vitaria.operators.joins import BroadcastBound
@@ -96,16 +99,83 @@ def test_groups_equal_brute_force(docs):
     assert found == expected
 
 
+def brute_shingles(text, size=5):
+    w = [bytes(b + 32 if 65 <= b <= 90 else b for b in x) for x in words(text)]
+    return {tuple(w[i : i + size]) for i in range(max(1, len(w) - size + 1))} if w else set()
+
+
+def near_classes(texts, similarity=0.8):
+    """Label of each text: texts are linked at this Jaccard similarity of their shingles, equal sets always."""
+    sets = [brute_shingles(t) for t in texts]
+    alike = lambda x, y: x == y or len(x & y) >= similarity * len(x | y)
+    return classes([(i, j) for i in range(len(sets)) for j in range(i) if alike(sets[i], sets[j])], range(len(sets)))
+
+
+def least_ids(rows, label):
+    least = {}
+    for i, (doc_id, *_) in enumerate(rows):
+        if doc_id is not None:
+            least[label[i]] = min(least.get(label[i], doc_id), doc_id)
+    return sorted(((r[0], least.get(label[i])) for i, r in enumerate(rows)), key=str)
+
+
+def edited(rng, text, share):
+    """Some words replaced one by one."""
+    w = text.split(" ")
+    for i in rng.sample(range(len(w)), int(share * len(w))):
+        w[i] = f"new{rng.randrange(10**9)}"
+    return " ".join(w)
+
+
+def test_near_copies_equal_brute_force(docs):
+    rows = awkward_rows()
+    found = sorted(map(tuple, near_copy_groups(docs).collect()), key=str)
+    assert found == least_ids(rows, near_classes([t for _, t, *_ in rows]))
+
+
+@pytest.mark.parametrize("bound,hot_rows", [(BroadcastBound(), 10**6), (BroadcastBound(0, 0), 20)])
+def test_a_large_group_of_near_copies_hangs_together(spark, bound, hot_rows):
+    """Joined by broadcast, and by a shuffle in which the text that all link to is a hot key."""
+    rng = random.Random(4)
+    base = sentence(rng, 400)
+    rows = [(i, edited(rng, base, 0.01)) for i in range(150)] + [(200 + i, sentence(rng, 200)) for i in range(50)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    found = dict(map(tuple, near_copy_groups(frame, bound=bound, hot_rows=hot_rows).collect()))
+    assert found == {i: 0 if i < 150 else i for i, _ in rows}
+
+
+def test_near_copies_are_found_and_no_others(spark):
+    rng = random.Random(8)
+    rows, like, unlike = [], [], []
+    for i in range(0, 800, 2):
+        text = sentence(rng, 300)
+        other = edited(rng, text, rng.choice([0.01, 0.018, 0.02, 0.03]))
+        x, y = brute_shingles(text), brute_shingles(other)
+        (like if len(x & y) >= 0.8 * len(x | y) else unlike).append(i)
+        rows += [(i, text), (i + 1, other)]
+    found = dict(map(tuple, near_copy_groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()))
+    assert sum(found[i + 1] == i for i in like) >= 0.9 * len(like) and len(like) > 100
+    assert all(found[i + 1] == i + 1 for i in unlike) and len(unlike) > 50
+
+
+def test_wide_fingerprints():
+    assert len(shingle_set(None, 5)) == len(shingle_set(" \n", 5)) == 0 and not wide_print(shingle_set("", 5)).any()
+    assert len(shingle_set("One two", 5)) == 1 and (shingle_set("one  TWO", 5) == shingle_set("One two", 5)).all()
+    text = sentence(random.Random(1), 200_000)
+    assert len(shingle_set(text, 5)) == len(brute_shingles(text))
+    assert most_bits(1.0) == 0 and most_bits(0.9) < most_bits(0.8) < 64
+
+
 def test_one_of_each_group_stays(docs, empty, spark):
     rows = awkward_rows()
-    expected = {r.component_id for r in simhash_groups(docs).collect()}
+    expected = {i for _, i in least_ids(rows, near_classes([t for _, t, *_ in rows]))}
     kept = keep_one(docs)
     assert kept.columns == docs.columns and {r.doc_id for r in kept.collect()} == expected
     assert kept.count() == len(expected) and len(rows) > len(expected)
-    assert keep_one(empty).count() == 0 and simhash_groups(empty).count() == 0
+    assert keep_one(empty).count() == 0 and simhash_groups(empty).count() == 0 and near_copy_groups(empty).count() == 0
     nulls = spark.createDataFrame([(None, "x", None, None, None)] * 3, SCHEMA)
     assert keep_one(nulls).count() == 1
-    clash = docs.withColumns({"print": F.lit(1), "component_id": F.lit(2), "node": F.lit(3)})
+    clash = docs.withColumns({n: F.lit(1) for n in ("print", "component_id", "node", "key", "p0", "p1", "hash", "least_id")})
     assert set(keep_one(clash).columns) == set(clash.columns)
 
 

@@ -7,9 +7,9 @@ from tokenizers import Tokenizer
 
 import corpus_pipeline
 from tests.llm.conftest import SCHEMA, awkward_rows, words
-from tests.llm.test_dedup import brute_fingerprint, classes
+from tests.llm.test_dedup import near_classes
 from vitaria.llm.queries import QUERIES, mixing_sql, quality_sql
-from vitaria.llm.simhash import simhash_groups
+from vitaria.llm.simhash import near_copy_groups
 
 
 def stages(spark, docs, folder):
@@ -28,7 +28,7 @@ def test_stages_on_awkward_rows(spark, docs, tmp_path):
         assert frame.columns == docs.columns and frame.dtypes == docs.dtypes
     assert all(len(words(r.text)) >= 30 for r in quality.collect())
     ids = Counter(r.doc_id for r in near.collect())
-    assert set(ids) == {r.component_id for r in simhash_groups(quality).collect()} and set(ids.values()) == {1}
+    assert set(ids) == {r.component_id for r in near_copy_groups(quality).collect()} and set(ids.values()) == {1}
     assert {r.doc_id for r in repeats.collect()} <= set(ids)
     seen = set()
     for r in sorted(repeats.collect(), key=lambda r: (r.doc_id is None, r.doc_id)):
@@ -91,10 +91,8 @@ def test_run_equals_brute_force(spark, tmp_path):
     kept = in_table([(i, t, s) for i, t, _, s, _ in given]).execute(
         f"select doc_id, kept_text, source from ({quality_sql('docs')}) where kept"
     ).fetchall()
-    prints = [brute_fingerprint(text) for _, text, _ in kept]
-    near = [(i, j) for i in range(len(kept)) for j in range(i) if (prints[i] ^ prints[j]).bit_count() <= 4]
     groups = defaultdict(list)
-    for i, label in classes(near, range(len(kept))).items():
+    for i, label in near_classes([text for _, text, _ in kept]).items():
         groups[label].append(kept[i])
     one = [min(own, key=lambda r: (r[0] is None, r[0] or 0)) for own in groups.values()]
     left = without_repeats(one)
