@@ -1,8 +1,10 @@
 import hashlib
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
+from vitaria.llm import html_text
 from vitaria.llm.chat import CONTROLS, escape, format_chats, read_turns, unescape
 from vitaria.llm.html_text import extract_main_text, main_text
 from vitaria.llm.templates import Choose, TemplateError, Write, compile_template, fold, parse, FILTERS
@@ -114,3 +116,35 @@ def test_text_in_two_parts_without_article_is_whole(first, second):
     assert main_text(f"<body><div class=menu>One</div>{page}<footer>c</footer></body>") == "\n".join(["Title", *lines])
     page = "".join(f"<p>{x}</p>" for x in lines[:first]) + part("text", lines[first:])
     assert main_text(f"<body>{page}<footer>c</footer></body>") == "\n".join(lines)
+
+
+def without_names(html):
+    """A page whose elements tell nothing by tag or name."""
+    html = re.sub(r"\s(class|id|role|aria-label)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)", "", html)
+    return re.sub(r"<(/?)(article|main|nav|footer|aside|header|section)\b", r"<\1div", html)
+
+
+def found_and_beside(pages):
+    """Share of the article's text that is found without names, and share of what is found that is none of it."""
+    kept = whole = other = out = 0
+    for html in pages:
+        own, got = main_text(html).split("\n"), main_text(without_names(html)).split("\n")
+        kept += sum(len(x) for x in own if x in set(got))
+        other += sum(len(x) for x in got if x not in set(own))
+        whole, out = whole + sum(map(len, own)), out + sum(map(len, got))
+    return kept / whole, other / out
+
+
+def test_tag_paths_tell_the_article_where_no_name_does(spark, monkeypatch):
+    pages = [r.html for r in spark.read.parquet("/root/testdata/sf0.01/pages.parquet").select("html").collect() if r.html]
+    kept, other = found_and_beside(pages)
+    assert kept > 0.99 and other < 0.04
+    monkeypatch.setattr(html_text, "_content", lambda nodes, width, level: nodes)
+    assert found_and_beside(pages)[1] > 1.2 * other
+
+
+@pytest.mark.parametrize("part", ["<div>", "<div>x", "<b>x", "<ul><li>x", "<p><b>x"])
+def test_time_follows_the_length_of_deep_markup(part):
+    """Sixty thousand open elements, which took minutes and gigabytes while paths were held as text."""
+    text = main_text("<tr>" + part * 60_000 + "deep")
+    assert text.endswith("deep") and text.count("x") == 60_000 * part.count("x")

@@ -11,7 +11,8 @@ without the parts that their tags or names mark as something else.
 from __future__ import annotations
 
 import re
-from collections import Counter
+from bisect import bisect_right
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from html import unescape
@@ -71,11 +72,16 @@ _ARTICLE = frozenset("article post entry story".split())
 @dataclass
 class _Element:
     tag: str
-    path: str
+    path: int  # number of its tag path from the root
     beside: bool
     parent: _Element | None
     number: int
+    in_article: bool = False
     last: int = 0  # number of the last element inside
+    section: _Element | None = None  # nearest that holds a part of a text, itself included
+
+    def __post_init__(self) -> None:
+        self.section = self if self.tag in _SECTIONS else self.parent.section
 
 
 @dataclass
@@ -94,7 +100,7 @@ class _Page:
 
 
 def _is_beside(tag: str, attributes: str, parent: _Element | None) -> bool:
-    inside = parent is not None and "/article" in parent.path
+    inside = parent is not None and parent.in_article
     if tag in _OUTSIDE or tag == "header" and not inside:
         return True
     if tag in ("html", "body", "main", "article"):
@@ -110,15 +116,29 @@ def _is_beside(tag: str, attributes: str, parent: _Element | None) -> bool:
 
 
 def _read(html: str) -> _Page:
-    """Text nodes with their elements, by a forgiving reading of the tags."""
+    """Text nodes with their elements, by a forgiving reading of the tags.
+
+    The places of each tag on the stack are known and tag paths are numbered, so the time follows the length of
+    the page, however deep its elements lie.
+    """
     page, block = _Page(), 0
-    root = _Element("", "", False, None, 0)
+    root = _Element("", 0, False, None, 0)
     page.elements.append(root)
-    stack = [root]
+    stack, places, paths = [root], defaultdict(list), {}
 
     def close(to: int) -> None:
         while len(stack) > to:
-            stack.pop().last = len(page.elements) - 1
+            ended = stack.pop()
+            ended.last = len(page.elements) - 1
+            if places[ended.tag]:
+                places[ended.tag].pop()
+
+    def innermost(*tags: str) -> int:
+        return max((places[t][-1] for t in tags if places[t]), default=0)
+
+    def outermost(after: int, tags: tuple[str, ...]) -> int:
+        found = (places[t][at] for t in tags if (at := bisect_right(places[t], after)) < len(places[t]))
+        return min(found, default=0)
 
     for piece in _PIECE.finditer(html):
         if (text := piece["text"]) is not None:
@@ -130,22 +150,24 @@ def _read(html: str) -> _Page:
         if tag in _BLOCKS:
             block += 1
         if piece["end"]:
-            if (at := next((i for i in range(len(stack) - 1, 0, -1) if stack[i].tag == tag), 0)) > 0:
+            if (at := innermost(tag)) > 0:
                 close(at)
             continue
         if tag in _VOID:
             continue
-        if tag in _P_ENDERS and (at := next((i for i in range(len(stack) - 1, 0, -1) if stack[i].tag == "p"), 0)) > 0:
+        if tag in _P_ENDERS and (at := innermost("p")) > 0:
             close(at)
         if tag in _CLOSES:
             ended, bounds = _CLOSES[tag]
-            inner = next((i for i in range(len(stack) - 1, 0, -1) if stack[i].tag in bounds), 0)
-            if (at := next((i for i in range(inner + 1, len(stack)) if stack[i].tag in ended), 0)) > 0:
+            if (at := outermost(innermost(*bounds), ended)) > 0:
                 close(at)
         parent = stack[-1]
-        element = _Element(tag, f"{parent.path}/{tag}", parent.beside or _is_beside(tag, attributes, parent), parent, len(page.elements))
+        path = paths.setdefault((parent.path, tag), len(paths) + 1)
+        beside = parent.beside or _is_beside(tag, attributes, parent)
+        element = _Element(tag, path, beside, parent, len(page.elements), parent.in_article or tag == "article")
         page.elements.append(element)
         if not attributes.rstrip().endswith("/") or tag in _BLOCKS:
+            places[tag].append(len(stack))
             stack.append(element)
         else:
             element.last = element.number
@@ -180,13 +202,12 @@ def _content(nodes: list[_Node], width: float, level: float) -> list[_Node]:
 
 def _holder(elements: list[_Element], content: list[_Node], share: float) -> _Element:
     """Innermost element that holds ``share`` of the content; the first ``article`` or ``main`` around it if there is one."""
-    total, inside = sum(n.weight for n in content), Counter()
+    total, inside = sum(n.weight for n in content), [0] * len(elements)
     for node in content:
-        element = node.element
-        while element:
-            inside[element.number] += node.weight
-            element = element.parent
-    holder = max((elements[i] for i, w in inside.items() if w >= share * total), key=lambda e: e.number)
+        inside[node.element.number] += node.weight
+    for element in reversed(elements[1:]):  # those inside come after
+        inside[element.parent.number] += inside[element.number]
+    holder = elements[max(i for i, w in enumerate(inside) if w >= share * total)]
     around = holder
     while around:
         if around.tag in ("article", "main"):
@@ -203,11 +224,9 @@ def _chosen(elements: list[_Element], content: list[_Node], holder: _Element) ->
     chosen, blocks = np.zeros(len(elements), bool), set()
     chosen[holder.number : holder.last + 1] = True
     for node in content:
-        section = node.element
-        if chosen[section.number]:
+        section = node.element.section
+        if chosen[node.element.number]:
             continue
-        while section.tag not in _SECTIONS:
-            section = section.parent
         if section.number <= holder.number <= section.last:
             blocks.add(node.block)
         else:
