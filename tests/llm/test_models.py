@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tests.llm.conftest import awkward_rows
 from vitaria.llm import lm
-from vitaria.llm.classifier import Indexing, fit_network, score_quality
+from vitaria.llm.classifier import Indexing, Network, fit_network, score_quality, word_vectors
 from vitaria.llm.lm import score_texts
 
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
@@ -136,6 +136,46 @@ def test_shapes_and_spellings():
     assert len(set(shaped.tolist())) >= 4 and shaped[3] != shaped[4] and shaped[1] != shaped[2]
 
 
+def brute_vectors(texts, indexing):
+    """Sums of the index vectors of all words within reach, word by word."""
+    places, signs = indexing.index_vectors()
+    sums = np.zeros((indexing.words, indexing.size))
+    for text in texts:
+        kinds = [ids.tolist() for ids in indexing.ids((text or "").encode())]
+        for i in range(len(kinds[0])):
+            for j in range(max(0, i - indexing.reach), min(len(kinds[0]), i + indexing.reach + 1)):
+                for of, around in ((a, b) for a in kinds for b in kinds if i != j):
+                    for place, sign in zip(places[around[j]], signs[around[j]], strict=True):
+                        sums[of[i], place] += sign
+    return sums / np.maximum(np.linalg.norm(sums, axis=1, keepdims=True), 1e-9)
+
+
+def test_quality_scores_equal_brute_force(spark):
+    """Vectors, pooling and scores word by word, with a network that is given."""
+    indexing = Indexing(spellings=64, size=8, entries=2)
+    rows = [(i, t) for i, (_, t, *_) in enumerate(awkward_rows(5, 12)) if t is None or len(t) < 3000]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    vectors = brute_vectors([t for _, t in rows], indexing)
+    assert np.allclose(word_vectors(docs, indexing), vectors, atol=1e-6)
+    rng = np.random.default_rng(3)
+    width = 2 * (indexing.size + 1) + 1
+    network = Network(np.zeros(width), np.ones(width), rng.normal(size=(width, 5)), rng.normal(size=5), rng.normal(size=5), 0.1, 1.5)
+    labels = spark.createDataFrame([(i, i % 2) for i, _ in rows], "doc_id long, quality int")
+    found = {r.doc_id: r.score for r in score_quality(docs, labels, indexing=indexing, fit=lambda x, y: network).collect()}
+    assert len(found) == len(rows)
+    for i, text in rows:
+        x = []
+        kinds = indexing.ids((text or "").encode())
+        for ids in kinds:
+            own = vectors[ids] if len(ids) else np.zeros((1, indexing.size))
+            mean = own.mean(axis=0)
+            x += [*mean, np.mean([np.sum((v - mean) ** 2) for v in own])]
+        x.append(math.log1p(len(kinds[0])))
+        inner = [max(0.0, sum(a * b for a, b in zip(x, column, strict=True)) + bias) for column, bias in zip(network.hidden.T, network.hidden_bias, strict=True)]
+        logit = sum(a * b for a, b in zip(inner, network.out, strict=True)) + network.out_bias
+        assert found[i] == pytest.approx(1 / (1 + math.exp(-logit / network.temperature)), abs=1e-4)
+
+
 def test_last_short_words():
     found = lm.Tokens([b"words der lang", b"nothing here", b"the a"])
     short = found.last_short()
