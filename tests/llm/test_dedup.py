@@ -158,6 +158,17 @@ def test_near_copies_are_found_and_no_others(spark):
     assert all(found[i + 1] == i + 1 for i in unlike) and len(unlike) > 50
 
 
+def test_no_link_is_lost_behind_nearer_texts(spark):
+    """Families in which a text's nearest and least candidates are often too unlike, and another is not."""
+    rng, rows = random.Random(21), []
+    for _ in range(8):
+        base = sentence(rng, 300)
+        rows += [(len(rows) + i, edited(rng, base, rng.choice([0.01, 0.013, 0.016, 0.02, 0.023]))) for i in range(20)]
+    label = near_classes([t for _, t in rows])
+    found = dict(map(tuple, near_copy_groups(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()))
+    assert found == label and 8 < len(set(label.values())) < len(rows) - 8
+
+
 def test_wide_fingerprints():
     assert len(shingle_set(None, 5)) == len(shingle_set(" \n", 5)) == 0 and not wide_print(shingle_set("", 5)).any()
     assert len(shingle_set("One two", 5)) == 1 and (shingle_set("one  TWO", 5) == shingle_set("One two", 5)).all()

@@ -36,6 +36,7 @@ CODE_BITS = 15
 #: Homes of one anchor compared in one task; more are dealt to several.
 HOMES_PER_PART = 2048
 _COPIES_AT_ONCE = 1024
+_ROWS_AT_ONCE = 1 << 18
 #: Blocks of a wide fingerprint, in 64-bit numbers of four each. Of two texts of the
 #: least similarity 0.8 some block differs by at most a bit with probability 0.93.
 WIDE_BLOCKS = 8
@@ -248,95 +249,147 @@ def most_bits(similarity: float) -> int:
 
 
 def _set_of(text, shingle: int):
-    """Column ``key, p0, p1``: name of a text's set of shingles, and its wide fingerprint."""
+    """Column ``key, p0, p1, n``: name of a text's set of shingles, its wide fingerprint, and its size."""
 
-    @pandas_udf("key string, p0 long, p1 long")
+    @pandas_udf("key string, p0 long, p1 long, n long")
     def run(texts: pd.Series) -> pd.DataFrame:
         sets = [shingle_set(t, shingle) for t in texts]
         prints = np.array([wide_print(x) for x in sets], np.int64).reshape(-1, len(_SEEDS))
         keys = [xxhash.xxh3_128_hexdigest(x.tobytes()) for x in sets]
-        return pd.DataFrame({"key": keys, "p0": prints[:, 0], "p1": prints[:, 1]})
+        return pd.DataFrame({"key": keys, "p0": prints[:, 0], "p1": prints[:, 1], "n": [len(x) for x in sets]})
 
     return run(text)
 
 
-def _wide_spread(homes_only: bool):
-    """Rows ``anchor, home, p0, p1`` of every wide fingerprint."""
+def _wide_spread(names: list[str], homes_only: bool):
+    """Rows ``anchor, home`` and the named columns of every wide fingerprint."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            prints = batch[["p0", "p1"]].to_numpy(np.int64)
+            prints = batch[names].to_numpy(np.int64)
             for number in range(WIDE_BLOCKS):
                 word, first = divmod(number * WIDE_BITS, BITS)
                 values = (prints[:, word].astype(np.uint64) >> np.uint64(first)) & np.uint64((1 << WIDE_BITS) - 1)
                 for rows, anchors, home in _near_anchors(values, WIDE_BITS):
                     if home or not homes_only:
                         cell = anchors.astype(np.int64) * WIDE_BLOCKS + number
-                        yield pd.DataFrame({"anchor": cell, "home": home, "p0": prints[rows, 0], "p1": prints[rows, 1]})
+                        yield pd.DataFrame({"anchor": cell, "home": home} | {n: prints[rows, i] for i, n in enumerate(names)})
 
     return run
 
 
+def _differing(homes: np.ndarray, copies: np.ndarray, at_once: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Some homes and some copies at a time, and the bits by which each of these differ."""
+    for at in range(0, len(homes), HOMES_PER_PART):
+        own = homes[at : at + HOMES_PER_PART]
+        for start in range(0, len(copies), at_once):
+            others = copies[start : start + at_once]
+            differing = (own[:, None, word] ^ others[None, :, word] for word in range(len(_SEEDS)))
+            # of signed numbers it counts those of the amount
+            yield own, others, sum(np.bitwise_count(x.view(np.uint64)) for x in differing)
+
+
 def _nearest(limit: int):
-    """Of each copy the nearest home and the least of those within ``limit`` bits; rows come as for :func:`_compare`."""
+    """Of each copy the nearest home and the least of those within ``limit`` bits."""
 
     def found(homes: np.ndarray, copies: np.ndarray) -> Iterator[np.ndarray]:
         homes = homes[np.lexsort((homes[:, 1], homes[:, 0]))]
-        for at in range(0, len(homes), HOMES_PER_PART):
-            own = homes[at : at + HOMES_PER_PART]
-            for start in range(0, len(copies), _COPIES_AT_ONCE):
-                others = copies[start : start + _COPIES_AT_ONCE]
-                differing = (own[:, None, word] ^ others[None, :, word] for word in range(len(_SEEDS)))
-                bits = sum(np.bitwise_count(x.view(np.uint64)) for x in differing)  # of signed numbers it counts those of the amount
-                near = (bits <= limit) & (bits > 0)
-                met = np.flatnonzero(near.any(axis=0))
-                if len(met):
-                    bits = np.where(near[:, met], bits[:, met], 255)
-                    nearest = bits.argmin(axis=0)
-                    least = own[near[:, met].argmax(axis=0)]
-                    yield np.column_stack([others[met], bits[nearest, np.arange(len(met))], own[nearest], least])
+        for own, others, bits in _differing(homes, copies, _COPIES_AT_ONCE):
+            near = (bits <= limit) & (bits > 0)
+            met = np.flatnonzero(near.any(axis=0))
+            if len(met):
+                bits = np.where(near[:, met], bits[:, met], 255)
+                nearest = bits.argmin(axis=0)
+                least = own[near[:, met].argmax(axis=0)]
+                yield np.column_stack([others[met], bits[nearest, np.arange(len(met))], own[nearest], least])
+
+    return found
+
+
+def _apart(limit: int):
+    """All pairs of a home and a copy within ``limit`` bits that are of different groups (the third column), the lesser group first."""
+
+    def found(homes: np.ndarray, copies: np.ndarray) -> Iterator[np.ndarray]:
+        for own, others, bits in _differing(homes, copies, _COPIES_AT_ONCE // 4):
+            a, b = np.nonzero((bits <= limit) & (own[:, None, 2] != others[None, :, 2]))
+            if len(a):
+                swap = (own[a, 2] > others[b, 2])[:, None]
+                yield np.column_stack([np.where(swap, others[b], own[a]), np.where(swap, own[a], others[b])])
+
+    return found
+
+
+def _meet(prints: DataFrame, found, columns: list[str]) -> DataFrame:
+    """Rows that ``found`` gives for the homes and the copies of each anchor, by the columns of ``prints``.
+
+    An anchor with many homes is dealt to several parts by its homes, each with all copies.
+    """
+    names = prints.columns
+    ddl = "anchor long, home boolean, " + ", ".join(f"{n} long" for n in names)
+    homes = prints.mapInPandas(_wide_spread(names, True), ddl)
+    wide = homes.groupBy("anchor").count().where(F.col("count") > HOMES_PER_PART)
+    wide = wide.select("anchor", F.ceil(F.col("count") / HOMES_PER_PART).cast("int").alias("parts"))
+    spread = prints.mapInPandas(_wide_spread(names, False), ddl)
+    # 4,096 anchors a block, so no more than 32,768 rows
+    dealt = spread.join(F.broadcast(wide), "anchor", "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
+    own = F.array(F.pmod(F.xxhash64(*names), F.col("parts")).cast("int"))
+    every = F.sequence(F.lit(0), F.col("parts") - 1)
+    dealt = dealt.select("anchor", F.explode(F.when(F.col("home"), own).otherwise(every)).alias("part"), "home", *names)
+    dealt = dealt.repartition("anchor", "part").sortWithinPartitions("anchor", "part", F.desc("home"))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        current, homes = None, np.empty((0, 2), np.int64)
+        current, homes = None, np.empty((0, len(names)), np.int64)
         for batch in batches:
             keys, home = batch[["anchor", "part"]].to_numpy(), batch["home"].to_numpy()
-            prints = batch[["p0", "p1"]].to_numpy(np.int64)
+            values = batch[names].to_numpy(np.int64)
             cuts = [0, *(np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1), len(keys)]
-            rows = []
+            rows, held = [], 0
             for a, b in zip(cuts[:-1], cuts[1:], strict=True):
                 if a == b:
                     continue
                 if current != (key := tuple(keys[a])):
-                    current, homes = key, np.empty((0, 2), np.int64)
+                    current, homes = key, np.empty((0, len(names)), np.int64)
                 here = home[a:b]
                 if here.any():
-                    homes = np.concatenate([homes, prints[a:b][here]])
-                if len(homes) and not here.all():
-                    rows.extend(found(homes, prints[a:b][~here]))
+                    homes = np.concatenate([homes, values[a:b][here]])
+                for some in found(homes, values[a:b][~here]) if len(homes) and not here.all() else ():
+                    rows.append(some)
+                    held += len(some)
+                    if held > _ROWS_AT_ONCE:
+                        yield pd.DataFrame(np.concatenate(rows), columns=columns)
+                        rows, held = [], 0
             if rows:
-                yield pd.DataFrame(np.concatenate(rows), columns=["p0", "p1", "bits", "n0", "n1", "l0", "l1"])
+                yield pd.DataFrame(np.concatenate(rows), columns=columns)
 
-    return run
+    return dealt.mapInPandas(run, ", ".join(f"{c} long" for c in columns))
 
 
 def _candidates(prints: DataFrame, limit: int) -> DataFrame:
     """Rows ``p0, p1, q0, q1``: each wide fingerprint with its nearest other and the least other within ``limit`` bits."""
-    homes = prints.mapInPandas(_wide_spread(True), "anchor long, home boolean, p0 long, p1 long")
-    wide = homes.groupBy("anchor").count().where(F.col("count") > HOMES_PER_PART)
-    wide = wide.select("anchor", F.ceil(F.col("count") / HOMES_PER_PART).cast("int").alias("parts"))
-    spread = prints.mapInPandas(_wide_spread(False), "anchor long, home boolean, p0 long, p1 long")
-    # 4,096 anchors a block, so no more than 32,768 rows
-    dealt = spread.join(F.broadcast(wide), "anchor", "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
-    own = F.array(F.pmod(F.xxhash64("p0", "p1"), F.col("parts")).cast("int"))
-    every = F.sequence(F.lit(0), F.col("parts") - 1)
-    dealt = dealt.select("anchor", F.explode(F.when(F.col("home"), own).otherwise(every)).alias("part"), "home", "p0", "p1")
-    dealt = dealt.repartition("anchor", "part").sortWithinPartitions("anchor", "part", F.desc("home"))
-    met = dealt.mapInPandas(_nearest(limit), "p0 long, p1 long, bits long, n0 long, n1 long, l0 long, l1 long")
+    met = _meet(prints, _nearest(limit), ["p0", "p1", "bits", "n0", "n1", "l0", "l1"])
     best = met.groupBy("p0", "p1").agg(F.min(F.struct("bits", "n0", "n1")).alias("n"), F.min(F.struct("l0", "l1")).alias("l"))
     both = F.array(F.struct(F.col("n.n0").alias("q0"), F.col("n.n1").alias("q1")), F.struct(F.col("l.l0").alias("q0"), F.col("l.l1").alias("q1")))
     return best.select("p0", "p1", F.explode(both).alias("q")).select("p0", "p1", "q.*")
 
 
+def _untried(labelled: DataFrame, near: DataFrame, tried: DataFrame, limit: int, similarity: float) -> DataFrame:
+    """Pairs ``low, high`` and their components: all candidates not tried yet whose texts are of different components.
+
+    A wide fingerprint without a candidate and with one set of shingles has none. Sets
+    whose sizes alone keep them below ``similarity`` are left out.
+    """
+    several = labelled.groupBy("p0", "p1").count().where("count > 1").select("p0", "p1")
+    touched = near.select("p0", "p1").union(near.select("q0", "q1")).union(several).distinct()
+    some = labelled.join(touched, ["p0", "p1"], "left_semi").withColumn("c", F.xxhash64("component"))
+    some = keep_table(some.select("p0", "p1", "c", "key", "component", "n"), "touched")
+    pairs = _meet(some.select("p0", "p1", "c").distinct(), _apart(limit), ["p0", "p1", "c", "q0", "q1", "d"]).distinct()
+    pairs = pairs.join(some.withColumnsRenamed({"key": "a", "component": "of_a", "n": "n_a"}), ["p0", "p1", "c"])
+    pairs = pairs.join(some.toDF("q0", "q1", "d", "b", "of_b", "n_b"), ["q0", "q1", "d"])
+    pairs = pairs.where(F.least("n_a", "n_b") >= (similarity - 1e-9) * F.greatest("n_a", "n_b"))
+    pairs = pairs.select(F.least("a", "b").alias("low"), F.greatest("a", "b").alias("high"), "of_a", "of_b")
+    return pairs.dropDuplicates(["low", "high"]).join(tried, ["low", "high"], "left_anti")
+
+
 def _alike(shingle: int):
     """Jaccard similarity of the shingles of two texts."""
 
@@ -369,8 +422,9 @@ def near_copy_groups(
     Two texts are linked if the Jaccard similarity of their sets of word shingles (A-Z
     lower-cased) is at least ``similarity``, found by comparing their words. Candidates are, for each distinct wide
     fingerprint, its nearest and the least within :func:`most_bits`, among those that share
-    an anchor; so no group is ever written out in pairs. A link is missed if no block of the two comes within a bit
-    (7 % of pairs of similarity 0.8, 0.4 % at 0.9), or if both candidates of a text are less alike than another is.
+    an anchor; then all others within that many bits whose texts these have not joined. So a group that hangs
+    together is not written out in pairs, and no candidate goes untried that could join two groups. A link is missed only
+    if no block of the two comes within a bit (7 % of pairs of similarity 0.8, 0.4 % at 0.9) or they differ by more bits.
 
     Texts of equal shingles are one group, null, empty and blank texts too; a text of fewer words
     than a shingle is one shingle. Rows with a null id have a group, but
@@ -382,23 +436,35 @@ def near_copy_groups(
     texts = texts.withColumn("hash", F.md5("text"))
     rows = texts.select("doc_id", "hash", _set_of(F.col("text"), shingle).alias("set")).select("doc_id", "hash", "set.*")
     rows = keep_table(rows, "sets")
-    sets = rows.groupBy("key").agg(F.min("doc_id").alias("least_id"), F.min("hash").alias("hash"), F.min("p0").alias("p0"), F.min("p1").alias("p1"))
-    sets = keep_table(sets, "classes")
+    firsts = [F.min(c).alias(a) for c, a in (("doc_id", "least_id"), ("hash", "hash"), ("p0", "p0"), ("p1", "p1"), ("n", "n"))]
+    sets = keep_table(rows.groupBy("key").agg(*firsts), "classes")
     prints = keep_table(sets.groupBy("p0", "p1").agg(F.min("key").alias("head")), "prints")
-    found = _candidates(prints.select("p0", "p1"), most_bits(similarity))
-    found = found.join(prints.withColumnRenamed("head", "a"), ["p0", "p1"])
+    limit = most_bits(similarity)
+    near = keep_table(_candidates(prints.select("p0", "p1"), limit), "near")
+    found = near.join(prints.withColumnRenamed("head", "a"), ["p0", "p1"])
     found = found.join(prints.toDF("q0", "q1", "b"), ["q0", "q1"]).select("a", "b")
     equal = sets.join(prints, ["p0", "p1"]).select(F.col("key").alias("a"), F.col("head").alias("b"))
     pairs = found.union(equal).where("a <> b")
     pairs = keep_table(pairs.select(F.least("a", "b").alias("low"), F.greatest("a", "b").alias("high")).distinct(), "pairs")
-    met = pairs.select("low").union(pairs.select("high")).toDF("key").distinct()
-    held = lookup_join(texts.select("hash", "text"), sets.join(met, "key").select("hash", "key"), ["hash"], bound, hot_rows=hot_rows)
-    held = keep_table(held.where("key is not null").groupBy("key").agg(F.min("text").alias("text")), "texts")
-    checked = lookup_join(pairs, held.toDF("low", "low_text"), ["low"], bound, hot_rows=hot_rows)
-    checked = lookup_join(checked, held.toDF("high", "high_text"), ["high"], bound, hot_rows=hot_rows)
-    links = checked.where(_alike(shingle)("low_text", "high_text") >= similarity).select("low", "high")
-    linked = components(keep_table(links, "alike"), bound, hot_rows)
-    labelled = sets.join(linked, F.col("key") == F.col("node"), "left").select("key", "least_id", F.coalesce("component", "key").alias("component"))
+
+    def alike(pairs: DataFrame) -> DataFrame:
+        """The pairs whose texts are as alike as asked for."""
+        met = pairs.select("low").union(pairs.select("high")).toDF("key").distinct()
+        held = lookup_join(texts.select("hash", "text"), sets.join(met, "key").select("hash", "key"), ["hash"], bound, hot_rows=hot_rows)
+        held = keep_table(held.where("key is not null").groupBy("key").agg(F.min("text").alias("text")), "texts")
+        checked = lookup_join(pairs, held.toDF("low", "low_text"), ["low"], bound, hot_rows=hot_rows)
+        checked = lookup_join(checked, held.toDF("high", "high_text"), ["high"], bound, hot_rows=hot_rows)
+        return keep_table(checked.where(_alike(shingle)("low_text", "high_text") >= similarity).select(*pairs.columns), "alike")
+
+    linked = components(alike(pairs), bound, hot_rows)
+    labelled = sets.join(linked, F.col("key") == F.col("node"), "left")
+    labelled = keep_table(labelled.select("key", "p0", "p1", "n", "least_id", F.coalesce("component", "key").alias("component")), "labelled")
+    rest = keep_table(_untried(labelled, near, pairs, limit, similarity), "pairs")
+    if not rest.isEmpty():
+        joined = components(alike(rest).select("of_a", "of_b"), bound, hot_rows)
+        labelled = labelled.join(joined, labelled["component"] == joined["node"], "left").select(
+            "key", "least_id", F.coalesce(joined["component"], labelled["component"]).alias("component")
+        )
     ids = labelled.groupBy("component").agg(F.min("least_id").alias("component_id"))
     return rows.join(labelled.select("key", "component").join(ids, "component"), "key").select("doc_id", "component_id")
 
