@@ -1,4 +1,5 @@
 import math
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -8,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tests.llm.conftest import awkward_rows
 from vitaria.llm import lm
-from vitaria.llm.classifier import Indexing, Network, fit_network, score_quality, word_vectors
+from vitaria.llm.classifier import Indexing, Network, _pooled, fit_network, score_quality, word_vectors
 from vitaria.llm.lm import score_texts
 
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
@@ -150,6 +151,22 @@ def brute_vectors(texts, indexing):
     return sums / np.maximum(np.linalg.norm(sums, axis=1, keepdims=True), 1e-9)
 
 
+def test_pooling_holds_one_document_of_vectors():
+    """Means and distances as in plain numpy, without the vectors of all tokens being copied together."""
+    rng = np.random.default_rng(2)
+    vectors = rng.normal(size=(500, 64)).astype(np.float32)
+    ids = [rng.integers(0, 500, n) for n in (1000, 0, 1, *[700] * 200)]
+    tracemalloc.start()
+    mean, around = _pooled(ids, vectors)
+    held = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert held < 142_000 * 64 * 4 / 2
+    for i, own in enumerate(ids):
+        found = vectors[own].astype(float) if len(own) else np.zeros((1, 64))
+        assert np.allclose(mean[i], found.mean(axis=0))
+        assert np.isclose(around[i, 0], (found**2).sum(axis=1).mean() - (mean[i] ** 2).sum(), atol=1e-4)
+
+
 def test_quality_scores_equal_brute_force(spark):
     """Vectors, pooling and scores word by word, with a network that is given."""
     indexing = Indexing(spellings=64, size=8, entries=2)

@@ -102,18 +102,19 @@ def _contexts(indexing: Indexing):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         places, signs = indexing.index_vectors()
         size = indexing.size
-        sums = np.zeros(indexing.words * size, np.int64)
+        sums = np.zeros(indexing.words * size)  # whole numbers
+        low = indexing.spellings * size
         for _, spelled, shaped in _blocks(batches, indexing):
             gap = np.full(indexing.reach, -1)
-            streams = [np.concatenate([x for ids in kind for x in (ids, gap)]) for kind in (spelled, shaped)]
+            spellings, shapes = (np.concatenate([x for ids in kind for x in (ids, gap)]) for kind in (spelled, shaped))
+            around, sign = (np.hstack([x[spellings], x[shapes]]) for x in (places, signs))
             for offset in range(1, indexing.reach + 1):
-                for of, around in ((a, b) for a in streams for b in streams):
-                    for target, context in ((of[:-offset], around[offset:]), (of[offset:], around[:-offset])):
-                        both = (target >= 0) & (context >= 0)
-                        target, context = target[both], context[both]
-                        at = (target[:, None] * size + places[context]).ravel()
-                        sums += np.bincount(at, signs[context].ravel(), len(sums)).astype(np.int64)
-        table = sums.reshape(indexing.words, size)
+                ahead = np.flatnonzero((spellings[:-offset] >= 0) & (spellings[offset:] >= 0))
+                for target, context in ((ahead, ahead + offset), (ahead + offset, ahead)):
+                    entries, weights = around[context], sign[context].ravel()
+                    sums[:low] += np.bincount((spellings[target, None] * size + entries).ravel(), weights, low)
+                    sums[low:] += np.bincount(((shapes[target, None] - indexing.spellings) * size + entries).ravel(), weights, len(sums) - low)
+        table = sums.astype(np.int64).reshape(indexing.words, size)
         for number, at in enumerate(range(0, indexing.words, _SLICE)):
             part = table[at : at + _SLICE]
             if part.any():
@@ -146,10 +147,14 @@ def _pooled(ids: list[np.ndarray], vectors: np.ndarray) -> tuple[np.ndarray, np.
     mean, around = np.zeros((len(ids), vectors.shape[1])), np.zeros((len(ids), 1))
     full = np.flatnonzero(lengths)
     if len(full):
-        found = vectors[np.concatenate(ids)]
+        words = np.concatenate(ids)
         begins = (np.cumsum(lengths) - lengths)[full]
-        mean[full] = np.add.reduceat(found, begins, axis=0, dtype=np.float64) / lengths[full, None]
-        squares = np.add.reduceat(np.einsum("ij,ij->i", found, found), begins, dtype=np.float64) / lengths[full]
+        exact = vectors.astype(np.float64)
+        for n, begin in zip(full, begins, strict=True):
+            mean[n] = exact.take(words[begin : begin + lengths[n]], axis=0).sum(axis=0)
+        mean[full] /= lengths[full, None]
+        norms = np.einsum("ij,ij->i", vectors, vectors)
+        squares = np.add.reduceat(norms[words], begins, dtype=np.float64) / lengths[full]
         around[full, 0] = squares - (mean[full] ** 2).sum(axis=1)
     return mean, around
 
