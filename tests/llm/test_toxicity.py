@@ -6,6 +6,7 @@ import random
 import numpy as np
 import pytest
 
+from tests.llm.conftest import sentence
 from vitaria.llm.toxicity import Network, Shape, Words, score_toxicity, vocabulary
 
 SMALL = Shape(spellings=64, grams=64, size=4, hidden=4, attention=3, window=6, stride=3)
@@ -117,3 +118,15 @@ def test_without_labels_or_rows(spark):
     assert {r["score"] for r in score_toxicity(docs, labels([])).collect()} == {0.5}
     assert {r["score"] for r in score_toxicity(docs, labels([(1, 1), (2, 1)])).collect()} == {1.0}
     assert score_toxicity(spark.createDataFrame([], SCHEMA), labels([(1, 1)])).count() == 0
+
+
+def test_scoring_counts_as_exactly_as_the_weights_are(monkeypatch):
+    """Windows are judged in 32 bits, as the weights are, and come out as in 64 but for rounding."""
+    rng = random.Random(3)
+    words = Words([sentence(rng, rng.randint(1, 200)).encode() for _ in range(50)], Shape())
+    net, seen, plain = Network.start(Shape(), 1), [], Network.windows
+    monkeypatch.setattr(Network, "windows", lambda self, x, *rest: (seen.append(x), plain(self, x, *rest))[1])
+    found = net.logits(words)
+    assert {x.dtype for x in seen} == {np.dtype(np.float32)}
+    monkeypatch.setattr(Network, "windows", lambda self, x, *rest: plain(self, x.astype(float), *rest))
+    assert np.abs(net.logits(words) - found).max() < 1e-5

@@ -216,7 +216,7 @@ class Network:
                 vocab, which = vocabulary(words, first, last, self.shape)
                 x, ids = self.inputs(vocab), np.where(mask, which[np.minimum(place, len(which) - 1)], 0)
             ids = np.where(mask, ids, len(x))
-            out[a:b] = self.windows(x, ids, mask.astype(np.float32))
+            out[a:b] = self.windows(x.astype(np.float32), ids, mask.astype(np.float32))  # as exact as the weights
         return out
 
     def features(self, words: Words) -> np.ndarray:
