@@ -7,6 +7,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from tests.llm.conftest import SCHEMA, awkward_rows, sentence, words
+from vitaria.llm import simhash
 from vitaria.llm.components import components
 from vitaria.llm.exchange import pack, part_cuts, unpack
 from vitaria.llm.simhash import (
@@ -169,6 +170,33 @@ def test_no_link_is_lost_behind_nearer_texts(spark):
     assert found == label and 8 < len(set(label.values())) < len(rows) - 8
 
 
+def family(rng, size):
+    """Texts of one base, many of them too unlike each other to be near copies."""
+    base = sentence(rng, 150)
+    return [(i, edited(rng, base, rng.choice([0.014, 0.02, 0.027, 0.034, 0.04]))) for i in range(size)]
+
+
+def test_a_family_is_never_written_in_pairs(spark, monkeypatch):
+    rows, counts, kept = family(random.Random(5), 250), {}, simhash.keep_table
+
+    def keep(df, name):
+        table = kept(df, name)
+        counts[name] = max(counts.get(name, 0), table.count())
+        return table
+
+    monkeypatch.setattr(simhash, "keep_table", keep)
+    found = dict(map(tuple, near_copy_groups(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()))
+    assert found == near_classes([t for _, t in rows]) and 10 < len(set(found.values())) < 240
+    assert max(counts.values()) <= 2 * len(rows), counts
+
+
+def test_clusters_dealt_to_several_tasks_lose_nothing(spark, monkeypatch):
+    monkeypatch.setattr(simhash, "SHINGLES_PER_PART", 2000)
+    rows = family(random.Random(6), 120)
+    found = dict(map(tuple, near_copy_groups(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()))
+    assert found == near_classes([t for _, t in rows])
+
+
 def test_wide_fingerprints():
     assert len(shingle_set(None, 5)) == len(shingle_set(" \n", 5)) == 0 and not wide_print(shingle_set("", 5)).any()
     assert len(shingle_set("One two", 5)) == 1 and (shingle_set("one  TWO", 5) == shingle_set("One two", 5)).all()

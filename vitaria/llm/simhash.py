@@ -35,6 +35,8 @@ BITS = 64
 CODE_BITS = 15
 #: Homes of one anchor compared in one task; more are dealt to several.
 HOMES_PER_PART = 2048
+#: Shingles of the texts of a cluster that are homes in one task.
+SHINGLES_PER_PART = 1 << 21
 _COPIES_AT_ONCE = 1024
 _ROWS_AT_ONCE = 1 << 18
 #: Blocks of a wide fingerprint, in 64-bit numbers of four each. Of two texts of the
@@ -289,32 +291,26 @@ def _differing(homes: np.ndarray, copies: np.ndarray, at_once: int) -> Iterator[
             yield own, others, sum(np.bitwise_count(x.view(np.uint64)) for x in differing)
 
 
-def _nearest(limit: int):
-    """Of each copy the nearest home and the least of those within ``limit`` bits."""
+def _stars(limit: int):
+    """Links that join what hangs together by homes and copies within ``limit`` bits, never more than the rows compared."""
 
     def found(homes: np.ndarray, copies: np.ndarray) -> Iterator[np.ndarray]:
-        homes = homes[np.lexsort((homes[:, 1], homes[:, 0]))]
         for own, others, bits in _differing(homes, copies, _COPIES_AT_ONCE):
-            near = (bits <= limit) & (bits > 0)
-            met = np.flatnonzero(near.any(axis=0))
-            if len(met):
-                bits = np.where(near[:, met], bits[:, met], 255)
-                nearest = bits.argmin(axis=0)
-                least = own[near[:, met].argmax(axis=0)]
-                yield np.column_stack([others[met], bits[nearest, np.arange(len(met))], own[nearest], least])
-
-    return found
-
-
-def _apart(limit: int):
-    """All pairs of a home and a copy within ``limit`` bits that are of different groups (the third column), the lesser group first."""
-
-    def found(homes: np.ndarray, copies: np.ndarray) -> Iterator[np.ndarray]:
-        for own, others, bits in _differing(homes, copies, _COPIES_AT_ONCE // 4):
-            a, b = np.nonzero((bits <= limit) & (own[:, None, 2] != others[None, :, 2]))
-            if len(a):
-                swap = (own[a, 2] > others[b, 2])[:, None]
-                yield np.column_stack([np.where(swap, others[b], own[a]), np.where(swap, own[a], others[b])])
+            near = bits <= limit
+            apart = near & (bits > 0)  # none but a fingerprint with itself otherwise
+            rows, met = np.flatnonzero(apart.any(axis=1)), np.flatnonzero(apart.any(axis=0))
+            if not len(met):
+                continue
+            near, labels = near[np.ix_(rows, met)], np.arange(len(rows))
+            while True:
+                least = np.where(near, labels[:, None], len(rows)).min(axis=0)
+                now = np.minimum(labels, np.where(near, least[None, :], len(rows)).min(axis=1))
+                if (now == labels).all():
+                    break
+                labels = now
+            own, others = own[rows], others[met]
+            links = np.column_stack([np.concatenate([own, others]), np.concatenate([own[labels], own[least]])])
+            yield links[(links[:, : len(_SEEDS)] != links[:, len(_SEEDS) :]).any(axis=1)]
 
     return found
 
@@ -364,47 +360,105 @@ def _meet(prints: DataFrame, found, columns: list[str]) -> DataFrame:
     return dealt.mapInPandas(run, ", ".join(f"{c} long" for c in columns))
 
 
-def _candidates(prints: DataFrame, limit: int) -> DataFrame:
-    """Rows ``p0, p1, q0, q1``: each wide fingerprint with its nearest other and the least other within ``limit`` bits."""
-    met = _meet(prints, _nearest(limit), ["p0", "p1", "bits", "n0", "n1", "l0", "l1"])
-    best = met.groupBy("p0", "p1").agg(F.min(F.struct("bits", "n0", "n1")).alias("n"), F.min(F.struct("l0", "l1")).alias("l"))
-    both = F.array(F.struct(F.col("n.n0").alias("q0"), F.col("n.n1").alias("q1")), F.struct(F.col("l.l0").alias("q0"), F.col("l.l1").alias("q1")))
-    return best.select("p0", "p1", F.explode(both).alias("q")).select("p0", "p1", "q.*")
+class _Homes:
+    """Texts of one part of a cluster, against which all texts of the cluster are held."""
+
+    def __init__(self, similarity: float, limit: int):
+        self.similarity, self.limit = similarity, limit
+        self.names: list[str] = []
+        self.prints, self.sizes = np.empty((0, len(_SEEDS)), np.uint64), np.empty(0, np.int64)
+        self.labels = np.empty(0, np.int64)
+        self.shingles, self.owners, self.sorted = np.empty(0, np.uint64), np.empty(0, np.int32), True
+
+    def add(self, names: list[str], prints: np.ndarray, sets: list[np.ndarray]) -> None:
+        numbers = np.arange(len(self.names), len(self.names) + len(names))
+        sizes = np.array([len(x) for x in sets], np.int64)
+        self.names += names
+        self.prints, self.sizes = np.concatenate([self.prints, prints]), np.r_[self.sizes, sizes]
+        self.labels = np.r_[self.labels, numbers]
+        self.shingles = np.concatenate([self.shingles, *sets])
+        self.owners = np.r_[self.owners, np.repeat(numbers, sizes).astype(np.int32)]
+        self.sorted = False
+
+    def shared(self, shingles: np.ndarray) -> np.ndarray:
+        """How many of the shingles each home has."""
+        if not self.sorted:
+            order = np.argsort(self.shingles, kind="stable")
+            self.shingles, self.owners, self.sorted = self.shingles[order], self.owners[order], True
+        start = np.searchsorted(self.shingles, shingles)
+        each = np.searchsorted(self.shingles, shingles, side="right") - start
+        at = np.repeat(start - (np.cumsum(each) - each), each) + np.arange(each.sum())
+        return np.bincount(self.owners[at], minlength=len(self.names))
+
+    def links(self, name: str, number: int, wide: np.ndarray, shingles: np.ndarray) -> list[tuple[str, str]]:
+        """A link of a text to one home of each group that it joins; ``number`` is its own among the homes, or -1.
+
+        Homes of the text's own group need not be compared any more.
+        """
+        size, label = len(shingles), self.labels[number] if number >= 0 else -1
+        near = (np.bitwise_count(self.prints ^ wide).sum(axis=1) <= self.limit) & (self.labels != label)
+        near &= np.minimum(self.sizes, size) >= (self.similarity - 1e-9) * np.maximum(self.sizes, size)
+        if not near.any():
+            return []
+        same = self.shared(shingles)
+        alike = np.flatnonzero(near & (same / np.maximum(1, self.sizes + size - same) >= self.similarity))
+        met, first = np.unique(self.labels[alike], return_index=True)
+        if number >= 0:
+            met = np.append(met, label)
+        if len(met):
+            self.labels[np.isin(self.labels, met)] = met.min()
+        return [(self.names[i], name) for i in alike[first]]
+
+
+def _alike(shingle: int, similarity: float, limit: int):
+    """Links between texts of a cluster that are alike; rows come by cluster and part, homes first.
+
+    Every text is held against the homes of its part, itself a home or not. Of texts that hang
+    together only as many links are emitted as join them.
+    """
 
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        current, homes = None, _Homes(similarity, limit)
+        for batch in batches:
+            keys, home, names = batch[["cluster", "part"]].to_numpy(), batch["home"].to_numpy(), batch["key"].tolist()
+            prints = batch[["p0", "p1"]].to_numpy(np.int64).view(np.uint64)
+            cuts = [0, *(np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1), len(keys)]
+            found = []
+            for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+                if a == b:
+                    continue
+                if current != (key := tuple(keys[a])):
+                    current, homes = key, _Homes(similarity, limit)
+                before, own = len(homes.names), int(home[a:b].sum())
+                sets = [shingle_set(t, shingle) for t in batch["text"].iloc[a : a + own]]
+                if own:
+                    homes.add(names[a : a + own], prints[a : a + own], sets)
+                for i in range(a, b):
+                    number = before + i - a if i < a + own else -1
+                    shingles = sets[i - a] if i < a + own else shingle_set(batch["text"].iat[i], shingle)
+                    found += homes.links(names[i], number, prints[i], shingles)
+            if found:
+                yield pd.DataFrame(found, columns=["a", "b"])
 
-def _untried(labelled: DataFrame, near: DataFrame, tried: DataFrame, limit: int, similarity: float) -> DataFrame:
-    """Pairs ``low, high`` and their components: all candidates not tried yet whose texts are of different components.
+    return run
 
-    A wide fingerprint without a candidate and with one set of shingles has none. Sets
-    whose sizes alone keep them below ``similarity`` are left out.
-    """
-    several = labelled.groupBy("p0", "p1").count().where("count > 1").select("p0", "p1")
-    touched = near.select("p0", "p1").union(near.select("q0", "q1")).union(several).distinct()
-    some = labelled.join(touched, ["p0", "p1"], "left_semi").withColumn("c", F.xxhash64("component"))
-    some = keep_table(some.select("p0", "p1", "c", "key", "component", "n"), "touched")
-    pairs = _meet(some.select("p0", "p1", "c").distinct(), _apart(limit), ["p0", "p1", "c", "q0", "q1", "d"]).distinct()
-    pairs = pairs.join(some.withColumnsRenamed({"key": "a", "component": "of_a", "n": "n_a"}), ["p0", "p1", "c"])
-    pairs = pairs.join(some.toDF("q0", "q1", "d", "b", "of_b", "n_b"), ["q0", "q1", "d"])
-    pairs = pairs.where(F.least("n_a", "n_b") >= (similarity - 1e-9) * F.greatest("n_a", "n_b"))
-    pairs = pairs.select(F.least("a", "b").alias("low"), F.greatest("a", "b").alias("high"), "of_a", "of_b")
-    return pairs.dropDuplicates(["low", "high"]).join(tried, ["low", "high"], "left_anti")
-
-
-def _alike(shingle: int):
-    """Jaccard similarity of the shingles of two texts."""
-
-    @pandas_udf("double")
-    def run(lows: pd.Series, highs: pd.Series) -> pd.Series:
-        held, own, out = None, None, np.empty(len(lows))
-        for i, (low, high) in enumerate(zip(lows, highs, strict=True)):
-            if own is None or low != held:  # many links of one text follow each other
-                held, own = low, shingle_set(low, shingle)
-            other = shingle_set(high, shingle)
-            same = len(np.intersect1d(own, other, assume_unique=True))
-            out[i] = same / max(1, len(own) + len(other) - same)
-        return pd.Series(out)
 
-    return run
+def _clusters(sets: DataFrame, limit: int, bound: BroadcastBound, hot_rows: int) -> DataFrame:
+    """Sets with ``cluster`` and ``parts``: all that hang together by candidates, those alone in their cluster left out.
+
+    A cluster's number is a hash, so two may have the same, which only brings them together to be compared.
+    """
+    prints = keep_table(sets.select("p0", "p1").distinct(), "prints")
+    near = _meet(prints, _stars(limit), ["p0", "p1", "q0", "q1"])
+    near = near.select(F.xxhash64("p0", "p1").alias("a"), F.xxhash64("q0", "q1").alias("b"))
+    found = components(near, bound, hot_rows)
+    placed = sets.withColumn("own", F.xxhash64("p0", "p1"))
+    placed = lookup_join(placed, found.toDF("own", "cluster"), ["own"], bound, hot_rows=hot_rows)
+    placed = keep_table(placed.withColumn("cluster", F.coalesce("cluster", "own")).drop("own"), "placed")
+    sizes = placed.groupBy("cluster").agg(F.count("*").alias("held"), F.sum("n").alias("shingles")).where("held > 1")
+    parts = F.greatest(F.lit(1), F.ceil(F.col("shingles") / SHINGLES_PER_PART)).cast("int")
+    sizes = keep_table(sizes.select("cluster", parts.alias("parts")), "sizes")
+    return lookup_join(placed, sizes, ["cluster"], bound, hot_rows=hot_rows).where("parts is not null")
 
 
 def near_copy_groups(
@@ -420,11 +474,12 @@ def near_copy_groups(
     """``doc_id, component_id`` for every row: the least id of its group of near copies.
 
     Two texts are linked if the Jaccard similarity of their sets of word shingles (A-Z
-    lower-cased) is at least ``similarity``, found by comparing their words. Candidates are, for each distinct wide
-    fingerprint, its nearest and the least within :func:`most_bits`, among those that share
-    an anchor; then all others within that many bits whose texts these have not joined. So a group that hangs
-    together is not written out in pairs, and no candidate goes untried that could join two groups. A link is missed only
-    if no block of the two comes within a bit (7 % of pairs of similarity 0.8, 0.4 % at 0.9) or they differ by more bits.
+    lower-cased) is at least ``similarity``, found by comparing their words. Candidates are those whose wide fingerprints
+    share an anchor and differ by at most :func:`most_bits`. What hangs together by candidates is a cluster, and its
+    texts meet in one task, or in several if they are many, each with some of them as homes and with all of them. There
+    all pairs within that many bits are compared, unless links found before have joined them; pairs are never written
+    out. A link is missed only if no chain of candidates leads from one text to the other (at most 7 %
+    of pairs of similarity 0.8, 0.4 % at 0.9) or they differ by more bits.
 
     Texts of equal shingles are one group, null, empty and blank texts too; a text of fewer words
     than a shingle is one shingle. Rows with a null id have a group, but
@@ -438,33 +493,16 @@ def near_copy_groups(
     rows = keep_table(rows, "sets")
     firsts = [F.min(c).alias(a) for c, a in (("doc_id", "least_id"), ("hash", "hash"), ("p0", "p0"), ("p1", "p1"), ("n", "n"))]
     sets = keep_table(rows.groupBy("key").agg(*firsts), "classes")
-    prints = keep_table(sets.groupBy("p0", "p1").agg(F.min("key").alias("head")), "prints")
     limit = most_bits(similarity)
-    near = keep_table(_candidates(prints.select("p0", "p1"), limit), "near")
-    found = near.join(prints.withColumnRenamed("head", "a"), ["p0", "p1"])
-    found = found.join(prints.toDF("q0", "q1", "b"), ["q0", "q1"]).select("a", "b")
-    equal = sets.join(prints, ["p0", "p1"]).select(F.col("key").alias("a"), F.col("head").alias("b"))
-    pairs = found.union(equal).where("a <> b")
-    pairs = keep_table(pairs.select(F.least("a", "b").alias("low"), F.greatest("a", "b").alias("high")).distinct(), "pairs")
-
-    def alike(pairs: DataFrame) -> DataFrame:
-        """The pairs whose texts are as alike as asked for."""
-        met = pairs.select("low").union(pairs.select("high")).toDF("key").distinct()
-        held = lookup_join(texts.select("hash", "text"), sets.join(met, "key").select("hash", "key"), ["hash"], bound, hot_rows=hot_rows)
-        held = keep_table(held.where("key is not null").groupBy("key").agg(F.min("text").alias("text")), "texts")
-        checked = lookup_join(pairs, held.toDF("low", "low_text"), ["low"], bound, hot_rows=hot_rows)
-        checked = lookup_join(checked, held.toDF("high", "high_text"), ["high"], bound, hot_rows=hot_rows)
-        return keep_table(checked.where(_alike(shingle)("low_text", "high_text") >= similarity).select(*pairs.columns), "alike")
-
-    linked = components(alike(pairs), bound, hot_rows)
+    met = keep_table(_clusters(sets.select("key", "hash", "p0", "p1", "n"), limit, bound, hot_rows), "clusters")
+    held = lookup_join(texts.select("hash", "text"), met, ["hash"], bound, hot_rows=hot_rows).where("key is not null")
+    held = held.groupBy("key", "cluster", "parts", "p0", "p1").agg(F.min("text").alias("text"))
+    dealt = held.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    dealt = dealt.withColumn("home", F.col("part") == F.pmod(F.xxhash64("key"), F.col("parts"))).drop("parts")
+    dealt = dealt.repartition("cluster", "part").sortWithinPartitions("cluster", "part", F.desc("home"))
+    linked = components(dealt.mapInPandas(_alike(shingle, similarity, limit), "a string, b string"), bound, hot_rows)
     labelled = sets.join(linked, F.col("key") == F.col("node"), "left")
-    labelled = keep_table(labelled.select("key", "p0", "p1", "n", "least_id", F.coalesce("component", "key").alias("component")), "labelled")
-    rest = keep_table(_untried(labelled, near, pairs, limit, similarity), "pairs")
-    if not rest.isEmpty():
-        joined = components(alike(rest).select("of_a", "of_b"), bound, hot_rows)
-        labelled = labelled.join(joined, labelled["component"] == joined["node"], "left").select(
-            "key", "least_id", F.coalesce(joined["component"], labelled["component"]).alias("component")
-        )
+    labelled = labelled.select("key", "least_id", F.coalesce("component", "key").alias("component"))
     ids = labelled.groupBy("component").agg(F.min("least_id").alias("component_id"))
     return rows.join(labelled.select("key", "component").join(ids, "component"), "key").select("doc_id", "component_id")
 
