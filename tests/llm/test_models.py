@@ -228,3 +228,21 @@ def test_held_out_bits_a_byte(spark):
     apart = [r for r in rows if zlib.crc32(str(r.doc_id).encode()) % 7 == 2 and r.bits_per_byte]
     bits = [-r.score / math.log10(2) for r in apart]
     assert sum(bits) / sum(b / r.bits_per_byte for b, r in zip(bits, apart, strict=True)) < 2.2
+
+
+def test_keys_and_letter_contexts_equal_plain_ones():
+    """Sorted keys are those of ``np.unique``; a letter's context of all its word's is built letter by letter."""
+    numbers = np.random.default_rng(3).integers(0, 500, 2000).astype(np.uint64)
+    assert (lm._distinct(numbers) == np.unique(numbers)).all() and len(lm._distinct(numbers[:0])) == 0
+    found = lm.Tokens([b"alpha extraordinarily a", b"", b"be alphabetical"])
+    chosen = np.flatnonzero(found.ends - found.starts > 0)
+    word, value, keys = lm._letters_of(found, chosen)
+    expected = []
+    for token in chosen:
+        letters = bytes(found.data[found.starts[token] : found.ends[token]])
+        for place in range(len(letters) + 1):
+            prefix = 0
+            for k, letter in enumerate(letters[: min(place, lm._PREFIX)]):
+                prefix = (prefix + letter + 1) * int(lm._ODD[k % 4]) % (1 << 64)
+            expected.append((letters + b" ")[place] | int(lm.mix(np.array([prefix], np.uint64) + (lm._ODD[3] << np.uint64(1)))[0]) & ~1023)
+    assert keys[2].tolist() == expected and len(word) == len(value) == len(expected)
