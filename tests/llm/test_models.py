@@ -246,3 +246,104 @@ def test_keys_and_letter_contexts_equal_plain_ones():
                 prefix = (prefix + letter + 1) * int(lm._ODD[k % 4]) % (1 << 64)
             expected.append((letters + b" ")[place] | int(lm.mix(np.array([prefix], np.uint64) + (lm._ODD[3] << np.uint64(1)))[0]) & ~1023)
     assert keys[2].tolist() == expected and len(word) == len(value) == len(expected)
+
+
+def test_places_equal_unique():
+    rng = np.random.default_rng(6)
+    spread, close = rng.integers(0, 1 << 63, 500).astype(np.uint64), rng.integers(0, 40, 2000).astype(np.uint64)  # close ones share all upper bits
+    for keys in (rng.choice(spread, 3000), close, close + np.uint64(1 << 40), close[:1], close[:0]):
+        for found, expected in zip(lm._places(keys), np.unique(keys, return_index=True, return_inverse=True), strict=True):
+            assert (found == expected).all()
+        assert (lm._order(keys)[0] == np.argsort(keys, kind="stable")).all()
+
+
+def test_numbers_pressed_in_their_least_width():
+    for top, width in ((0, 1), (255, 1), (256, 2), (1 << 16, 4), (1 << 32, 8), ((1 << 63) - 1, 8)):
+        numbers = np.array([0, top, 3], np.int64)
+        assert lm._press(numbers)[0] == width and (lm._unpress(lm._press(numbers), np.int64) == numbers).all()
+    assert lm._press(np.empty(0, np.int64)) == b"" and len(lm._unpress(b"", np.int64)) == 0
+
+
+def learned(texts):
+    """Keys after contexts with their counts, and the model, of some texts."""
+    found = lm.Tokens(texts)
+    after, counts = np.unique(np.concatenate(lm._keys(found.contexts(), found.signatures)), return_counts=True)
+    pairs = np.bincount(found.signatures_before() << 10 | found.signatures, minlength=1025 << 10).reshape(-1, 1024)
+    tokens = np.bincount(found.signatures, minlength=1024)
+    return after, counts, lm.Model(lm._chances(tokens), lm._stretched(pairs).ravel(), tokens, 0.1, len(found.keys), len(np.unique(found.keys)))
+
+
+def some_texts(seed, n):
+    rng = np.random.default_rng(seed)
+    words = [f"{a}{b}" for a in ("a", "the", "or", "wind", "longer") for b in ("", "x", "ness", "ing")]
+    return [" ".join(rng.choice(words, size)).encode() for size in rng.integers(0, 60, n)]
+
+
+def asked_of(found, read):
+    own, places = zip(*lm._context_keys(found, read), strict=True)
+    keys, at = lm._merged(own)
+    return keys, [a[place] for a, place in zip(at, places, strict=True)]
+
+
+def test_signatures_side_by_side_equal_one_after_the_other(monkeypatch):
+    """Lanes, segments and tokens that are passed over change nothing: each segment is read by itself, bit by bit."""
+    monkeypatch.setattr(lm, "LANES", 4)
+    monkeypatch.setattr(lm, "SEGMENT", 13)
+    after, counts, model = learned(some_texts(1, 40))
+    found = lm.Tokens(some_texts(2, 25))
+    met = np.random.default_rng(3).random(len(found.keys)) < 0.8
+    keys, places = asked_of(found, np.flatnonzero(met))
+    own = lm._keys(found.contexts(), found.signatures)
+    assert keys.tolist() == sorted(set(np.concatenate([k[met] for k in own]).tolist()))
+    assert all((keys[place] == k[met]).all() for place, k in zip(places, own, strict=True))
+    bits = lm._signature_bits(found, np.flatnonzero(met), model, lm._Told(keys, lm._answers(after, counts, keys, 10)), places)
+    told, before = [lm._answers(after, counts, k, 10) for k in own], found.signatures_before()
+    for token in range(len(found.keys)):
+        if (token - found.first[found.owner[token]]) % 13 == 0:
+            weights = [[[1.5 / 4] * 4, [1.5 / 4] * 4] for _ in range(10)]
+            table = [[1 / (1 + math.exp(8 - 0.5 * k)) for k in range(33)] for _ in range(10)]
+            local = model.own.tolist()
+        expected, node = 0.0, 1
+        for level in range(10) if met[token] else ():
+            bit, answers = int(found.signatures[token]) >> 9 - level & 1, [int(t[token, level]) for t in told]
+            inputs = [float(model.stretched[before[token] << 10 | node]), *((a >> 1) / lm._STEPS for a in answers), math.log(local[node] / (1 - local[node]))]
+            weight = weights[level][answers[-1] & 1]
+            dot = max(-8, min(8, sum(w * x for w, x in zip(weight, inputs, strict=True))))
+            mixed, place = 1 / (1 + math.exp(-dot)), int((dot + 8) * 2)
+            refined = table[level][place]
+            weight[:] = [w + (bit - mixed) * 0.03 * x for w, x in zip(weight, inputs, strict=True)]
+            table[level][place] += 0.02 * (bit - refined)
+            one = max(1 / 4096, min(1 - 1 / 4096, (mixed + refined) / 2))
+            expected -= math.log2(one if bit else 1 - one)
+            local[node] = max(0.002, min(0.998, local[node] + 0.05 * (bit - local[node])))
+            node = node << 1 | bit
+        assert bits[token] == pytest.approx(expected, abs=0.01)
+
+
+def test_tokens_passed_over_take_no_step(monkeypatch):
+    """Two texts of 60 words, of which every other is new, once in one and once in the other: 30 steps of both, not 61 of one."""
+    after, counts, model = learned(some_texts(1, 40))
+    found = lm.Tokens([b"wind or " * 30, b"or wind " * 30])
+    read = np.flatnonzero(found.hashes == found.hashes[0])
+    keys, places = asked_of(found, read)
+    steps, step = [], lm._Mixer.step
+    monkeypatch.setattr(lm._Mixer, "step", lambda mixer, lanes, inputs, *rest: steps.append(inputs[0].shape[0]) or step(mixer, lanes, inputs, *rest))
+    lm._signature_bits(found, read, model, lm._Told(keys, lm._answers(after, counts, keys, 10)), places)
+    assert steps == [2] * 30
+
+
+def test_answers_read_by_parts_equal_those_given_straight_away(monkeypatch):
+    monkeypatch.setattr(lm, "_READ_AT_ONCE", 50)
+    monkeypatch.setattr(lm, "_KEYS_AT_ONCE", 80)
+    after, counts, _ = learned(some_texts(4, 60))
+    parts, pieces = 16, [lm.Tokens(some_texts(seed, 5)) for seed in (5, 6, 7)]
+    asked = [asked_of(piece, np.arange(len(piece.keys)))[0] for piece in pieces]
+    told = [{} for _ in pieces]
+    for part in range(parts):
+        of_part = lambda keys: next((slice(a, b) for p, a, b in lm.part_cuts(keys, parts) if p == part), slice(0, 0))
+        some = of_part(after)
+        answers = lm._tell_keys(after[some], counts[some], [lm._press_keys(keys[of_part(keys)]) for keys in asked], 10)
+        for own, answer in zip(told, answers, strict=True):
+            own[part] = answer
+    for keys, own in zip(asked, told, strict=True):
+        assert (lm._read_odds(keys, own, parts, 10) == lm._answers(after, counts, keys, 10)).all()
