@@ -347,3 +347,9 @@ def test_answers_read_by_parts_equal_those_given_straight_away(monkeypatch):
             own[part] = answer
     for keys, own in zip(asked, told, strict=True):
         assert (lm._read_odds(keys, own, parts, 10) == lm._answers(after, counts, keys, 10)).all()
+
+
+def test_keys_counted_in_place():
+    for keys in (np.random.default_rng(8).integers(0, 50, 400).astype(np.uint64), np.array([7], np.uint64), np.empty(0, np.uint64)):
+        expected = np.unique(keys, return_counts=True)
+        assert all((a == b).all() and len(a) == len(b) for a, b in zip(lm._counted(keys.copy()), expected, strict=True))
